@@ -223,10 +223,11 @@ def country_month_mart(fact: DataFrame, dim_date: DataFrame, dim_country: DataFr
     The calendar is bounded by the date span and the country dimension by the
     vocabulary, so both joins broadcast; the aggregate is partial per partition.
     """
-    f = fact.select(date_key, country_key, headcount, share)
-    j = (f.join(F.broadcast(dim_date.select("date_key", "year", "month")), f[date_key] == F.col("date_key"))
+    f = fact.select(F.col(date_key).alias("__fdk"), F.col(country_key).alias("__fck"), headcount, share)
+    j = (f.join(F.broadcast(dim_date.select(F.col("date_key").alias("__dk"), "year", "month")),
+                F.col("__fdk") == F.col("__dk"))
          .join(F.broadcast(dim_country.select(F.col("country_key").alias("__ck"), "country_canonical")),
-               f[country_key] == F.col("__ck"), "left"))
+               F.col("__fck") == F.col("__ck"), "left"))
     return j.groupBy(F.coalesce(F.col("country_canonical"), F.lit("(Unknown)")).alias("country_canonical"),
                      "year", "month").agg(
         F.count(F.lit(1)).alias("layoff_events"),

@@ -57,11 +57,25 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 class Tables:
-    """Lazy accessor: ``t.orders`` reads ``<sf_dir>/orders.parquet``."""
+    """Lazy accessor: ``t.orders`` reads ``<sf_dir>/orders.parquet``.
+
+    ``memo(key, build)`` builds an intermediate once per query plan and
+    persists it (memory, spilling to disk), so a frame used by several
+    branches of one plan - e.g. the quality-checked events feeding three
+    dimensions and a fact - is computed once. Lost cache blocks are
+    recomputed from lineage.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._memo: dict[str, DataFrame] = {}
+
+    def memo(self, key: str, build) -> DataFrame:
+        if key not in self._memo:
+            from pyspark import StorageLevel
+            self._memo[key] = build().persist(StorageLevel.MEMORY_AND_DISK)
+        return self._memo[key]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLES:
