@@ -131,7 +131,7 @@ def normalize_tags(c: ColumnOrName, synonyms: Mapping[str, str] | None = None, s
     if synonyms:
         m = F.create_map(*[F.lit(x) for kv in synonyms.items() for x in kv])
         trimmed = F.transform(trimmed, lambda t: F.coalesce(m[t], t))
-    return F.array_sort(F.array_distinct(trimmed))
+    return F.sort_array(F.array_distinct(trimmed))
 
 
 def normalize_tags_string(c: ColumnOrName, synonyms: Mapping[str, str] | None = None, sep: str = "|") -> Column:
@@ -149,11 +149,9 @@ def strip_ws(c: ColumnOrName) -> Column:
 
 
 def ws_tokens(c: ColumnOrName, lower: bool = False) -> Column:
-    """Whitespace tokens like Python's ``str.split()``: empty text gives an empty array."""
-    s = strip_ws(c)
-    if lower:
-        s = F.lower(s)
-    return F.when(s == "", F.array().cast("array<string>")).otherwise(F.split(s, r"\s+"))
+    """Whitespace tokens like Python's ``str.split()`` (maximal runs of non-space), one regex pass."""
+    s = F.lower(_col(c)) if lower else _col(c)
+    return F.regexp_extract_all(s, F.lit(r"\S+"), 0)
 
 
 def word_count(c: ColumnOrName) -> Column:
@@ -161,13 +159,32 @@ def word_count(c: ColumnOrName) -> Column:
     return F.when(_col(c).isNull(), F.lit(None)).otherwise(F.size(ws_tokens(c)))
 
 
+def run_lengths(tokens: Column) -> Column:
+    """array<struct<term, tf>>: each distinct token with its count, in sorted order.
+
+    O(n log n) inside the row: sort, flag run starts against the shifted
+    array, then run lengths from consecutive start positions. Every lambda
+    only uses its own arguments - an outer array referenced inside a lambda
+    would be re-evaluated once per element.
+    """
+    s = F.sort_array(tokens)
+    n = F.size(s)
+    shifted = F.concat(F.array(F.lit(None).cast("string")), s)
+    is_start = F.zip_with(s, shifted, lambda a, b: a.isNotNull() & (b.isNull() | (a != b)))
+    starts = F.filter(F.transform(is_start, lambda f, i: F.when(f, i).otherwise(F.lit(-1))), lambda p: p >= 0)
+    ends = F.slice(F.concat(starts, F.array(n)), 2, F.size(starts))
+    counts = F.zip_with(starts, ends, lambda a, b: b - a)
+    terms = F.array_compact(F.zip_with(s, is_start, lambda t, f: F.when(f, t)))
+    return F.arrays_zip(terms.alias("term"), counts.alias("tf"))
+
+
 def max_token_run(tokens: Column) -> Column:
     """Count of the most common token of an array, in O(n log n) inside the row.
 
     The array is sorted and the longest run of equal neighbours is folded with
     ``aggregate``; no pairwise ``filter`` (O(n^2)) and no shuffle of tokens.
     """
-    sorted_tokens = F.array_sort(tokens)
+    sorted_tokens = F.sort_array(tokens)
     init = F.struct(F.lit(None).cast("string").alias("prev"), F.lit(0).alias("run"), F.lit(0).alias("best"))
 
     def step(acc, x):

@@ -30,13 +30,13 @@ ITEM_SEP = "|"
 def baskets(df: DataFrame, basket_col: str, item_col: str) -> DataFrame:
     """(basket, items): distinct non-NULL items per basket, sorted."""
     return (df.where(F.col(item_col).isNotNull()).groupBy(basket_col)
-            .agg(F.array_sort(F.collect_set(item_col)).alias("items")))
+            .agg(F.sort_array(F.collect_set(item_col)).alias("items")))
 
 
 def frequent_itemsets(bk: DataFrame, min_support: float, items_col: str = "items") -> DataFrame:
     """B1: (items sorted array, freq) with freq >= ceil(min_support * baskets)."""
     model = FPGrowth(itemsCol=items_col, minSupport=min_support, minConfidence=1.0).fit(bk)
-    return model.freqItemsets.select(F.array_sort("items").alias("items"), F.col("freq").cast("long").alias("freq"))
+    return model.freqItemsets.select(F.sort_array("items").alias("items"), F.col("freq").cast("long").alias("freq"))
 
 
 def association_rules(itemsets: DataFrame, n_baskets: DataFrame, min_lift: float = 0.0,

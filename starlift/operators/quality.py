@@ -74,6 +74,39 @@ def add_conflicting_key_flag(df: DataFrame, key: Sequence[str], all_cols: Sequen
     return out.withColumn(flag, bad).drop("__n_key", "__latest", "__n_full")
 
 
+def add_row_and_key_flags(df: DataFrame, content_cols: Sequence[str], key: Sequence[str], order_col: str,
+                          latest_col: str, dup_flag: str, conflict_flag: str) -> DataFrame:
+    """Q6 + Q8 together with two shuffles of the raw rows instead of six.
+
+    Rows with equal content always share a key, so the key statistics can be
+    computed from the (smaller) per-content aggregate:
+
+    1. G1 = per content group: rows, first ``order_col``, max ``latest_col``  (raw rows, combined map-side)
+    2. G2 = per key, from G1: rows, max ``latest_col``                     (small)
+    3. G1 ⋈ G2 on the key                                                 (small)
+    4. rows ⋈ G3 on the content (NULL = NULL)                             (raw rows, AQE skew join)
+
+    ``dup_flag``: not the first row of its exact-duplicate group (keep first).
+    ``conflict_flag``: Q8 as in ``add_conflicting_key_flag``.
+    """
+    g1 = df.groupBy(*content_cols).agg(F.count(F.lit(1)).alias("__n_full"), F.min(order_col).alias("__first"),
+                                       F.max(latest_col).alias("__mx"))
+    key_set_ok = F.lit(True)
+    for k in key:
+        key_set_ok = key_set_ok & F.col(k).isNotNull()
+    g2 = g1.groupBy(*[F.col(k).alias(f"__g{i}") for i, k in enumerate(key)]).agg(
+        F.sum("__n_full").alias("__n_key"), F.max("__mx").alias("__latest"))
+    cond = [F.col(k).eqNullSafe(F.col(f"__g{i}")) for i, k in enumerate(key)]
+    g3 = g1.join(g2, cond, "left").select(*content_cols, "__n_full", "__first", "__n_key",
+                                          F.when(key_set_ok, F.col("__latest")).alias("__latest"))
+    out = _null_safe_join(df, g3, content_cols)
+    conflicting = (F.col("__n_key") > 1) & (F.col("__n_full") == 1)
+    bad = conflicting & ~F.coalesce(F.col(latest_col) == F.col("__latest"), F.lit(False))
+    return (out.withColumn(dup_flag, F.col(order_col) != F.col("__first"))
+            .withColumn(conflict_flag, bad)
+            .drop("__n_full", "__first", "__n_key", "__latest"))
+
+
 def add_vocab_flag(df: DataFrame, col: str, vocab: DataFrame | Iterable[str], flag: str,
                    vocab_col: str | None = None) -> DataFrame:
     """Q9: ``flag`` = value set and not in the vocabulary.

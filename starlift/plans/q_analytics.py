@@ -18,7 +18,7 @@ from starlift.operators import stats as ST
 from starlift.plans import q_warehouse as QW
 from starlift.plans import standins as S
 from starlift.plans.registry import register
-from starlift.session import Tables
+from starlift.session import Tables, spread
 
 # Fixed values (parameters of the tiles).
 MIN_GROUP_N = 30                      # A9, A10, A23, A29: suppress groups below this size
@@ -628,7 +628,7 @@ SELECT CAST(count(text) AS BIGINT) AS answered,
 FROM f""")
 def a33_topic_coverage(spark, sf_dir):
     """A33 funnel over whole texts: answered -> valid (spam masked, C11) -> long enough to model."""
-    d = Tables(spark, sf_dir).documents.select("text")
+    d = spread(Tables(spark, sf_dir).documents.select("text"))
     f = d.select(F.col("text").isNotNull().alias("answered"),
                  SF.spam_masked("text").alias("clean"))
     f = f.select("answered", F.col("clean").isNotNull().alias("valid"),

@@ -27,9 +27,8 @@ LANG_VOCAB = ("en", "fr", "de")
 
 def layoff_rules(t: Tables) -> tuple[DataFrame, dict]:
     ev = S.layoff_events(t)
-    ev = Q.add_duplicate_flag(ev, S.LAYOFF_CONTENT, ["event_id"], "__dup_row")
-    ev = Q.add_conflicting_key_flag(ev, ["company", "event_date", "country"], S.LAYOFF_CONTENT, "event_id",
-                                    "__conflict")
+    ev = Q.add_row_and_key_flags(ev, S.LAYOFF_CONTENT, ["company", "event_date", "country"], "event_id", "event_id",
+                                 "__dup_row", "__conflict")
     rules = {
         "percentage_laid_off_out_of_range": Q.range_violation("percentage_laid_off", 0, 1),
         "total_laid_off_negative": F.col("total_laid_off") < 0,
@@ -70,8 +69,8 @@ evq AS (
 
 def lineitem_rules(t: Tables) -> tuple[DataFrame, dict]:
     li = t.lineitem.withColumn("__seq", F.monotonically_increasing_id())  # file order (§7.3 X5)
-    li = Q.add_duplicate_flag(li, LINEITEM_COLS, ["__seq"], "__dup_row")
-    li = Q.add_conflicting_key_flag(li, ["l_orderkey", "l_linenumber"], LINEITEM_COLS, "l_shipdate", "__conflict")
+    li = Q.add_row_and_key_flags(li, LINEITEM_COLS, ["l_orderkey", "l_linenumber"], "__seq", "l_shipdate",
+                                 "__dup_row", "__conflict")
     rules = {
         "tax_out_of_range": Q.range_violation("l_tax", 0, 0.07),
         "quantity_negative": F.col("l_quantity") < 0,

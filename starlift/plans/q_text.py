@@ -16,7 +16,7 @@ from starlift import functions as SF
 from starlift.operators import nmf as NMF
 from starlift.operators import text as TX
 from starlift.plans.registry import register
-from starlift.session import Tables
+from starlift.session import Tables, spread
 
 # Model hyper-parameters (as documented for the reference's fit).
 MIN_DF = 5
@@ -35,25 +35,22 @@ MODEL_LANG = "en"
 
 def model_answers(t: Tables) -> DataFrame:
     """(doc_id, text) of the answers that get a topic (C11 spam mask, C12 length mask)."""
-    d = t.documents.where(F.col("lang") == MODEL_LANG).select("doc_id", SF.spam_masked("text").alias("text"))
+    d = spread(t.documents.where(F.col("lang") == MODEL_LANG).select("doc_id", "text"))
+    d = d.select("doc_id", SF.spam_masked("text").alias("text"))
     return d.where(F.col("text").isNotNull() & (SF.word_count("text") > SHORT_MAX_WORDS))
 
 
 def model_terms(t: Tables) -> DataFrame:
-    return t.memo("model_terms", lambda: TX.terms(model_answers(t), "text", stopwords=None).select("doc_id", "terms"))
+    return TX.terms(model_answers(t), "text", stopwords=None).select("doc_id", "terms")
 
 
 def model_tfidf(t: Tables):
-    def build():
-        terms = model_terms(t)
-        tf = TX.doc_term_counts(terms, "doc_id")
-        n = terms.agg(F.count(F.lit(1)).alias("n"))
-        vocab = TX.vocabulary(tf, "doc_id", n, MIN_DF, MAX_DF)
-        return tf, vocab
+    """(terms, vocab): the answers' term arrays (lazy) and the vocabulary (materialised by its key allocator)."""
     key = "model_tfidf"
     if key not in t._memo:
-        tf, vocab = build()
-        t._memo[key] = (tf, vocab.persist())
+        terms = model_terms(t)
+        n = model_answers(t).agg(F.count(F.lit(1)).alias("n"))
+        t._memo[key] = (terms, TX.vocabulary_from_df(TX.document_frequency(terms), n, MIN_DF, MAX_DF))
     return t._memo[key]
 
 
@@ -85,7 +82,7 @@ SELECT doc_id, CAST(n_tokens AS INTEGER) AS n_tokens, CAST(coalesce(top, 0) AS I
        coalesce(text IS NOT NULL AND n_tokens > 15 AND top * 1.0 / n_tokens > 0.8, false) AS is_spam FROM d2""")
 def c11_spam_mask(spark, sf_dir):
     """C11 over whole texts: token count, count of the most common token, spam flag."""
-    d = Tables(spark, sf_dir).documents.select("doc_id", "text")
+    d = spread(Tables(spark, sf_dir).documents.select("doc_id", "text"))
     toks = SF.ws_tokens("text", lower=True)
     return d.select("doc_id", F.size(toks).alias("n_tokens"), SF.max_token_run(toks).alias("top_token_count"),
                     SF.spam_flag("text").alias("is_spam"))
@@ -114,13 +111,13 @@ nw AS (SELECT doc_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS w
 SELECT doc_id, CAST(nnz AS BIGINT) AS nnz, term AS top_term, (round(weight, 6) + 0.0) AS top_weight FROM nw WHERE rn = 1""")
 def t2_tfidf_doc_top_term(spark, sf_dir):
     """L2-normalised TF-IDF rows; per document its size and heaviest term (ties by term)."""
-    tf, vocab = model_tfidf(Tables(spark, sf_dir))
-    wts = TX.tfidf(tf, vocab, "doc_id")
-    g = wts.groupBy("doc_id").agg(
-        F.count(F.lit(1)).alias("nnz"),
-        F.min(F.struct((-F.col("weight")).alias("nw"), F.col("term").alias("t"))).alias("__best"))
-    return g.select("doc_id", "nnz", F.col("__best.t").alias("top_term"),
-                    SF.rounded(-F.col("__best.nw")).alias("top_weight"))
+    terms, vocab = model_tfidf(Tables(spark, sf_dir))
+    rows = TX.tfidf_rows_from_terms(terms, vocab, "doc_id")
+    # indices follow term order, so the first maximum is the smallest term among ties
+    top = F.array_position("values", F.array_max("values"))
+    return rows.select("doc_id", F.size("values").cast("long").alias("nnz"),
+                       F.element_at("terms", top.cast("int")).alias("top_term"),
+                       SF.rounded(F.array_max("values")).alias("top_weight"))
 
 
 @register("t9_short_answer_terms", f"""
@@ -133,7 +130,7 @@ terms AS (SELECT unnest(list_concat(w, CASE WHEN len(w) < 2 THEN [] ELSE
 SELECT term, CAST(count(*) AS BIGINT) AS count FROM terms GROUP BY term ORDER BY count DESC, term LIMIT {TOP_N_SHORT}""")
 def t9_short_answer_terms(spark, sf_dir):
     """Unigram + bigram counts over answers of at most four words (no stop-word removal), top-n."""
-    d = Tables(spark, sf_dir).documents.select("text")
+    d = spread(Tables(spark, sf_dir).documents.select("text"))
     short = d.where(F.col("text").isNotNull() & (SF.word_count("text") <= SHORT_MAX_WORDS))
     return TX.term_frequency(TX.terms(short, "text", stopwords=()), top_n=TOP_N_SHORT)
 
@@ -152,12 +149,12 @@ def fit_topics(t: Tables, fraction: float = 1.0, seed: int = SEED):
 
     ``fraction < 1`` refits on a seeded sample without replacement (T11).
     """
-    tf, vocab = model_tfidf(t)
+    terms, vocab = model_tfidf(t)
     if fraction < 1.0:
-        keep = model_terms(t).select("doc_id").sample(False, fraction, seed)
-        tf = tf.join(keep, "doc_id", "left_semi")
-    wts = TX.tfidf(tf, vocab, "doc_id")
-    rows = TX.sparse_rows(wts, "doc_id")
+        terms = terms.sample(False, fraction, seed)
+        n = terms.agg(F.count(F.lit(1)).alias("n"))
+        vocab = TX.vocabulary_from_df(TX.document_frequency(terms), n, MIN_DF, MAX_DF)
+    rows = TX.sparse_rows(TX.tfidf_rows_from_terms(terms, vocab, "doc_id"), "doc_id")
     terms = [r.term for r in vocab.orderBy("term_index").select("term").collect()]  # V rows: bounded by vocabulary
     model = NMF.fit(rows, len(terms), k=N_TOPICS, max_iter=MAX_ITER, tol=TOL, seed=SEED, id_col="doc_id")
     top = NMF.top_terms(model.H, terms, TOP_TERMS)

@@ -51,9 +51,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or current
 
 
+_READS: dict[tuple[int, str], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one driver table; Catalyst prunes columns and pushes filters into the scan."""
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """Read one driver table; Catalyst prunes columns and pushes filters into the scan.
+
+    The DataFrame (a plan plus its file index, no data) is reused per session
+    and path, so footers are not re-read for every query that touches the table.
+    """
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    key = (id(spark._jsparkSession), path)
+    if key not in _READS:
+        _READS[key] = spark.read.parquet(path)
+    return _READS[key]
 
 
 class Tables:
@@ -81,3 +92,16 @@ class Tables:
         if name not in TABLES:
             raise AttributeError(name)
         return read_table(self.spark, self.sf_dir, name)
+
+
+def spread(df: DataFrame, factor: int = 2) -> DataFrame:
+    """Spread CPU-heavy per-row work (tokenising whole texts) over all task slots.
+
+    Only when the scan yields fewer splits than the cluster has slots (small
+    files, few row groups) is the frame round-robin repartitioned; a large
+    table already has enough splits and is left as it is (no extra shuffle).
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots * factor)
+    return df
