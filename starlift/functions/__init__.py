@@ -51,7 +51,7 @@ def nan_to_null(c: ColumnOrName) -> Column:
 def parse_date(c: ColumnOrName, fmt: str = "M/d/yyyy", strict: bool = False) -> Column:
     """``strict`` raises on bad input (ANSI ``to_date``), otherwise NULL."""
     c = _col(c)
-    return F.to_date(c, fmt) if strict else F.try_to_date(c, F.lit(fmt))
+    return F.to_date(c, fmt) if strict else F.try_to_date(c, fmt)
 
 
 def date_key(d: ColumnOrName) -> Column:
