@@ -16,6 +16,7 @@ import os
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -69,9 +70,11 @@ def assign_keys(df: DataFrame, order_cols: Sequence[str], key_col: str, start: i
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
-               .withColumn("__id", F.monotonically_increasing_id())
-               .checkpoint(eager=True))
+    staged = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+              .withColumn("__id", F.monotonically_increasing_id())
+              .persist(StorageLevel.MEMORY_AND_DISK))   # reliable checkpoint would otherwise compute it twice
+    ordered = staged.checkpoint(eager=True)
+    staged.unpersist()
     counts = ordered.groupBy(F.shiftrightunsigned("__id", _IDX_BITS).alias("__p")).agg(F.count(F.lit(1)).alias("__c"))
     offsets = counts.withColumn(
         "__off", F.coalesce(F.sum("__c").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)),

@@ -44,7 +44,7 @@ def _dim_country(t: Tables) -> DataFrame:
     cmap = S.country_map(t)
     sup = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("n_name").alias("country"))
     srcs = [CF.conform(df.select("country"), "country", cmap, "country_canonical", extra=["continent"])
-            for df in (conformed_layoffs(t), S.postings(t), sup)]
+            for df in (conformed_layoffs(t), S.posting_labels(t), sup)]
     d = W.union_distinct(srcs, ["country_canonical", "continent"])
     return W.assign_keys_small(d, ["country_canonical"], "country_key")
 
@@ -54,7 +54,8 @@ def dim_industry(t: Tables) -> DataFrame:
 
 
 def _dim_industry(t: Tables) -> DataFrame:
-    d = W.union_distinct([conformed_layoffs(t), conformed_postings(t)], ["industry_sector"])
+    posting_sectors = S.posting_labels(t).withColumn("industry_sector", SF.map_lookup("family", S.SEGMENT_SECTOR))
+    d = W.union_distinct([conformed_layoffs(t), posting_sectors], ["industry_sector"])
     return W.assign_keys_small(d, ["industry_sector"], "industry_key")
 
 

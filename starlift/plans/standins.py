@@ -106,6 +106,16 @@ def order_brands(t: Tables) -> DataFrame:
             .groupBy("l_orderkey").agg(F.concat_ws(" | ", F.collect_list("p_brand")).alias("raw_tags")))
 
 
+def posting_labels(t: Tables) -> DataFrame:
+    """(posting_id, country, family) only - what the conformed dimensions need, without the line measures."""
+    o = t.orders.select("o_orderkey", "o_custkey")
+    c = t.customer.select("c_custkey", "c_nationkey", "c_mktsegment")
+    n = t.nation.select("n_nationkey", "n_name")
+    return (o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
+            .select(F.col("o_orderkey").alias("posting_id"), F.col("n_name").alias("country"),
+                    F.col("c_mktsegment").alias("family")))
+
+
 def postings(t: Tables) -> DataFrame:
     """One row per order as a job posting, with line-level measures."""
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
