@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from starlift import functions as SF
 from starlift.operators import conform as CF
-from starlift.operators import quality as Q
 from starlift.operators import warehouse as W
 from starlift.plans import q_quality as QQ
 from starlift.plans import standins as S

@@ -27,9 +27,10 @@ from starlift import functions as SF
 from starlift.sources.contracts import Contract
 
 
-def _existing_keys(spark: SparkSession, target: str, natural_key: Sequence[str]) -> DataFrame | None:
+def _existing_keys(spark: SparkSession, target: str, natural_key: Sequence[str], batch_id: int) -> DataFrame | None:
+    """Keys loaded by earlier batches; this batch's own folder is excluded so a replay rewrites it."""
     try:
-        return spark.read.parquet(target).select(*natural_key)
+        return spark.read.parquet(target).where(F.col("batch_id") != batch_id).select(*natural_key)
     except Exception:  # nothing loaded yet
         return None
 
@@ -51,10 +52,8 @@ def incremental_load(spark: SparkSession, source_dir: str, contract: Contract, n
                  .agg(F.min(F.struct("__o", *[c for c in contract.columns if c not in natural_key])).alias("__m")))
         rows = first.select(*natural_key, *[F.col(f"__m.{c}").alias(c) for c in contract.columns
                                             if c not in natural_key])
-        have = _existing_keys(batch.sparkSession, target, natural_key)
+        have = _existing_keys(batch.sparkSession, target, natural_key, batch_id)
         if have is not None:
-            # keys already loaded by earlier batches; this batch's own folder is excluded so a replay rewrites it
-            have = batch.sparkSession.read.parquet(target).where(F.col("batch_id") != batch_id).select(*natural_key)
             rows = rows.join(have, list(natural_key), "left_anti")
         rows.select(*contract.columns).write.mode("overwrite").parquet(os.path.join(target, f"batch_id={batch_id}"))
 
