@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starlift.llm import decontaminate, exact_dedup, license_scan, mixing, ngram_join, quality_knn, secret_scan, token_counts, token_output
+from starlift.llm import decontaminate, exact_dedup, license_scan, mixing, ngram_join, quality_knn, secret_scan, suffix_dedup, token_counts, token_output
 from starlift.llm.common import documents
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -25,6 +25,10 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(documents(spark, sf_dir), keep="largest")
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.suffix_dedup(documents(spark, sf_dir))
+
+
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = ngram_join.jaccard_components(documents(spark, sf_dir), words=3, threshold=(90, 100))
     return out.select("doc_id", "n_shingles", "component_id")
@@ -61,7 +65,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_output, op2_exact_dedup, op4_ngram_jaccard_join, op5_license_scan, op6_secret_scan, op7_token_counts,
+QUERIES = {f.__name__: f for f in (op1_token_output, op2_exact_dedup, op3_suffix_dedup, op4_ngram_jaccard_join, op5_license_scan, op6_secret_scan, op7_token_counts,
                                    op8_quality_classifier, op9_mixing, op10_decontamination, pipeline)}
 
 #: A-Z only; ``lower`` would fold other letters too.
