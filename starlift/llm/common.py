@@ -15,6 +15,8 @@ from starlift.session import ensure_checkpoint_dir
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Text bytes hashed at once; bounds the working arrays of one Python worker.
 SEGMENT_BYTES = 1 << 19
+#: Texts of one Arrow batch to a Python worker.
+BATCH_ROWS = 1000
 
 _TABLE = np.random.default_rng(20240607).integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -26,6 +28,11 @@ _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Whole texts go to Python workers in smaller batches than Spark's default."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, text) of the whole table; a null text counts as empty."""
     df = spark.read.parquet(os.path.join(sf_dir, "documents.parquet"))
@@ -34,6 +41,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def texts(df: DataFrame) -> DataFrame:
     """Only the columns that operators read, whatever else the frame carries."""
+    bounded_batches(df.sparkSession)
     return df.select(F.col("doc_id").cast("long").alias("doc_id"),
                      F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
@@ -109,6 +117,14 @@ def _hash_segment(raw: np.ndarray, space: np.ndarray, starts: np.ndarray, ends:
     return mix64((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
 
 
+def byte_digests(seg: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of byte ranges of one segment (at most 4 * SEGMENT_BYTES long), letters not folded."""
+    power, inverse = _powers(1 << max(10, len(seg).bit_length()))
+    total = np.zeros(len(seg) + 1, np.uint64)
+    np.cumsum(_TABLE[seg] * power[:len(seg)], out=total[1:])
+    return mix64((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+
+
 def _long_word(raw: np.ndarray) -> np.uint64:
     h, step, n = 0, SEGMENT_BYTES, len(raw)
     power, _ = _powers(2 * step)

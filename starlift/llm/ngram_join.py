@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starlift.llm.common import buffers, doc_groups, long_array, mix64, shingles, word_hashes, written
+from starlift.llm.common import bounded_batches, buffers, doc_groups, long_array, mix64, shingles, word_hashes, written
 from starlift.llm.components import components
 
 BUCKET_BITS = 18
@@ -230,6 +230,7 @@ def jaccard_components(docs: DataFrame, words: int = 3, threshold: tuple[int, in
     first_row is the first row, by (doc_id, row), of the component.
     """
     spark, (num, den) = docs.sparkSession, threshold
+    bounded_batches(spark)
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     survey = written(rows.mapInArrow(_survey(words), "kind int, row long, doc_id long, n long, node long"), "survey")

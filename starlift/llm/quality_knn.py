@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starlift.llm.common import buffers, doc_groups, mix64, texts
+from starlift.llm.common import bounded_batches, buffers, doc_groups, mix64, texts
 
 PER_LABEL = 2000
 DIMENSIONS = 1024
@@ -128,6 +128,7 @@ def vote(model: dict, x: np.ndarray) -> np.ndarray:
 
 def score(docs: DataFrame, model: dict) -> DataFrame:
     """``docs`` with ``quality_score`` (0 to 1); other columns pass unread."""
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):

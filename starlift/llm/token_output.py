@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from starlift.llm.common import mix64, written
+from starlift.llm.common import bounded_batches, mix64, written
 from starlift.llm.token_counts import encode, encoding
 
 SEQUENCE = 512
@@ -135,6 +135,7 @@ def materialise(docs: DataFrame, path: str, key: int = KEY, sequence: int = SEQU
     record (``sequence`` little-endian ids; the end id fills the rest).
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     enc = encoding(path)
     end_id, width = max(enc._special_tokens.values()), 4 if enc.n_vocab > 65536 else 2
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
