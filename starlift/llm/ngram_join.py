@@ -3,12 +3,17 @@
 Sets are the distinct word shingles of a text as 64-bit hashes; documents with equal sets are one node (identified by
 size and a 64-bit sum of remixed hashes).
 
-1. One pass writes (row, node, size) and counts shingles in a fixed table of BUCKETS counters over all documents. The
-   counters order all shingles, rarest bucket first, then by hash: a total order, whatever the corpus size.
-2. Each distinct set sends its prefix (size - ceil(t * size) + 1 rarest shingles) with position and size to the index.
-   Lists come sorted by size, and are read block by block: a gap in sizes wider than the threshold ends a segment, and
-   an entry whose position leaves too little to share with the smallest set of its segment is skipped. What is left is
-   linked to the segment's first node: linear output, and any pair that can reach the threshold is connected by it.
+1. One pass sends every distinct shingle of a text once, as compressed runs sorted by hash, one per RUN_TEXTS texts and
+   hash range. A range counts, over all documents, in how many texts each shingle occurs, and tells each text how many
+   of its shingles another text has too. A set whose shared shingles fall short of the least overlap that the threshold
+   allows can link with nothing; only the other sets go on. Counts tell shared from not shared exactly (by 48 bits of
+   hash; a collision only keeps a set in).
+2. The sets that are left are written once per node. A fixed table of BUCKETS counters over them orders their shingles,
+   rarest first, then by hash: a total order. Each set sends its prefix (size - ceil(t * size) + 1 rarest shingles) with
+   position and size to the index. Lists come sorted by size, and are read block by block: a gap in sizes wider than
+   the threshold ends a segment, and an entry whose position leaves too little to share with the smallest set of its
+   segment is skipped. What is left is linked to the segment's first node: linear output, and any pair that can reach
+   the threshold is connected by it.
 3. Components of these candidate links are cut, in order of size, into blocks of BLOCK_TOKENS shingles. Blocks, and
    pairs of blocks whose sizes are compatible, are verified exactly: a leader's intersections with all sets of the task
    are computed in one row; answers of sets similar to it are derived from that row (an upper bound by the few shingles
@@ -26,14 +31,18 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starlift.llm.common import bounded_batches, buffers, doc_groups, long_array, mix64, shingles, word_hashes, written
+from starlift.llm.common import bounded_batches, buffers, doc_groups, long_array, mix64, pack_columns, shingles, unpack_columns, word_hashes, written
 from starlift.llm.components import components
 
 BUCKET_BITS = 18
 BUCKETS = 1 << BUCKET_BITS
+#: Texts, and about as many shingles, of one run of the survey.
+RUN_TEXTS = 4096
+RUN_TOKENS = 3 << 20
 #: Shingles of one verification block (a single larger set is a block of its own).
 BLOCK_TOKENS = 1 << 19
 
@@ -57,52 +66,128 @@ def _sets(batch: pa.RecordBatch, words: int):
             yield k, _distinct(shingles(h[bounds[k - i]:bounds[k - i + 1]], words))
 
 
-def _survey(words: int):
-    """Rows (row, doc_id, n, node) of documents, and (bucket, count) of the task's shingle counters."""
+_RUN = "part int, run long, n long, tokens binary, texts binary"
+_TOKEN = (("key", np.uint64), ("text", np.uint16))
+_TEXT = (("row", np.int64), ("doc_id", np.int64), ("none", np.uint8), ("n", np.int64), ("node", np.int64))
+_COUNT = (("text", np.uint16), ("shared", np.uint32))
+_SURVEY = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("run", pa.int64()), ("texts", pa.binary()),
+                     ("k", pa.int64()), ("counts", pa.binary())])
+
+
+def _runs(words: int, parts: int):
+    """Per RUN_TEXTS texts: their rows, and their shingles by hash range (upper 48 bits, and the text's number)."""
+    def emit(rows: dict, sets: list):
+        n = len(sets)
+        key = np.concatenate(sets) >> np.uint64(16)
+        text = np.repeat(np.arange(n, dtype=np.uint16), [len(h) for h in sets])
+        order = np.argsort(key, kind="stable")
+        key, text = key[order], text[order]
+        lane = (key >> np.uint64(16)) * np.uint64(parts) >> np.uint64(32)
+        edges = np.searchsorted(lane, np.arange(parts + 1, dtype=np.uint64))
+        first = int(rows["row"][0])
+        here = pack_columns((("row", np.int64),), rows)
+        for k in range(parts):
+            a, z = int(edges[k]), int(edges[k + 1])
+            if z > a:
+                yield row_of(k, z - a, pack_columns(_TOKEN, {"key": key[a:z], "text": text[a:z]}), here, first)
+        yield row_of(first % parts, n, None, pack_columns(_TEXT, rows), first)
+
+    def row_of(part, n, tokens, texts, first):
+        return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([first], pa.int64()), pa.array([n], pa.int64()), pa.array([tokens], pa.binary()),
+                                           pa.array([texts], pa.binary())], names=["part", "run", "n", "tokens", "texts"])
+
     def run(batches):
-        counts = np.zeros(BUCKETS, np.int64)
+        held: dict[str, list] = {c: [] for c, _ in _TEXT}
+        sets: list[np.ndarray] = []
+        size = 0
         for b in batches:
-            n, node, held, size = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows, np.int64), [], 0
+            row, ids = b.column("row").to_pylist(), b.column("doc_id").to_pylist()
             for k, h in _sets(b, words):
-                n[k], node[k] = len(h), _node(h)
-                held.append(h)
+                for c, x in zip(held, (row[k], ids[k] or 0, ids[k] is None, len(h), _node(h))):
+                    held[c].append(x)
+                sets.append(h)
                 size += len(h)
-                if size > 1 << 18:
-                    counts += np.bincount((np.concatenate(held) & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
-                    held, size = [], 0
-            if held:
-                counts += np.bincount((np.concatenate(held) & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
-            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(b.num_rows, np.int32)), b.column("row"), b.column("doc_id"), pa.array(n), pa.array(node)],
-                                             names=["kind", "row", "doc_id", "n", "node"])
-        some = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(some), np.int32)), pa.array(some), pa.nulls(len(some), pa.int64()), pa.array(counts[some]),
-                                          pa.array(np.zeros(len(some), np.int64))], names=["kind", "row", "doc_id", "n", "node"])
+                if len(sets) == RUN_TEXTS or size >= RUN_TOKENS:
+                    yield from emit({c: np.array(x, t) for (c, t), x in zip(_TEXT, held.values())}, sets)
+                    held, sets, size = {c: [] for c, _ in _TEXT}, [], 0
+        if sets:
+            yield from emit({c: np.array(x, t) for (c, t), x in zip(_TEXT, held.values())}, sets)
     return run
 
 
+def _shared(batches):
+    """One hash range: per run the number of shingles of each text that another text has too (packed), and the rows of texts."""
+    keys, runs = [], []
+    for b in batches:
+        for run, n, tokens, texts in zip(b.column("run").to_pylist(), b.column("n").to_pylist(), b.column("tokens"), b.column("texts")):
+            if not tokens.is_valid:
+                t = unpack_columns(_TEXT, texts.as_py(), n)
+                yield pa.RecordBatch.from_arrays([pa.array(t["row"]), pa.array(t["doc_id"], mask=t["none"] == 1), pa.array(t["n"]), pa.array(t["node"]),
+                                                  *[pa.nulls(n, f.type) for f in list(_SURVEY)[4:]]], schema=_SURVEY)
+                continue
+            t = unpack_columns(_TOKEN, tokens.as_py(), n)
+            keys.append(t["key"])
+            runs.append((t["text"].copy(), run, texts.as_py()))
+    if not keys:
+        return
+    ends = np.cumsum([len(k) for k in keys])
+    key = np.concatenate(keys)
+    keys.clear()
+    order = np.argsort(key, kind="stable")
+    same = key[order][1:] == key[order][:-1]
+    twice = np.zeros(len(key), bool)
+    twice[order[1:][same]] = True
+    twice[order[:-1][same]] = True
+    del order, same, key
+    for (text, first, blob), a, z in zip(runs, np.concatenate([[0], ends[:-1]]), ends):
+        count = np.bincount(text[twice[a:z]])
+        some = np.flatnonzero(count)
+        if len(some):
+            counts = pack_columns(_COUNT, {"text": some, "shared": count[some]})
+            yield pa.RecordBatch.from_arrays([*[pa.nulls(1, f.type) for f in list(_SURVEY)[:4]], pa.array([first], pa.int64()), pa.array([blob], pa.binary()),
+                                              pa.array([len(some)], pa.int64()), pa.array([counts], pa.binary())], schema=_SURVEY)
+
+
+def _totals(pdf: pd.DataFrame) -> pd.DataFrame:
+    """(row, shared) of the texts of one run, over all hash ranges; bounded by the shingles of a run."""
+    raw = zstandard.ZstdDecompressor().decompress(pdf["texts"].iloc[0])
+    row = unpack_columns((("row", np.int64),), pdf["texts"].iloc[0], len(raw) // 8)["row"]
+    total = np.zeros(len(row), np.int64)
+    for k, blob in zip(pdf["k"], pdf["counts"]):
+        c = unpack_columns(_COUNT, blob, int(k))
+        total[c["text"]] += c["shared"]
+    some = np.flatnonzero(total)
+    return pd.DataFrame({"row": row[some], "shared": total[some]})
+
+
+def _counters(batches):
+    """(bucket, count) of the shingles of one task's sets."""
+    counts = np.zeros(BUCKETS, np.int64)
+    for b in batches:
+        for x in b.column("tokens"):
+            h = (np.frombuffer(x.as_py(), np.uint64) & np.uint64(BUCKETS - 1)).astype(np.int64)
+            np.add.at(counts, h, 1)
+    some = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[some])], names=["bucket", "n"])
+
+
 def _ordered(h: np.ndarray, rank: np.ndarray) -> np.ndarray:
     """Shingles renamed one to one so that their order is the corpus order."""
     return np.sort((rank[(h & np.uint64(BUCKETS - 1)).astype(np.int64)] << np.uint64(64 - BUCKET_BITS)) | (h >> np.uint64(BUCKET_BITS)))
 
 
-def _prefixes(words: int, num: int, den: int, shared):
+def _prefixes(num: int, den: int, shared):
     def run(batches):
-        rank, seen = shared.value, set()
+        rank = shared.value
         for b in batches:
-            keys, pos, size, nodes = [], [], [], []
-            for _, h in _sets(b, words):
-                n = len(h)
-                if n == 0 or (node := _node(h)) in seen:
-                    continue
-                seen.add(node)
-                p = n - -(-num * n // den) + 1
-                keys.append(_ordered(h, rank)[:p])
-                pos.append(np.arange(p, dtype=np.int32))
-                size.append(np.full(p, n, np.int32))
-                nodes.append(np.full(p, node, np.int64))
-            if keys:
-                yield pa.RecordBatch.from_arrays([long_array(np.concatenate(keys)), pa.array(np.concatenate(pos)), pa.array(np.concatenate(size)),
-                                                  pa.array(np.concatenate(nodes))], names=["key", "pos", "n", "node"])
+            if not b.num_rows:
+                continue
+            sets = [_ordered(np.frombuffer(x.as_py(), np.uint64), rank) for x in b.column("tokens")]
+            n = np.array([len(h) for h in sets], np.int32)
+            p = n - -(-num * n // den) + 1
+            at = np.concatenate([np.arange(k, dtype=np.int32) for k in p])
+            yield pa.RecordBatch.from_arrays([long_array(np.concatenate([h[:k] for h, k in zip(sets, p)])), pa.array(at), pa.array(np.repeat(n, p)),
+                                              pa.array(np.repeat(b.column("node").to_numpy(zero_copy_only=False), p))], names=["key", "pos", "n", "node"])
     return run
 
 
@@ -231,35 +316,40 @@ def jaccard_components(docs: DataFrame, words: int = 3, threshold: tuple[int, in
     """
     spark, (num, den) = docs.sparkSession, threshold
     bounded_batches(spark)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    survey = written(rows.mapInArrow(_survey(words), "kind int, row long, doc_id long, n long, node long"), "survey")
-    counted = survey.where("kind = 1").groupBy("row").agg(F.sum("n").alias("n")).toPandas()  # at most BUCKETS rows
+    runs = rows.mapInArrow(_runs(words, parts), _RUN).repartitionById(parts, F.col("part"))
+    survey = written(runs.mapInArrow(_shared, "row long, doc_id long, n long, node long, run long, texts binary, k long, counts binary"), "survey")
+    members = survey.where("node is not null").select("row", "doc_id", "n", "node")
+    common = survey.where("run is not null").select("run", "texts", "k", "counts").groupBy("run").applyInPandas(_totals, "row long, shared long")
+    able = members.join(common, "row").where(f"n > 0 and {den} * shared >= {num} * n")
+    able = able.groupBy("node").agg(F.min("row").alias("row"))
+
+    def tokens(batches):
+        for b in batches:
+            sets = [h for _, h in _sets(b, words)]
+            yield pa.RecordBatch.from_arrays([b.column("node"), pa.array([len(h) for h in sets], pa.int64()), pa.array([h.tobytes() for h in sets], pa.binary())],
+                                             names=["node", "n", "tokens"])
+
+    sets = rows.select("row", "text").join(able.hint("shuffle_hash"), "row").select("node", "text")
+    sets = written(sets.mapInArrow(tokens, "node long, n long, tokens binary"), "sets")
+    counted = sets.select("tokens").mapInArrow(_counters, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()  # at most BUCKETS rows
     total = np.zeros(BUCKETS, np.int64)
-    total[counted["row"].to_numpy(np.int64)] = counted["n"].to_numpy(np.int64)
+    total[counted["bucket"].to_numpy(np.int64)] = counted["n"].to_numpy(np.int64)
     rank = np.empty(BUCKETS, np.uint64)
     rank[np.argsort(total, kind="stable")] = np.arange(BUCKETS, dtype=np.uint64)
     shared = spark.sparkContext.broadcast(rank)
-    members = survey.where("kind = 0").select("row", "doc_id", "n", "node")
 
-    index = rows.select("text").mapInArrow(_prefixes(words, num, den, shared), "key long, pos int, n int, node long")
+    index = sets.select("node", "tokens").mapInArrow(_prefixes(num, den, shared), "key long, pos int, n int, node long")
     lists = index.repartition("key").sortWithinPartitions("key", "n", "node")
     links = lists.mapInArrow(_lists(num, den), "a long, b long")
     near = written(components(links), "near")
     nodes = near.select("node", "label").unionByName(near.select(F.col("label").alias("node"), "label").distinct())
-    nodes = nodes.join(members.groupBy("node").agg(F.min("row").alias("row"), F.first("n").alias("n")), "node")
+    nodes = nodes.join(sets.select("node", "n"), "node")
     cut = running_sum(nodes, "label", ["n", "node"], "n", "before").withColumn("block", F.expr(f"before div {block_tokens}"))
-    cut = written(cut.select("row", "node", "n", "label", "block"), "blocks")
-
-    def tokens(batches):
-        rank = shared.value
-        for b in batches:
-            for i, h in _sets(b, words):
-                yield pa.RecordBatch.from_arrays([*(b.column(c).slice(i, 1) for c in ("node", "n", "label", "block")),
-                                                  pa.array([_ordered(h, rank).tobytes()], pa.binary())], names=["node", "n", "label", "block", "tokens"])
-
-    schema = "node long, n long, label long, block long, tokens binary"
-    sets = written(rows.select("row", "text").join(cut, "row").select("node", "n", "label", "block", "text").mapInArrow(tokens, schema), "sets")
+    cut = written(cut.select("node", "n", "label", "block"), "blocks")
+    sets = sets.select("node", "tokens").join(cut, "node")
     inside = written(sets.withColumn("known", F.col("node")).groupBy("label", "block").applyInPandas(_verify(num, den, False), "a long, b long"), "inside")
     cut = cut.join(inside.select(F.col("a").alias("node"), F.col("b").alias("known")), "node", "left").select(
         "node", "label", "block", "n", F.coalesce("known", "node").alias("known"))
@@ -267,7 +357,7 @@ def jaccard_components(docs: DataFrame, words: int = 3, threshold: tuple[int, in
     one, two = blocks.select("label", F.col("block").alias("i"), F.col("high")), blocks.select("label", F.col("block").alias("j"), F.col("low"))
     pairs = one.join(two, "label").where(f"i < j and {den} * high >= {num} * low").select("label", "i", "j")
     meets = pairs.select("label", "i", "j", F.explode(F.array("i", "j")).alias("block"))
-    sets = sets.join(cut.select("node", "known"), "node")
+    sets = sets.select("node", "n", "tokens", F.col("block"), "label").join(cut.select("node", "known"), "node")
     across = meets.join(sets, ["label", "block"]).groupBy("label", "i", "j").applyInPandas(_verify(num, den, True), "a long, b long")
     found = written(components(inside.unionByName(across)), "found")
 

@@ -29,11 +29,10 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starlift.llm.common import bounded_batches, buffers, byte_digests, mix64, written
+from starlift.llm.common import bounded_batches, buffers, byte_digests, mix64, pack_columns, unpack_columns, written
 
 LENGTH = 100
 GRAM = 24
@@ -106,21 +105,6 @@ _ENTRY = (("gram", np.uint64), ("digest", np.uint64), ("doc", np.int64), ("row",
 _ANSWER = (("row", np.int64), ("start", np.uint32), ("end", np.uint32))
 
 
-def _pack(fields, cols: dict) -> bytes:
-    """Columns as byte planes, compressed: the planes that barely change cost next to nothing."""
-    planes = [np.ascontiguousarray(cols[c], t).view(np.uint8).reshape(-1, np.dtype(t).itemsize).T.tobytes() for c, t in fields]
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
-
-
-def _unpack(fields, blob: bytes, n: int) -> dict:
-    raw, out, at = zstandard.ZstdDecompressor().decompress(blob), {}, 0
-    for c, t in fields:
-        width = np.dtype(t).itemsize
-        out[c] = np.ascontiguousarray(np.frombuffer(raw, np.uint8, n * width, at).reshape(width, n).T).reshape(-1).view(t)
-        at += n * width
-    return out
-
-
 def _later(cols: dict, order: np.ndarray) -> np.ndarray:
     """Along ``order``: whether an entry equals the one before it in gram and digest."""
     g, d = cols["gram"][order], cols["digest"][order]
@@ -164,9 +148,9 @@ def _sorted_runs(held: list[dict], length: int, parts: int):
     for k in range(parts):
         mine = order[edges[k]:edges[k + 1]]
         if len(mine):
-            yield _run(k, len(mine), _pack(_ENTRY, {c: x[mine] for c, x in cols.items()}), None)
+            yield _run(k, len(mine), pack_columns(_ENTRY, {c: x[mine] for c, x in cols.items()}), None)
     if len(known):
-        yield _run(int(cols["gram"][known[0]] % np.uint64(parts)), len(known), None, _pack(_ANSWER, _answers(cols, known, length)))
+        yield _run(int(cols["gram"][known[0]] % np.uint64(parts)), len(known), None, pack_columns(_ANSWER, _answers(cols, known, length)))
 
 
 def _run(part: int, n: int, entries: bytes | None, answers: bytes | None) -> pa.RecordBatch:
@@ -188,11 +172,11 @@ def _settle(length: int):
         for b in batches:
             for n, entries, answers in zip(b.column("n").to_pylist(), b.column("entries"), b.column("answers")):
                 if answers.is_valid:
-                    got = _unpack(_ANSWER, answers.as_py(), n)
+                    got = unpack_columns(_ANSWER, answers.as_py(), n)
                     for i in range(0, n, PIECE):
                         yield rows(**{c: x[i:i + PIECE] for c, x in got.items()})
                 else:
-                    runs.append(_unpack(_ENTRY, entries.as_py(), n))
+                    runs.append(unpack_columns(_ENTRY, entries.as_py(), n))
         if not runs:
             return
         cols = {c: np.concatenate([r[c] for r in runs]) for c, _ in _ENTRY}
