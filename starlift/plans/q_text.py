@@ -28,14 +28,12 @@ TOL = 1e-4
 SEED = 42
 MODEL_VERSION = "nmf-sl-v1"
 SHORT_MAX_WORDS = 4
-TOP_N_TERMS = 50
 TOP_N_SHORT = 20
-MODEL_LANG = "en"
 
 
 def model_answers(t: Tables) -> DataFrame:
     """(doc_id, text) of the answers that get a topic (C11 spam mask, C12 length mask)."""
-    d = spread(t.documents.where(F.col("lang") == MODEL_LANG).select("doc_id", "text"))
+    d = spread(t.documents.select("doc_id", "text"))
     d = d.select("doc_id", SF.spam_masked("text").alias("text"))
     return d.where(F.col("text").isNotNull() & (SF.word_count("text") > SHORT_MAX_WORDS))
 
@@ -56,7 +54,7 @@ def model_tfidf(t: Tables):
 
 _SW_SQL = "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in TX.english_stopwords()) + "]"
 MODEL_SQL = f"""
-d0 AS (SELECT doc_id, text, regexp_replace(text, '^\\s+|\\s+$', '', 'g') AS s FROM documents WHERE lang = '{MODEL_LANG}'),
+d0 AS (SELECT doc_id, text, regexp_replace(text, '^\\s+|\\s+$', '', 'g') AS s FROM documents),
 d1 AS (SELECT doc_id, text, CASE WHEN s = '' THEN [] ELSE string_split_regex(s, '\\s+') END AS toks,
               CASE WHEN s = '' THEN [] ELSE string_split_regex(lower(s), '\\s+') END AS ltoks FROM d0),
 d2 AS (SELECT doc_id, text, len(toks) AS n_words, len(ltoks) AS n_low,
@@ -88,11 +86,11 @@ def c11_spam_mask(spark, sf_dir):
                     SF.spam_flag("text").alias("is_spam"))
 
 
-@register("t1_top_terms", "WITH " + MODEL_SQL.strip() + f"""
-SELECT term, CAST(count(*) AS BIGINT) AS count FROM mterm GROUP BY term ORDER BY count DESC, term LIMIT {TOP_N_TERMS}""")
+@register("t1_top_terms", "WITH " + MODEL_SQL.strip() + """
+SELECT term, CAST(count(*) AS BIGINT) AS count FROM mterm GROUP BY term""")
 def t1_top_terms(spark, sf_dir):
-    """Unigrams + bigrams after English stop words, most frequent over the modelled answers (top-k report)."""
-    return TX.term_frequency(model_terms(Tables(spark, sf_dir)), top_n=TOP_N_TERMS)
+    """All unigrams + bigrams after English stop words over the modelled answers, with their counts."""
+    return TX.term_frequency(model_terms(Tables(spark, sf_dir)))
 
 
 @register("t2_tfidf_vocabulary", "WITH " + MODEL_SQL.strip() + """
@@ -178,12 +176,12 @@ def t3_nmf_topics(spark, sf_dir):
 
 
 def assignments(spark, sf_dir) -> DataFrame:
-    """Every English document with its dominant topic; NULL for spam, short or empty answers."""
+    """Every document with its dominant topic; NULL for spam, short or empty answers."""
     model, top = _fitted(id(spark), sf_dir)
     labels = topic_labels(top)
     lab = F.create_map(*[F.lit(x) for kv in labels.items() for x in kv])
     t = Tables(spark, sf_dir)
-    docs = t.documents.where(F.col("lang") == MODEL_LANG).select("doc_id")
+    docs = t.documents.select("doc_id")
     topics = model.W.select("doc_id", TX.dominant_topic("w").alias("topic_id"))
     return docs.join(topics, "doc_id", "left").withColumn("topic_label", lab[F.col("topic_id")])
 

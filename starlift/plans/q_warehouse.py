@@ -83,7 +83,9 @@ def _fact_layoff_event(t: Tables) -> DataFrame:
     ev = W.lookup(ev, dim_country(t), {"country_canonical": "country_canonical"}, "country_key")
     ev = W.lookup(ev, dim_industry(t), {"industry_sector": "industry_sector"}, "industry_key")
     fact = ev.select("date_key", "company_key", "country_key", "industry_key",
-                     F.col("country").alias("location"), "stage", "total_laid_off", "percentage_laid_off",
+                     F.col("country").alias("location"), "stage", "total_laid_off",
+                     # an exact decimal from here on: ties round alike on every engine
+                     F.col("percentage_laid_off").cast("decimal(18,9)").alias("percentage_laid_off"),
                      F.col("funds_raised").alias("funds_raised_usd_millions"))
     return W.assign_keys(fact, ["company_key", "date_key", "location"], "layoff_event_key")
 
@@ -210,7 +212,7 @@ dim_date AS (
 fl0 AS (
   SELECT CAST(year(e.event_date) * 10000 + month(e.event_date) * 100 + day(e.event_date) AS INTEGER) AS date_key,
          dco.company_key, dc.country_key, di.industry_key, e.country AS location, e.stage, e.total_laid_off,
-         e.percentage_laid_off, e.funds_raised AS funds_raised_usd_millions
+         CAST(e.percentage_laid_off AS DECIMAL(18,9)) AS percentage_laid_off, e.funds_raised AS funds_raised_usd_millions
   FROM evc e LEFT JOIN dim_company dco ON e.company = dco.company_name
   LEFT JOIN dim_country dc ON e.country_canonical = dc.country_canonical
   LEFT JOIN dim_industry di ON e.industry_sector = di.industry_sector),
@@ -288,13 +290,13 @@ def w5_junk_dimension(spark, sf_dir):
 
 @register("w12_fact_layoff_event", _sql("""
 SELECT layoff_event_key, date_key, company_key, country_key, industry_key, location, stage,
-       round(total_laid_off, 2) AS total_laid_off, round(percentage_laid_off, 6) AS percentage_laid_off,
+       round(total_laid_off, 2) AS total_laid_off, CAST(round(percentage_laid_off, 6) AS DOUBLE) AS percentage_laid_off,
        round(funds_raised_usd_millions, 2) AS funds_raised_usd_millions FROM fact_layoff_event"""))
 def w12_fact_layoff_event(spark, sf_dir):
     f = fact_layoff_event(Tables(spark, sf_dir))
     return f.select("layoff_event_key", "date_key", "company_key", "country_key", "industry_key", "location", "stage",
                     SF.rounded("total_laid_off", 2).alias("total_laid_off"),
-                    SF.rounded("percentage_laid_off", 6).alias("percentage_laid_off"),
+                    F.round("percentage_laid_off", 6).cast("double").alias("percentage_laid_off"),
                     SF.rounded("funds_raised_usd_millions", 2).alias("funds_raised_usd_millions"))
 
 
@@ -335,7 +337,8 @@ def w15_bridge_posting_skill(spark, sf_dir):
 MART_SQL = _sql("""
 SELECT coalesce(dc.country_canonical, '(Unknown)') AS country_canonical, d.year, d.month,
        CAST(count(*) AS BIGINT) AS layoff_events, round(sum(f.total_laid_off), 2) AS total_laid_off,
-       round(avg(f.percentage_laid_off), 6) AS avg_percentage_laid_off
+       CAST(((2 * CAST(sum(f.percentage_laid_off) * 1000000000 AS HUGEINT) * 10000 + count(f.percentage_laid_off))
+             // (2 * count(f.percentage_laid_off)) + 5000000) // 10000000 AS DOUBLE) / 1000000 AS avg_percentage_laid_off
 FROM fact_layoff_event f JOIN dim_date d ON d.date_key = f.date_key
 LEFT JOIN dim_country dc ON dc.country_key = f.country_key
 GROUP BY 1, d.year, d.month""")
@@ -347,7 +350,7 @@ def w16_mart_country_month(spark, sf_dir):
     m = mart_country_month(Tables(spark, sf_dir))
     return m.select("country_canonical", "year", "month", "layoff_events",
                     SF.rounded("total_laid_off", 2).alias("total_laid_off"),
-                    SF.rounded("avg_percentage_laid_off", 6).alias("avg_percentage_laid_off"))
+                    F.round("avg_percentage_laid_off", 6).cast("double").alias("avg_percentage_laid_off"))
 
 
 @register("w11_role_playing_dates", """

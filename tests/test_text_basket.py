@@ -10,35 +10,26 @@ from starlift.operators import basket as B
 from starlift.operators import nmf as NMF
 from starlift.operators import text as TX
 
-DOCUMENTED = [
-    ["ai", "ai tools", "tools", "code", "developers", "ai code", "good", "people", "using ai", "write"],
-    ["problem solving", "solving", "problem", "skills", "solving skills", "creative problem", "creative", "ai", "thinking", "debugging"],
-    ["critical thinking", "thinking", "critical", "skills", "creativity", "ai", "thinking skills", "logic", "reasoning", "judgment"],
-    ["software architecture", "architecture", "software", "design", "system design", "systems", "architecture design", "ai", "good", "code"],
-    ["remain valuable", "valuable", "remain", "skills", "ai", "skills remain", "knowledge", "experience", "human", "important"],
-    ["soft skills", "skills", "soft", "communication", "people", "ai", "team", "human", "understanding", "social"],
-    ["understanding business", "business", "understanding", "domain", "requirements", "needs", "ai", "context", "problem", "knowledge"],
-    ["code", "writing", "reading", "writing code", "reading code", "ai", "understand", "good", "quality", "review"],
-    ["complex problems", "complex", "problems", "solve", "solving complex", "ai", "new", "systems", "problem", "issues"],
-    ["high level", "low level", "level", "high", "low", "design", "ai", "thinking", "understanding", "details"],
-]
-ANCHORS = {"skeptic": {"ai tools"}, "ps": {"problem solving"}, "ct": {"critical thinking"},
-           "arch": {"software architecture"}, "generic": {"remain valuable"}, "soft": {"soft skills"},
-           "biz": {"understanding business"}, "code": {"code", "writing"}, "complex": {"complex problems"},
-           "levels": {"high level", "low level"}}
-
-
-def test_labels_follow_content_not_index():
-    labels = TX.match_topic_labels(DOCUMENTED, ANCHORS)
-    assert labels[0] == "skeptic" and labels[9] == "levels"
-    reordered = DOCUMENTED[5:] + DOCUMENTED[:5]
-    assert TX.match_topic_labels(reordered, ANCHORS)[0] == "soft"
-
-
-def test_merged_topics_raise_with_listing():
-    merged = [DOCUMENTED[0], DOCUMENTED[1] + ["critical thinking"]] + DOCUMENTED[3:] + [["x"] * 10]
-    with pytest.raises(ValueError, match="Top terms of this fit"):
-        TX.match_topic_labels(merged, ANCHORS)
+# own topics: three made-up themes and their anchors
+THEMES = {"garden": {"soil", "seed"}, "kitchen": {"oven"}, "harbour": {"tide", "ship"}}
+TOPICS = [["ship", "rope", "tide", "salt"], ["seed", "rain", "soil"], ["oven", "salt", "flour", "seed"]]
+
+
+def test_every_order_of_topics_gets_the_same_labels():
+    for order in itertools.permutations(range(3)):
+        labels = TX.match_topic_labels([TOPICS[k] for k in order], THEMES)
+        assert [labels[i] for i in range(3)] == [("harbour", "garden", "kitchen")[k] for k in order]
+
+
+@pytest.mark.parametrize("topics,fault", [
+    (TOPICS[:2] + [["flour"]], "label kitchen: 0 topics"),
+    (TOPICS + [["oven"]], "label kitchen: 2 topics"),
+    ([TOPICS[0] + ["oven"], TOPICS[1], ["flour"]], "topic 0: 2 labels"),
+    (TOPICS + [["moss"]], "topic 3: 0 labels"),
+])
+def test_labels_and_topics_must_pair_up(topics, fault):
+    with pytest.raises(ValueError, match=fault):
+        TX.match_topic_labels(topics, THEMES, "m1")
 
 
 def _numpy_cd(X, W, H, iters):
