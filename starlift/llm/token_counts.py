@@ -2,7 +2,7 @@
 
 Texts up to CHUNK characters are encoded whole. A longer one is encoded in chunks that reach OVERLAP characters over
 each cut, with the offset of every token. Around a cut both chunks list their token starts that are proven stable,
-and the first start that both have splices them: tokens before it count from the left chunk, the others from the
+and the last start that both have splices them: tokens before it count from the left chunk, the others from the
 right one. Where none agrees, the overlap is widened (doubled) and both chunks are encoded again.
 
 Proof of stability: a place with a letter before it and a single space and a letter after it. The splitting pattern
@@ -107,7 +107,7 @@ def count_tokens(enc, text: str, chunk: int = CHUNK, overlap: int = OVERLAP) ->
             if lo <= left + 1 and hi >= len(text):
                 return total + len(encode(enc, text[left:]))
             wide *= 2
-        at = min(both)
+        at = max(both)  # the farthest: a widened overlap still moves on
         total += int(np.searchsorted(np.maximum.accumulate(a), at - left))
         left, cut = at, at + chunk
 
