@@ -53,7 +53,8 @@ def run_dataset(spark: SparkSession, ds: DatasetDef, raw_path: str, out_dir: str
     """J1 for one dataset."""
     ensure_checkpoint_dir(spark)
     raw = read_csv(spark, raw_path, ds.contract).withColumn(
-        SEQ, F.struct(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("pos")))
+        SEQ, F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                      F.monotonically_increasing_id().alias("pos")))
     df, rules = ds.rules(raw)
     cols = ds.contract.columns
     tagged = Q.tag(df, rules).select(*cols, SEQ, Q.REASONS).checkpoint(eager=True)
@@ -65,12 +66,12 @@ def run_dataset(spark: SparkSession, ds: DatasetDef, raw_path: str, out_dir: str
     artifacts: dict[str, DataFrame] = {}
     if ds.features is not None and with_features:
         processed, artifacts = ds.features(processed)
-    paths["processed"] = _write(processed.drop(SEQ), os.path.join(out_dir, "processed", ds.name))
+    paths["processed"] = _write(processed, os.path.join(out_dir, "processed", ds.name))
     for art, adf in artifacts.items():
         paths[art] = _write(adf, os.path.join(out_dir, "processed", f"{ds.name}_{art}"))
     c = tagged.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.size(Q.REASONS) > 0).alias("q")).first()
     summary = {r.rule: int(r.violations) for r in Q.summarize(quarantine).collect()}  # one row per rule
-    dictionary = P.data_dictionary(spark.read.parquet(paths["processed"]))
+    dictionary = P.data_dictionary(spark.read.parquet(paths["processed"]).drop(SEQ))
     return PipelineResult(ds.name, int(c.n), int(c.n - c.q), int(c.q), summary, dictionary, paths)
 
 
@@ -112,7 +113,8 @@ def load_warehouse(spark: SparkSession, processed_dir: str, root: str) -> dict[s
     full: dict[str, DataFrame] = {}
 
     def add(name, batch, natural_key, key_col, small=True):
-        new[name] = W.insert_if_absent(ex(name), batch, natural_key, key_col, small=small).cache()
+        order = [SEQ] if SEQ in batch.columns else None   # file order: the first row of a key wins
+        new[name] = W.insert_if_absent(ex(name), batch, natural_key, key_col, order, small=small).drop(SEQ).cache()
         full[name] = _merge(ex(name), new[name])
 
     # dimensions
@@ -125,11 +127,11 @@ def load_warehouse(spark: SparkSession, processed_dir: str, root: str) -> dict[s
     add("dim_industry", W.union_distinct([lay, jobs, sur], ["industry_sector"]), ["industry_sector"], "industry_key")
     add("dim_company", lay.select(F.col("company").alias("company_name")).dropna().distinct(),
         ["company_name"], "company_key", small=False)
-    roles_jobs = W.first_per_group(jobs.withColumn("__r", F.monotonically_increasing_id()), ["job_title"], ["__r"],
+    roles_jobs = W.first_per_group(jobs, ["job_title"], [SEQ],
                                    ["role_category", "job_category", "is_llm_role"]).select(
         F.lit("job_title").alias("role_source"), F.col("job_title").alias("role_title"), "role_category",
         "job_category", F.col("is_llm_role").cast("boolean").alias("is_llm_role"))
-    roles_dev = W.first_per_group(sur.where(F.col("DevType").isNotNull()), ["DevType"], ["ResponseId"],
+    roles_dev = W.first_per_group(sur.where(F.col("DevType").isNotNull()), ["DevType"], [SEQ],
                                   ["role_category"]).select(
         F.lit("DevType").alias("role_source"), F.col("DevType").alias("role_title"), "role_category",
         F.lit(None).cast("string").alias("job_category"), F.lit(None).cast("boolean").alias("is_llm_role"))
@@ -153,7 +155,7 @@ def load_warehouse(spark: SparkSession, processed_dir: str, root: str) -> dict[s
                  SF.nan_to_null("total_laid_off").alias("total_laid_off"),
                  SF.nan_to_null("percentage_laid_off").alias("percentage_laid_off"),
                  SF.nan_to_null("funds_raised").alias("funds_raised_usd_millions"),
-                 F.col("source").alias("source_url"))
+                 F.col("source").alias("source_url"), SEQ)
     add("fact_layoff_event", f, ["company_key", "date_key", "location"], "layoff_event_key", small=False)
 
     p = jobs.withColumn("role_source", F.lit("job_title"))
@@ -165,7 +167,7 @@ def load_warehouse(spark: SparkSession, processed_dir: str, root: str) -> dict[s
                  "experience_level_canonical", "years_of_experience", "annual_salary_usd", "salary_min_usd",
                  "salary_max_usd", "ai_salary_premium_pct", "demand_score", "demand_growth_yoy_pct",
                  "benefits_score_10", F.col("is_senior").cast("boolean").alias("is_senior"),
-                 F.col("is_remote_friendly").cast("boolean").alias("is_remote_friendly"), "salary_tier")
+                 F.col("is_remote_friendly").cast("boolean").alias("is_remote_friendly"), "salary_tier", SEQ)
     add("fact_job_posting", p, ["job_id"], "job_posting_key", small=False)
 
     s = sur.withColumn("role_source", F.lit("DevType"))
@@ -186,7 +188,7 @@ def load_warehouse(spark: SparkSession, processed_dir: str, root: str) -> dict[s
                  F.col("Employment").alias("employment"), F.col("RemoteWork").alias("remote_work"),
                  F.col("WorkExp").alias("work_exp"), F.col("YearsCode").alias("years_code"),
                  "experience_level_canonical", "converted_comp_yearly_winsorized",
-                 F.col("JobSat").alias("job_sat"), "ai_open_topic_key")
+                 F.col("JobSat").alias("job_sat"), "ai_open_topic_key", SEQ)
     add("fact_survey_response", s, ["survey_year", "response_id"], "response_key", small=False)
 
     # bridge (W15)

@@ -25,6 +25,11 @@ REASON_SEP = ", "
 
 # ---------------------------------------------------------------- helpers
 
+def with_position(df: DataFrame, name: str) -> DataFrame:
+    """A parquet scan with the place of each row (file, row in file): unique, and the same in every evaluation."""
+    return df.withColumn(name, F.struct(F.col("_metadata.file_path"), F.col("_metadata.row_index")))
+
+
 def _null_safe_join(df: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left join ``stats`` (one row per key) back to ``df`` with NULL = NULL key matching."""
     renamed = stats.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
@@ -46,7 +51,8 @@ def with_group_stats(df: DataFrame, keys: Sequence[str], aggs: Mapping[str, Colu
 
 def add_duplicate_flag(df: DataFrame, cols: Sequence[str], order_cols: Sequence[str], flag: str) -> DataFrame:
     """Q6/Q7 keep-first: ``flag`` is True for every row of a group of equal ``cols``
-    (NULLs equal) except the first one by ``order_cols``."""
+    (NULLs equal) except the first one by ``order_cols``, which must tell the rows of a group apart
+    (end them with ``with_position`` where they may tie): rows equal in both all stay first."""
     if not order_cols:
         raise ValueError("keep-first needs an order column (file order or an explicit one, §7.3 X5)")
     order = F.struct(*[F.col(c) for c in order_cols])

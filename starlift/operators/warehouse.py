@@ -13,10 +13,12 @@ from __future__ import annotations
 
 import datetime as _dt
 import os
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -240,12 +242,19 @@ def country_month_mart(fact: DataFrame, dim_date: DataFrame, dim_country: DataFr
 
 # ---------------------------------------------------------------- W18-W21 publish, inventory, drift
 
-def _committed_versions(spark: SparkSession, root: str) -> DataFrame | None:
-    path = os.path.join(root, "_manifests")
+def read_if_written(spark: SparkSession, path: str) -> DataFrame | None:
+    """The parquet table at ``path``, None where nothing was written yet; any other failure is raised."""
     try:
         return spark.read.parquet(path)
-    except Exception:  # no manifest written yet
-        return None
+    except AnalysisException as e:
+        # no such folder, or one in which no write was ever finished
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def _committed_versions(spark: SparkSession, root: str) -> DataFrame | None:
+    return read_if_written(spark, os.path.join(root, "_manifests"))
 
 
 def current_version(spark: SparkSession, root: str) -> int:
@@ -262,36 +271,41 @@ def read_published(spark: SparkSession, root: str, table: str, version: int | No
     v = version or current_version(spark, root)
     if v == 0:
         raise FileNotFoundError(f"no published warehouse under {root}")
-    return spark.read.parquet(os.path.join(root, "tables", table, f"v={v}"))
+    row = _committed_versions(spark, root).where((F.col("version") == v) & (F.col("table_name") == table)).first()
+    if row is None:
+        raise FileNotFoundError(f"no table {table} in version {v} under {root}")
+    return spark.read.parquet(os.path.join(root, row.folder))
 
 
 def publish(tables: Mapping[str, DataFrame], root: str, constraints: Sequence[Constraints] = (),
             partition_by: Mapping[str, Sequence[str]] | None = None) -> int:
     """All tables or none.
 
-    Tables go to ``tables/<name>/v=<N>`` (a fresh folder per version), are
-    checked there (W9), and only then is the version committed by writing the
-    manifest partition ``_manifests/version=<N>``. Readers resolve the newest
+    Tables go to folders of this load alone, are checked there (W9), and only
+    then is the version committed by writing the manifest partition
+    ``_manifests/version=<N>``, which names them. Readers resolve the newest
     committed manifest, so a failed or half-written load is never visible.
+    Nothing is overwritten: a load that finds its version committed fails.
     """
     spark = next(iter(tables.values())).sparkSession
     version = current_version(spark, root) + 1
     partition_by = partition_by or {}
+    load = f"{version}-{uuid.uuid4().hex[:12]}"
     counts = {}
     for name, df in tables.items():
-        path = os.path.join(root, "tables", name, f"v={version}")
-        w = df.write.mode("overwrite")
+        path = os.path.join(root, "tables", name, load)
+        w = df.write.mode("errorifexists")
         if partition_by.get(name):
             w = w.partitionBy(*partition_by[name])
         w.parquet(path)
         counts[name] = spark.read.parquet(path).count()
     for c in constraints:
-        published = spark.read.parquet(os.path.join(root, "tables", c.table, f"v={version}"))
+        published = spark.read.parquet(os.path.join(root, "tables", c.table, load))
         assert_constraints(check_constraints(published, c))
     manifest = spark.createDataFrame(
-        [(name, n, _dt.datetime.now(_dt.timezone.utc).isoformat()) for name, n in counts.items()],
-        "table_name string, row_count long, published_at string")
-    manifest.coalesce(1).write.mode("append").parquet(os.path.join(root, "_manifests", f"version={version}"))
+        [(name, os.path.join("tables", name, load), n, _dt.datetime.now(_dt.timezone.utc).isoformat()) for name, n in counts.items()],
+        "table_name string, folder string, row_count long, published_at string")
+    manifest.coalesce(1).write.mode("errorifexists").parquet(os.path.join(root, "_manifests", f"version={version}"))
     return version
 
 

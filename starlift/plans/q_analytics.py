@@ -517,21 +517,21 @@ _W_LO, _W_HI = _wilson_sql("yes", "n")
 
 
 @register("a28_group_vs_overall", _sql(f"""
-, g AS (SELECT source, count(toxic) AS n, count(*) FILTER (WHERE toxic = 1) AS yes FROM ld GROUP BY source),
+, g AS (SELECT source, nullif(count(toxic), 0) AS n, count(*) FILTER (WHERE toxic = 1) AS yes FROM ld GROUP BY source),
 o AS (SELECT avg(CASE WHEN toxic = 1 THEN 1.0 ELSE 0.0 END) FILTER (WHERE toxic IS NOT NULL) AS overall FROM ld),
 c AS (SELECT source, n, yes, yes * 1.0 / n AS rate, {_W_LO} AS lo, {_W_HI} AS hi, overall FROM g, o)
-SELECT source, CAST(n AS BIGINT) AS answered, {R('rate')} AS rate, {R('lo')} AS ci_low, {R('hi')} AS ci_high,
+SELECT source, CAST(coalesce(n, 0) AS BIGINT) AS answered, {R('rate')} AS rate, {R('lo')} AS ci_low, {R('hi')} AS ci_high,
        {R('overall')} AS overall_rate,
        CASE WHEN lo > overall THEN 'higher' WHEN hi < overall THEN 'lower' ELSE 'not clear' END AS vs_overall FROM c"""))
 def a28_group_vs_overall(spark, sf_dir):
-    """A28 (+A30): per group rate, Wilson interval, and whether it clearly differs from the overall rate."""
+    """A28 (+A30): per group rate (none without an answer), Wilson interval, and whether it clearly differs from the overall rate."""
     ld = S.labelled_docs(Tables(spark, sf_dir))
-    g = ld.groupBy("source").agg(F.count("toxic").alias("n"), F.count_if(F.col("toxic") == 1).alias("yes"))
+    g = ld.groupBy("source").agg(F.nullif(F.count("toxic"), F.lit(0)).alias("n"), F.count_if(F.col("toxic") == 1).alias("yes"))
     o = ld.agg(F.avg(F.when(F.col("toxic").isNotNull(), (F.col("toxic") == 1).cast("double"))).alias("overall"))
     lo, hi = SF.wilson_interval("yes", "n")
     c = g.crossJoin(F.broadcast(o)).select("source", "n", (F.col("yes") / F.col("n")).alias("rate"),
                                            lo.alias("lo"), hi.alias("hi"), "overall")
-    return c.select("source", F.col("n").alias("answered"), r("rate").alias("rate"), r("lo").alias("ci_low"),
+    return c.select("source", F.coalesce("n", F.lit(0)).alias("answered"), r("rate").alias("rate"), r("lo").alias("ci_low"),
                     r("hi").alias("ci_high"), r("overall").alias("overall_rate"),
                     ST.clear_flag(F.col("lo"), F.col("hi"), F.col("overall")).alias("vs_overall"))
 
@@ -559,18 +559,18 @@ _WL_LO, _WL_HI = _wilson_sql("yes", "n")
 
 
 @register("a30_proportion_intervals", _sql(f"""
-, g AS (SELECT lang, count(toxic) AS n, count(*) FILTER (WHERE toxic = 1) AS yes FROM ld GROUP BY lang)
-SELECT lang, CAST(n AS BIGINT) AS n, CAST(yes AS BIGINT) AS yes, {R('yes * 1.0 / n')} AS rate,
+, g AS (SELECT lang, nullif(count(toxic), 0) AS n, count(*) FILTER (WHERE toxic = 1) AS yes FROM ld GROUP BY lang)
+SELECT lang, CAST(coalesce(n, 0) AS BIGINT) AS n, CAST(yes AS BIGINT) AS yes, {R('yes * 1.0 / n')} AS rate,
        {R(_WL_LO)} AS wilson_low, {R(_WL_HI)} AS wilson_high,
        {R(f'yes * 1.0 / n - {SF.Z95} * sqrt((yes * 1.0 / n) * (1 - yes * 1.0 / n) / n)')} AS wald_low,
        {R(f'yes * 1.0 / n + {SF.Z95} * sqrt((yes * 1.0 / n) * (1 - yes * 1.0 / n) / n)')} AS wald_high FROM g"""))
 def a30_proportion_intervals(spark, sf_dir):
     """Wilson (default) and normal-approximation intervals side by side (§7.3 X8)."""
     ld = S.labelled_docs(Tables(spark, sf_dir))
-    g = ld.groupBy("lang").agg(F.count("toxic").alias("n"), F.count_if(F.col("toxic") == 1).alias("yes"))
+    g = ld.groupBy("lang").agg(F.nullif(F.count("toxic"), F.lit(0)).alias("n"), F.count_if(F.col("toxic") == 1).alias("yes"))
     wlo, whi = SF.wilson_interval("yes", "n")
     alo, ahi = SF.wald_interval("yes", "n")
-    return g.select("lang", "n", "yes", r(F.col("yes") / F.col("n")).alias("rate"), r(wlo).alias("wilson_low"),
+    return g.select("lang", F.coalesce("n", F.lit(0)).alias("n"), "yes", r(F.col("yes") / F.col("n")).alias("rate"), r(wlo).alias("wilson_low"),
                     r(whi).alias("wilson_high"), r(alo).alias("wald_low"), r(ahi).alias("wald_high"))
 
 

@@ -108,7 +108,7 @@ def _dim_role(t: Tables) -> DataFrame:
     return W.assign_keys_small(both, ["role_source", "role_title"], "role_key")
 
 
-JUNK_COLS = ["lang", "source", "quality", "toxic"]
+JUNK_COLS = ["lang", "source", "quality_answer", "toxic_answer"]
 
 
 def dim_answer_combo(t: Tables) -> DataFrame:
@@ -228,9 +228,8 @@ dim_role AS (
     SELECT DISTINCT 'source', source, 'Traditional', CAST(NULL AS VARCHAR), CAST(NULL AS BOOLEAN)
     FROM ld WHERE source IS NOT NULL)),
 dim_answer_combo AS (
-  SELECT CAST(row_number() OVER (ORDER BY lang, source, quality, toxic) AS BIGINT) AS answer_combo_key, *
-  FROM (SELECT DISTINCT lang, source, quality, toxic FROM ld
-        WHERE lang IS NOT NULL AND source IS NOT NULL AND quality IS NOT NULL AND toxic IS NOT NULL)),
+  SELECT CAST(row_number() OVER (ORDER BY lang, source, quality_answer, toxic_answer) AS BIGINT) AS answer_combo_key, *
+  FROM (SELECT DISTINCT lang, source, quality_answer, toxic_answer FROM ld WHERE lang IS NOT NULL AND source IS NOT NULL)),
 """ + S.POSTING_SKILLS_SQL.strip() + """,
 dim_skill AS (
   SELECT CAST(row_number() OVER (ORDER BY skill) AS BIGINT) AS skill_key, skill AS skill_name
@@ -320,8 +319,8 @@ SELECT CAST(row_number() OVER (ORDER BY response_id) AS BIGINT) AS response_key,
               WHEN ld.n_chars / 1000.0 <= 5 THEN 'Mid' WHEN ld.n_chars / 1000.0 <= 9 THEN 'Senior' ELSE 'Lead' END
            AS experience_level_canonical
   FROM ld LEFT JOIN dim_role r ON r.role_source = 'source' AND ld.source = r.role_title
-  LEFT JOIN dim_answer_combo j ON ld.lang = j.lang AND ld.source = j.source AND ld.quality = j.quality
-                              AND ld.toxic = j.toxic)"""))
+  LEFT JOIN dim_answer_combo j ON ld.lang = j.lang AND ld.source = j.source AND ld.quality_answer = j.quality_answer
+                              AND ld.toxic_answer = j.toxic_answer)"""))
 def w14_fact_survey_response(spark, sf_dir):
     f = fact_survey_response(Tables(spark, sf_dir))
     return f.withColumn("work_exp", SF.rounded("work_exp", 6))

@@ -9,7 +9,7 @@ Every stand-in reads whole tables; nothing is sampled or capped.
 | layoff events   | orders ⋈ customer ⋈ nation ⋈ region            | layoffs dataset        |
 | postings        | orders ⋈ customer ⋈ nation (+ lineitem ⋈ part) | AI-jobs dataset        |
 | posting tags    | distinct p_brand of an order's lines           | required_skills        |
-| answers         | labels ⋈ documents, events ⋈ customer          | survey answers         |
+| answers         | documents ⟕ labels, events ⋈ customer          | survey answers         |
 """
 
 from __future__ import annotations
@@ -42,6 +42,8 @@ BRAND_SYNONYMS = {
 }
 # event type -> Likert score (A26); 'error' is the excluded "Unsure" answer.
 EVENT_LIKERT = {"view": 1, "click": 2, "signup": 4, "purchase": 5}
+# label of an answer not given.
+NOT_ANSWERED = "Not answered"
 # share above which an event counts as a shutdown-like full cut.
 PRICE_FULL_SCALE = 400000.0
 
@@ -174,15 +176,20 @@ ps AS (
 
 
 def labelled_docs(t: Tables) -> DataFrame:
-    """Survey-answer stand-in: a labelled document is a respondent; toxic = yes/no answer."""
+    """Survey-answer stand-in: every document is a respondent; toxic = yes/no answer, NULL where not answered.
+
+    ``*_answer`` hold the answers as labels with an explicit non-answer (C7)."""
     d = t.documents.select("doc_id", "lang", "source", "n_chars", "text")
     lab = t.labels.select("doc_id", "quality", "toxic")
-    return lab.join(d, "doc_id")
+    answers = [F.coalesce(F.col(c).cast("string"), F.lit(NOT_ANSWERED)).alias(f"{c}_answer") for c in ("quality", "toxic")]
+    return d.join(lab, "doc_id", "left").select("*", *answers)
 
 
-LABELLED_DOCS_SQL = """
-ld AS (SELECT l.doc_id, l.quality, l.toxic, d.lang, d.source, d.n_chars, d.text
-       FROM labels l JOIN documents d ON l.doc_id = d.doc_id)"""
+LABELLED_DOCS_SQL = f"""
+ld AS (SELECT d.doc_id, l.quality, l.toxic, d.lang, d.source, d.n_chars, d.text,
+              coalesce(CAST(l.quality AS VARCHAR), '{NOT_ANSWERED}') AS quality_answer,
+              coalesce(CAST(l.toxic AS VARCHAR), '{NOT_ANSWERED}') AS toxic_answer
+       FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id)"""
 
 
 def user_events(t: Tables) -> DataFrame:

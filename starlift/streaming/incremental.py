@@ -24,15 +24,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from starlift import functions as SF
+from starlift.operators.warehouse import read_if_written
 from starlift.sources.contracts import Contract
 
 
 def _existing_keys(spark: SparkSession, target: str, natural_key: Sequence[str], batch_id: int) -> DataFrame | None:
     """Keys loaded by earlier batches; this batch's own folder is excluded so a replay rewrites it."""
-    try:
-        return spark.read.parquet(target).where(F.col("batch_id") != batch_id).select(*natural_key)
-    except Exception:  # nothing loaded yet
-        return None
+    loaded = read_if_written(spark, target)
+    return None if loaded is None else loaded.where(F.col("batch_id") != batch_id).select(*natural_key)
 
 
 def incremental_load(spark: SparkSession, source_dir: str, contract: Contract, natural_key: Sequence[str],

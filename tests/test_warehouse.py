@@ -59,6 +59,18 @@ def test_publish_is_atomic(spark, tmpdir_path):
     assert inv == {"dimension": 1}
 
 
+def test_failing_manifest_read_does_not_overwrite(spark, tmpdir_path):
+    root = os.path.join(tmpdir_path, "wh_broken")
+    assert W.current_version(spark, root) == 0
+    W.publish({"dim_x": spark.createDataFrame([(1,)], "k long")}, root)
+    with open(os.path.join(root, "_manifests", "version=1", "part-x.parquet"), "w") as fh:
+        fh.write("not parquet")
+    before = sorted(os.listdir(os.path.join(root, "tables", "dim_x")))
+    with pytest.raises(Exception):
+        W.publish({"dim_x": spark.createDataFrame([(2,)], "k long")}, root)
+    assert sorted(os.listdir(os.path.join(root, "tables", "dim_x"))) == before
+
+
 LAYOFFS_CSV = """company,location,total_laid_off,date,percentage_laid_off,industry,source,stage,funds_raised,country,date_added
 Acme,"Calgary, Non-U.S.",10,2/1/2024,0.1,Finance,https://a,Series A,5,Canada,2/2/2024
 Acme,Berlin,,3/1/2024,,Finance,https://b,Post-IPO,,Germany,3/2/2024
