@@ -15,6 +15,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -23,7 +24,7 @@ from starlift.llm.common import texts
 
 #: log10 of guesses from which a value is taken for a secret.
 MIN_COST = 8.0
-#: Longest span that one dictionary, date or brute-force segment covers; values are taken whole, segment by segment.
+#: Longest span looked up as a word (none of the list is longer).
 MAX_SEGMENT = 32
 
 KINDS = ("assign", "access", "hex", "guess")
@@ -89,20 +90,24 @@ def _alphabet(s: str) -> int:
     return sum(k for k, f in ((26, str.islower), (26, str.isupper), (10, str.isdigit)) if any(map(f, s))) + 33 * (not s.isalnum()) or 33
 
 
-def guess_cost(value: str) -> float:
-    """log10 of the guesses of the cheapest segmentation; the place i of the table is the cost of the first i signs."""
-    n = len(value)
+def guess_cost(value: str, enough: float = math.inf) -> float:
+    """log10 of the guesses of the cheapest segmentation, or ``enough`` when every segmentation costs that or more.
+
+    ``best[i]`` holds the costs of the first i signs by number of segments and kind of the last one. A cost only grows
+    along a segmentation, so a state that reaches ``enough`` is dropped; as 12! is above 10 ** 8, a bounded ``enough``
+    leaves few states a place, and a value of any length is decided whole, in time linear in its length.
+    """
     unit = math.log10(max(10, _alphabet(value)))
     ending: dict[int, list] = {}
     for i, j, c in _segments(value):
         ending.setdefault(j, []).append((i, c))
-    # (cost, segments, whether the last one is brute force): neighbouring brute-force signs are one segment
+    # (segments, whether the last one is brute force): neighbouring brute-force signs are one segment
     best: list[dict] = [{(0, False): 0.0}]
-    for j in range(1, n + 1):
+    for j in range(1, len(value) + 1):
         here: dict = {}
 
         def put(k, brute, cost, here=here):
-            if cost < here.get((k, brute), math.inf):
+            if cost + _ways(k) < enough and cost < here.get((k, brute), math.inf):
                 here[k, brute] = cost
 
         for i, c in ending.get(j, ()):
@@ -112,11 +117,17 @@ def guess_cost(value: str) -> float:
             put(k if brute else k + 1, True, cost + unit)
         # a state with more segments and no less cost never wins
         kept: dict = {}
+        least = {False: math.inf, True: math.inf}
         for (k, brute), cost in sorted(here.items()):
-            if all(cost < c for (_, b), c in kept.items() if b == brute):
-                kept[k, brute] = cost
-        best.append(dict(sorted(kept.items(), key=lambda x: x[1] + math.lgamma(x[0][0] + 1) / math.log(10))[:24]))
-    return min(cost + math.lgamma(k + 1) / math.log(10) for (k, _), cost in best[n].items())
+            if cost < least[brute]:
+                kept[k, brute] = least[brute] = cost
+        best.append(kept)
+    return min((cost + _ways(k) for (k, _), cost in best[-1].items()), default=enough)
+
+
+def _ways(segments: int) -> float:
+    """log10 of the orders of so many segments."""
+    return math.lgamma(segments + 1) / math.log(10)
 
 
 def find_spans(text: str, min_cost: float = MIN_COST) -> tuple[list, list]:
@@ -127,24 +138,17 @@ def find_spans(text: str, min_cost: float = MIN_COST) -> tuple[list, list]:
     if "AKIA" in text:
         base += [(m.start(), 1, m.end()) for m in _ACCESS.finditer(text)]
     base += [(m.start(), 2, m.end()) for m in _HEX.finditer(text)]
+    base.sort()
     more = []
     if _CONTEXT_HINT.search(text):
-        taken = sorted((s, e) for s, _, e in base)
+        # spans of one kind don't overlap, so the last one that starts before the value's end is the one to look at
+        taken = [([s for s, k, _ in base if k == kind], [e for _, k, e in base if k == kind]) for kind in range(3)]
         for m in _CONTEXT.finditer(text):
             s, e = m.span(1)
-            if not any(a < e and s < b for a, b in taken) and _strong(m.group(1), min_cost):
+            last = [(ends, bisect_left(starts, e) - 1) for starts, ends in taken]
+            if not any(k >= 0 and ends[k] > s for ends, k in last) and guess_cost(m.group(1), min_cost) >= min_cost:
                 more.append((s, 3, e))
-    return sorted(base), more
-
-
-def _strong(value: str, min_cost: float) -> bool:
-    """The cost of a very long value is that of its pieces at least; pieces are added until the bar is met."""
-    total = 0.0
-    for i in range(0, len(value), 256):
-        total += guess_cost(value[i:i + 256])
-        if total >= min_cost:
-            return True
-    return False
+    return base, more
 
 
 def _join(spans) -> str:

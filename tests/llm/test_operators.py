@@ -164,6 +164,32 @@ def test_secret_scan(spark, empty):
     assert secret_scan.secrets(empty).count() == 0
 
 
+def brute_cost(value):
+    """Every segmentation, one after the other."""
+    unit = np.log10(max(10, secret_scan._alphabet(value)))
+    segments = list(secret_scan._segments(value)) + [(i, j, (j - i) * unit) for i in range(len(value)) for j in range(i + 1, len(value) + 1)]
+
+    def walk(i, k, cost):
+        if i == len(value):
+            return cost + np.log10(float(np.prod(np.arange(1, k + 1), dtype=float)))
+        return min(walk(j, k + 1, cost + c) for a, j, c in segments if a == i)
+    return walk(0, 0, 0.0)
+
+
+@pytest.mark.parametrize("value", ["password1", "qwerty1999", "aaaaab", "P@ss1212", "xk9#", "admin2020", "testtest", "1qaz2w"])
+def test_guess_cost_against_all_segmentations(value):
+    assert abs(secret_scan.guess_cost(value) - brute_cost(value)) < 1e-9
+    assert secret_scan.guess_cost(value, 8.0) == pytest.approx(min(8.0, brute_cost(value)))
+
+
+def test_secret_scan_long_values():
+    assert secret_scan.guess_cost("a" * 200000, 8.0) < 8.0  # one repeat, however long
+    assert secret_scan.guess_cost("password" * 20000, 8.0) == 8.0
+    text = "pwd is Xk9#mQ2$vLz0 deadbeefdeadbeef00 " * 3000
+    base, more = secret_scan.find_spans(text)
+    assert len(base) == len(more) == 3000
+
+
 PATH = token_counts.vocabulary_path("byte_bpe_50k.json")
 
 
