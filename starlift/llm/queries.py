@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -71,9 +72,47 @@ QUERIES = {f.__name__: f for f in (op1_token_output, op2_exact_dedup, op3_suffix
 #: A-Z only; ``lower`` would fold other letters too.
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+
+
+def _strings(words) -> str:
+    return "[" + ", ".join(f"'{w}'" for w in words) + "]"
+
+
+def _license_sql() -> str:
+    """Every block compared with every template, every place with every phrase."""
+    sets = [(label, sorted(set(t.split()))) for label, t in license_scan.TEMPLATES]
+    templates = ", ".join(f"('{label}', {_strings(ws)}, {math.ceil(license_scan.CONTAINMENT * len(ws) - 1e-9)})" for label, ws in sets)
+    phrases = ", ".join(f"('{label}', {_strings(p.split())})" for p, label in license_scan.PHRASES.items())
+    vocabulary = _strings(sorted({w for _, ws in sets for w in ws}))
+    block, stride = license_scan.BLOCK, license_scan.STRIDE
+    return f"""
+        WITH w AS MATERIALIZED (
+            SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM documents),
+        templates(label, ws, need) AS (VALUES {templates}),
+        phrases(label, ws) AS (VALUES {phrases}),
+        cut AS (
+            SELECT r, unnest(list_transform(range(0, CAST(greatest(ceil((len(ws) - {block}) / {stride}.0), 0) AS BIGINT) + 1),
+                                            lambda b: list_filter(ws[b * {stride} + 1 : b * {stride} + {block}], lambda x: list_contains({vocabulary}, x)))) AS ws
+            FROM w),
+        near AS (
+            SELECT r, label, len(list_intersect(cut.ws, templates.ws)) / CAST(len(templates.ws) AS DOUBLE) AS share
+            FROM cut, templates WHERE len(list_intersect(cut.ws, templates.ws)) >= need),
+        place AS (
+            SELECT r, label, unnest(list_filter(range(0, len(w.ws) - len(phrases.ws) + 1), lambda i: w.ws[i + 1 : i + len(phrases.ws)] = phrases.ws)) AS word
+            FROM w, phrases),
+        base AS (SELECT r, count(*) AS n, min(word) AS lo, max(word) AS hi, list(DISTINCT label) AS labels FROM place GROUP BY r),
+        found AS (SELECT r, count(*) AS n, max(share) AS share, list(DISTINCT label) AS labels FROM near GROUP BY r)
+        SELECT doc_id, len(ws) AS n_words, coalesce(base.n, 0) AS n_base, lo AS first_word, hi AS last_word,
+               array_to_string(list_sort(coalesce(base.labels, [])), ',') AS base_labels,
+               array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(found.labels, [])))), ',') AS labels,
+               CASE WHEN base.n > 0 THEN 1.0 ELSE coalesce(found.share, 0.0) END AS score, coalesce(found.n, 0) AS n_blocks
+        FROM w LEFT JOIN base USING (r) LEFT JOIN found USING (r)"""
+
+
 ORACLE_SQL = {
     "op2_exact_dedup": f"""
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = max(doc_id) OVER w AS kept, sha256(t) AS text_sha256
         FROM (SELECT doc_id, {_LOWER} AS t FROM documents) WINDOW w AS (PARTITION BY t)""",
+    "op5_license_scan": _license_sql(),
 }
