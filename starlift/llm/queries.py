@@ -114,5 +114,21 @@ ORACLE_SQL = {
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = max(doc_id) OVER w AS kept, sha256(t) AS text_sha256
         FROM (SELECT doc_id, {_LOWER} AS t FROM documents) WINDOW w AS (PARTITION BY t)""",
+    # distinct sets first, so copies meet once; then every pair that shares a shingle, and reachability by links
+    "op4_ngram_jaccard_join": f"""
+        WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+        s AS MATERIALIZED (
+            SELECT doc_id, list_sort(list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+                ELSE list_transform(range(1, len(ws) - 1), lambda i: array_to_string(ws[i : i + 2], ' ')) END)) AS sh FROM w),
+        c AS MATERIALIZED (SELECT sh, len(sh) AS n, min(doc_id) AS node FROM s WHERE len(sh) > 0 GROUP BY sh),
+        g AS MATERIALIZED (SELECT node, n, unnest(sh) AS x FROM c),
+        links AS MATERIALIZED (
+            SELECT a.node AS a, b.node AS b FROM g a JOIN g b ON a.x = b.x AND a.node <> b.node AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+            GROUP BY a.node, b.node, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+        reach(node, other) AS (
+            SELECT node, node FROM c UNION SELECT reach.node, links.b FROM reach JOIN links ON links.a = reach.other),
+        comp AS (SELECT node, min(other) AS component_id FROM reach GROUP BY node)
+        SELECT s.doc_id, len(s.sh) AS n_shingles, coalesce(comp.component_id, s.doc_id) AS component_id
+        FROM s LEFT JOIN c ON s.sh = c.sh LEFT JOIN comp ON comp.node = c.node""",
     "op5_license_scan": _license_sql(),
 }
