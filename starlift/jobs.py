@@ -112,9 +112,9 @@ def load_warehouse(spark: SparkSession, processed_dir: str, root: str) -> dict[s
     new: dict[str, DataFrame] = {}
     full: dict[str, DataFrame] = {}
 
-    def add(name, batch, natural_key, key_col, small=True):
+    def add(name, batch, natural_key, key_col):
         order = [SEQ] if SEQ in batch.columns else None   # file order: the first row of a key wins
-        new[name] = W.insert_if_absent(ex(name), batch, natural_key, key_col, order, small=small).drop(SEQ).cache()
+        new[name] = W.insert_if_absent(ex(name), batch, natural_key, key_col, order).drop(SEQ).cache()
         full[name] = _merge(ex(name), new[name])
 
     # dimensions
@@ -125,8 +125,7 @@ def load_warehouse(spark: SparkSession, processed_dir: str, root: str) -> dict[s
     add("dim_country", W.union_distinct([lay, jobs, sur], ["country_canonical"])
         .withColumn("continent", F.lit(None).cast("string")), ["country_canonical"], "country_key")
     add("dim_industry", W.union_distinct([lay, jobs, sur], ["industry_sector"]), ["industry_sector"], "industry_key")
-    add("dim_company", lay.select(F.col("company").alias("company_name")).dropna().distinct(),
-        ["company_name"], "company_key", small=False)
+    add("dim_company", lay.select(F.col("company").alias("company_name")).dropna().distinct(), ["company_name"], "company_key")
     roles_jobs = W.first_per_group(jobs, ["job_title"], [SEQ],
                                    ["role_category", "job_category", "is_llm_role"]).select(
         F.lit("job_title").alias("role_source"), F.col("job_title").alias("role_title"), "role_category",
@@ -156,7 +155,7 @@ def load_warehouse(spark: SparkSession, processed_dir: str, root: str) -> dict[s
                  SF.nan_to_null("percentage_laid_off").alias("percentage_laid_off"),
                  SF.nan_to_null("funds_raised").alias("funds_raised_usd_millions"),
                  F.col("source").alias("source_url"), SEQ)
-    add("fact_layoff_event", f, ["company_key", "date_key", "location"], "layoff_event_key", small=False)
+    add("fact_layoff_event", f, ["company_key", "date_key", "location"], "layoff_event_key")
 
     p = jobs.withColumn("role_source", F.lit("job_title"))
     p = W.lookup(p, full["dim_role"], {"role_source": "role_source", "job_title": "role_title"}, "role_key")
@@ -168,7 +167,7 @@ def load_warehouse(spark: SparkSession, processed_dir: str, root: str) -> dict[s
                  "salary_max_usd", "ai_salary_premium_pct", "demand_score", "demand_growth_yoy_pct",
                  "benefits_score_10", F.col("is_senior").cast("boolean").alias("is_senior"),
                  F.col("is_remote_friendly").cast("boolean").alias("is_remote_friendly"), "salary_tier", SEQ)
-    add("fact_job_posting", p, ["job_id"], "job_posting_key", small=False)
+    add("fact_job_posting", p, ["job_id"], "job_posting_key")
 
     s = sur.withColumn("role_source", F.lit("DevType"))
     s = W.lookup(s, full["dim_role"], {"role_source": "role_source", "DevType": "role_title"}, "role_key")
@@ -189,7 +188,7 @@ def load_warehouse(spark: SparkSession, processed_dir: str, root: str) -> dict[s
                  F.col("WorkExp").alias("work_exp"), F.col("YearsCode").alias("years_code"),
                  "experience_level_canonical", "converted_comp_yearly_winsorized",
                  F.col("JobSat").alias("job_sat"), "ai_open_topic_key", SEQ)
-    add("fact_survey_response", s, ["survey_year", "response_id"], "response_key", small=False)
+    add("fact_survey_response", s, ["survey_year", "response_id"], "response_key")
 
     # bridge (W15)
     b = jobs.select("job_id", F.explode(F.split("required_skills_normalized", r"\|")).alias("skill_name")) \
@@ -213,30 +212,78 @@ L_MODEL_VERSION = "nmf-2025-v1"
 
 
 def warehouse_constraints(t: dict[str, DataFrame]) -> list[W.Constraints]:
-    """The declared constraints of the facts and the mart (checked on the staged version)."""
-    tier = SF.salary_tier("annual_salary_usd")
+    """The declared constraints of every table (checked on the staged version).
+
+    A primary key is NOT NULL plus UNIQUE; a nullable foreign key holds where it is set.
+    """
+    c = F.col
+
+    def fk(*cols, **named):
+        parents = {col: ("dim_date", "date_key") if col.startswith("date") else (named[col], col) if col in named
+                   else (f"dim_{col.removesuffix('_key')}", col) for col in (*cols, *named)}
+        return {col: (t[table], pcol) for col, (table, pcol) in parents.items()}
+
+    title = c("role_source") == "job_title"
+    levels = ["Entry", "Mid", "Senior", "Lead"]
     return [
-        W.Constraints("fact_layoff_event", not_null=["date_key", "date_added_key", "company_key", "location", "stage"],
-                      unique=[["company_key", "date_key", "location"]],
-                      checks={"total_laid_off >= 0": F.col("total_laid_off") >= 0,
-                              "percentage_laid_off 0..1": F.col("percentage_laid_off").between(0, 1),
-                              "funds >= 0": F.col("funds_raised_usd_millions") >= 0},
-                      foreign_keys={"date_key": (t["dim_date"], "date_key"),
-                                    "company_key": (t["dim_company"], "company_key")}),
-        W.Constraints("fact_job_posting", not_null=["job_id", "date_key", "role_key"], unique=[["job_id"]],
-                      checks={"salary_min <= salary_max": F.col("salary_min_usd") <= F.col("salary_max_usd"),
-                              "is_senior derived": F.col("is_senior") == F.col("experience_level_canonical").isin(
-                                  "Senior", "Lead"),
-                              "is_remote_friendly derived": F.col("is_remote_friendly") == (
-                                  F.col("remote_work") != "On-site"),
-                              "salary_tier derived": F.col("salary_tier") == tier,
-                              "demand_score 0..100": F.col("demand_score").between(0, 100)}),
-        W.Constraints("fact_survey_response", not_null=["survey_year", "response_id", "ai_sentiment_key"],
-                      unique=[["survey_year", "response_id"]],
-                      checks={"job_sat 0..10": F.col("job_sat").between(0, 10),
-                              "experience bucket derived": F.col("experience_level_canonical").eqNullSafe(
-                                  SF.bucket_right_closed("work_exp"))}),
-        W.Constraints("mart_country_month", unique=[["country_canonical", "year", "month"]]),
+        W.Constraints("dim_date", not_null=["date_key", "full_date", "year", "quarter", "month", "month_name", "day"],
+                      unique=[["date_key"], ["full_date"]],
+                      checks={"quarter 1..4": c("quarter").between(1, 4), "month 1..12": c("month").between(1, 12),
+                              "day 1..31": c("day").between(1, 31),
+                              "smart key": c("date_key") == c("year") * 10000 + c("month") * 100 + c("day")}),
+        *[W.Constraints(f"dim_{name}", not_null=[f"{name}_key", label], unique=[[f"{name}_key"], [label]])
+          for name, label in (("country", "country_canonical"), ("industry", "industry_sector"),
+                              ("company", "company_name"), ("skill", "skill_name"))],
+        W.Constraints("dim_role", not_null=["role_key", "role_source", "role_title", "role_category"],
+                      unique=[["role_key"], ["role_source", "role_title"]],
+                      checks={"role_source": c("role_source").isin("job_title", "DevType"),
+                              "role_category": c("role_category").isin("Emerging", "Traditional"),
+                              "attributes by source": F.when(title, c("job_category").isNotNull() & c("is_llm_role").isNotNull())
+                              .otherwise(c("job_category").isNull() & c("is_llm_role").isNull())}),
+        W.Constraints("dim_ai_sentiment", not_null=["ai_sentiment_key", "ai_threat", "ai_select", "ai_sent", "ai_acc"],
+                      unique=[["ai_sentiment_key"], ["ai_threat", "ai_select", "ai_sent", "ai_acc"]]),
+        W.Constraints("dim_ai_open_topic", not_null=["ai_open_topic_key", "model_version", "component_id", "topic_label", "top_terms"],
+                      unique=[["ai_open_topic_key"], ["model_version", "component_id"], ["model_version", "topic_label"]],
+                      checks={"component_id >= 0": c("component_id") >= 0}),
+        W.Constraints("fact_layoff_event",
+                      not_null=["layoff_event_key", "date_key", "date_added_key", "company_key", "location", "stage"],
+                      unique=[["layoff_event_key"], ["company_key", "date_key", "location"]],
+                      checks={"total_laid_off >= 0": c("total_laid_off") >= 0,
+                              "percentage_laid_off 0..1": c("percentage_laid_off").between(0, 1),
+                              "funds >= 0": c("funds_raised_usd_millions") >= 0},
+                      foreign_keys=fk("date_key", "date_added_key", "company_key", "country_key", "industry_key")),
+        W.Constraints("fact_job_posting",
+                      not_null=["job_posting_key", "job_id", "date_key", "role_key", "country_key", "industry_key", "city",
+                                "company_size", "remote_work", "education_required", "experience_level_canonical",
+                                "years_of_experience", "annual_salary_usd", "salary_min_usd", "salary_max_usd",
+                                "ai_salary_premium_pct", "demand_score", "demand_growth_yoy_pct", "benefits_score_10",
+                                "is_senior", "is_remote_friendly", "salary_tier"],
+                      unique=[["job_posting_key"], ["job_id"]],
+                      checks={"salary_min <= salary_max": c("salary_min_usd") <= c("salary_max_usd"),
+                              "annual_salary > 0": c("annual_salary_usd") > 0,
+                              "years_of_experience >= 0": c("years_of_experience") >= 0,
+                              "experience_level": c("experience_level_canonical").isin(levels),
+                              "demand_score 0..100": c("demand_score").between(0, 100),
+                              "benefits_score 0..10": c("benefits_score_10").between(0, 10),
+                              "is_senior derived": c("is_senior") == c("experience_level_canonical").isin("Senior", "Lead"),
+                              "is_remote_friendly derived": c("is_remote_friendly") == (c("remote_work") != "On-site"),
+                              "salary_tier derived": c("salary_tier") == SF.salary_tier("annual_salary_usd")},
+                      foreign_keys=fk("date_key", "role_key", "country_key", "industry_key")),
+        W.Constraints("fact_survey_response", not_null=["response_key", "survey_year", "response_id", "ai_sentiment_key"],
+                      unique=[["response_key"], ["survey_year", "response_id"]],
+                      checks={"work_exp 0..100": c("work_exp").between(0, 100),
+                              "years_code 0..100": c("years_code").between(0, 100),
+                              "experience_level": c("experience_level_canonical").isin(levels),
+                              "converted_comp > 0": c("converted_comp_yearly_winsorized") > 0,
+                              "job_sat 0..10": c("job_sat").between(0, 10),
+                              "experience bucket derived": c("experience_level_canonical").eqNullSafe(
+                                  SF.bucket_right_closed("work_exp"))},
+                      foreign_keys=fk("role_key", "country_key", "industry_key", "ai_sentiment_key", "ai_open_topic_key")),
+        W.Constraints("fact_job_posting_skill", not_null=["job_posting_key", "skill_key"],
+                      unique=[["job_posting_key", "skill_key"]],
+                      foreign_keys=fk("skill_key", job_posting_key="fact_job_posting")),
+        W.Constraints("mart_country_month", not_null=["country_canonical", "year", "month"],
+                      unique=[["country_canonical", "year", "month"]]),
     ]
 
 

@@ -88,12 +88,6 @@ def assign_keys(df: DataFrame, order_cols: Sequence[str], key_col: str, start: i
     return joined.select(key.alias(key_col), *[F.col(c) for c in df.columns])
 
 
-def assign_keys_small(df: DataFrame, order_cols: Sequence[str], key_col: str, start: int = 1) -> DataFrame:
-    """W7 for dimensions bounded by a vocabulary (tens to thousands of rows): a single ordered window."""
-    w = Window.orderBy(*order_cols)
-    return df.select((F.row_number().over(w) + F.lit(start - 1)).cast("long").alias(key_col), *df.columns)
-
-
 # ---------------------------------------------------------------- W2-W6 dimensions
 
 def union_distinct(frames: Sequence[DataFrame], cols: Sequence[str]) -> DataFrame:
@@ -122,7 +116,7 @@ def junk_dimension(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def insert_if_absent(existing: DataFrame | None, batch: DataFrame, natural_key: Sequence[str], key_col: str,
-                     order_cols: Sequence[str] | None = None, small: bool = False) -> DataFrame:
+                     order_cols: Sequence[str] | None = None) -> DataFrame:
     """Rows of ``batch`` whose natural key is not yet in ``existing``, with new keys.
 
     In-batch duplicates: the first by ``order_cols`` wins (else the natural key
@@ -133,7 +127,7 @@ def insert_if_absent(existing: DataFrame | None, batch: DataFrame, natural_key:
     ranked = first_per_group(batch, natural_key, order_cols,
                              [c for c in batch.columns if c not in natural_key])
     fresh = ranked if existing is None else ranked.join(existing.select(*natural_key), list(natural_key), "left_anti")
-    keyed = (assign_keys_small if small else assign_keys)(fresh, list(natural_key), key_col)
+    keyed = assign_keys(fresh, list(natural_key), key_col)
     if existing is None:
         return keyed
     base = existing.agg(F.coalesce(F.max(key_col), F.lit(0)).alias("__base"))  # one row
@@ -225,13 +219,13 @@ def country_month_mart(fact: DataFrame, dim_date: DataFrame, dim_country: DataFr
     """Inner join calendar, LEFT join country (missing -> '(Unknown)'),
     count(*), sum(headcount), avg(share) per (country, year, month).
 
-    The calendar is bounded by the date span and the country dimension by the
-    vocabulary, so both joins broadcast; the aggregate is partial per partition.
+    Adaptive execution broadcasts the calendar and the country dimension by
+    their measured sizes; the aggregate is partial per partition.
     """
     f = fact.select(F.col(date_key).alias("__fdk"), F.col(country_key).alias("__fck"), headcount, share)
-    j = (f.join(F.broadcast(dim_date.select(F.col("date_key").alias("__dk"), "year", "month")),
+    j = (f.join(dim_date.select(F.col("date_key").alias("__dk"), "year", "month"),
                 F.col("__fdk") == F.col("__dk"))
-         .join(F.broadcast(dim_country.select(F.col("country_key").alias("__ck"), "country_canonical")),
+         .join(dim_country.select(F.col("country_key").alias("__ck"), "country_canonical"),
                F.col("__fck") == F.col("__ck"), "left"))
     return j.groupBy(F.coalesce(F.col("country_canonical"), F.lit("(Unknown)")).alias("country_canonical"),
                      "year", "month").agg(

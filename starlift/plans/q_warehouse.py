@@ -45,7 +45,7 @@ def _dim_country(t: Tables) -> DataFrame:
     srcs = [CF.conform(df.select("country"), "country", cmap, "country_canonical", extra=["continent"])
             for df in (conformed_layoffs(t), S.posting_labels(t), sup)]
     d = W.union_distinct(srcs, ["country_canonical", "continent"])
-    return W.assign_keys_small(d, ["country_canonical"], "country_key")
+    return W.assign_keys(d, ["country_canonical"], "country_key")
 
 
 def dim_industry(t: Tables) -> DataFrame:
@@ -55,7 +55,7 @@ def dim_industry(t: Tables) -> DataFrame:
 def _dim_industry(t: Tables) -> DataFrame:
     posting_sectors = S.posting_labels(t).withColumn("industry_sector", SF.map_lookup("family", S.SEGMENT_SECTOR))
     d = W.union_distinct([conformed_layoffs(t), posting_sectors], ["industry_sector"])
-    return W.assign_keys_small(d, ["industry_sector"], "industry_key")
+    return W.assign_keys(d, ["industry_sector"], "industry_key")
 
 
 def dim_company(t: Tables) -> DataFrame:
@@ -105,7 +105,7 @@ def _dim_role(t: Tables) -> DataFrame:
         F.lit("source").alias("role_source"), F.col("source").alias("role_title"),
         F.lit("Traditional").alias("role_category"))
     both = titles.unionByName(sources, allowMissingColumns=True)
-    return W.assign_keys_small(both, ["role_source", "role_title"], "role_key")
+    return W.assign_keys(both, ["role_source", "role_title"], "role_key")
 
 
 JUNK_COLS = ["lang", "source", "quality_answer", "toxic_answer"]
@@ -118,7 +118,7 @@ def dim_answer_combo(t: Tables) -> DataFrame:
 def _dim_answer_combo(t: Tables) -> DataFrame:
     """Junk dimension of four low-cardinality answers."""
     d = W.junk_dimension(S.labelled_docs(t), JUNK_COLS)
-    return W.assign_keys_small(d, JUNK_COLS, "answer_combo_key")
+    return W.assign_keys(d, JUNK_COLS, "answer_combo_key")
 
 
 def dim_skill(t: Tables) -> DataFrame:
@@ -127,7 +127,7 @@ def dim_skill(t: Tables) -> DataFrame:
 
 def _dim_skill(t: Tables) -> DataFrame:
     d = S.posting_skills(t).select(F.col("skill").alias("skill_name")).where("skill_name != ''").distinct()
-    return W.assign_keys_small(d, ["skill_name"], "skill_key")
+    return W.assign_keys(d, ["skill_name"], "skill_key")
 
 
 def fact_job_posting(t: Tables) -> DataFrame:

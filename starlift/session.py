@@ -39,12 +39,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names a shared (distributed) folder and is
-    used as is. Only when it is unset (tests, local runs) do we create a
-    scratch folder of our own.
+    used as is. Only when it is unset in a local run do we create a scratch
+    folder of our own; on a cluster an unset folder is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         current = tempfile.mkdtemp(prefix="starlift-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)

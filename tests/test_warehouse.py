@@ -19,12 +19,12 @@ def test_assign_keys_dense_in_natural_order(spark):
 
 def test_insert_if_absent_first_wins_and_repeat_inserts_nothing(spark):
     batch = spark.createDataFrame([("b", 2), ("a", 1), ("b", 3)], "name string, v int")
-    first = W.insert_if_absent(None, batch, ["name"], "key", order_cols=["v"], small=True)
+    first = W.insert_if_absent(None, batch, ["name"], "key", order_cols=["v"])
     assert sorted((r.key, r.name, r.v) for r in first.collect()) == [(1, "a", 1), (2, "b", 2)]
     more = spark.createDataFrame([("c", 9), ("a", 5)], "name string, v int")
-    second = W.insert_if_absent(first, more, ["name"], "key", small=True)
+    second = W.insert_if_absent(first, more, ["name"], "key")
     assert [(r.key, r.name) for r in second.collect()] == [(3, "c")]
-    assert W.insert_if_absent(first.unionByName(second), batch, ["name"], "key", small=True).count() == 0
+    assert W.insert_if_absent(first.unionByName(second), batch, ["name"], "key").count() == 0
 
 
 def test_constraints_report_violations(spark):
@@ -110,3 +110,45 @@ def test_jobs_end_to_end_idempotent(spark, tmpdir_path):
     assert all(v == 0 for v in again.values()), again
     mart = W.read_published(spark, root, "mart_country_month")
     assert mart.where("country_canonical = '(Unknown)'").first().layoff_events == 1
+
+
+def _published(spark, tmpdir_path):
+    raw, out, root = (os.path.join(tmpdir_path, d) for d in ("raw", "out", "wh"))
+    os.makedirs(raw)
+    paths = {}
+    for name, text in (("layoffs", LAYOFFS_CSV), ("ai_jobs", JOBS_CSV), ("survey", SURVEY_CSV)):
+        paths[name] = os.path.join(raw, f"{name}.csv")
+        with open(paths[name], "w") as fh:
+            fh.write(text)
+    assert J.run_all(spark, paths, out, with_features=False)[2] == 0
+    J.load_warehouse(spark, os.path.join(out, "processed"), root)
+    manifest = W.read_if_written(spark, os.path.join(root, "_manifests"))
+    return {r.table_name: W.read_published(spark, root, r.table_name) for r in manifest.collect()}
+
+
+def test_declared_constraints_catch_bad_rows(spark, tmpdir_path):
+    t = _published(spark, tmpdir_path)
+    by_table = {c.table: c for c in J.warehouse_constraints(t)}
+    assert set(by_table) == set(t)
+    bad = {
+        "dim_date": {"quarter": 5, "day": 40},
+        "dim_role": {"role_source": "other", "role_category": None},
+        "fact_layoff_event": {"date_added_key": 19000101, "country_key": 999, "industry_key": 999, "total_laid_off": -1.0},
+        "fact_job_posting": {"city": None, "annual_salary_usd": 0.0, "benefits_score_10": 11.0, "experience_level_canonical": "Boss", "role_key": 999},
+        "fact_survey_response": {"work_exp": 101.0, "converted_comp_yearly_winsorized": 0.0, "country_key": 999},
+        "fact_job_posting_skill": {"skill_key": 999, "job_posting_key": None},
+    }
+    want = {
+        "dim_date": {"check(quarter 1..4)", "check(day 1..31)", "check(smart key)"},
+        "dim_role": {"not_null(role_category)", "check(role_source)", "check(attributes by source)"},
+        "fact_layoff_event": {"fk(date_added_key)", "fk(country_key)", "fk(industry_key)", "check(total_laid_off >= 0)"},
+        "fact_job_posting": {"not_null(city)", "check(annual_salary > 0)", "check(benefits_score 0..10)", "check(experience_level)",
+                             "check(salary_tier derived)", "fk(role_key)"},
+        "fact_survey_response": {"check(work_exp 0..100)", "check(converted_comp > 0)", "check(experience bucket derived)", "fk(country_key)"},
+        "fact_job_posting_skill": {"not_null(job_posting_key)", "fk(skill_key)"},
+    }
+    for name, values in bad.items():
+        df = t[name]
+        one = df.limit(1).withColumns({c: F.lit(v).cast(df.schema[c].dataType) for c, v in values.items()})
+        got = {r.constraint_name for r in W.check_constraints(one, by_table[name]).where("violations > 0").collect()}
+        assert want[name] <= got, (name, got)
