@@ -90,7 +90,38 @@ def run_all(spark: SparkSession, raw_paths: dict[str, str], out_dir: str,
 
 # ---------------------------------------------------------------- J3 warehouse load
 
-TOPIC_SCHEMA = schema_of("model_version string, component_id bigint, topic_label string, top_terms string")
+TOPIC_SCHEMA = schema_of("model_version string, component_id int, topic_label string, top_terms string")
+
+#: Columns and types of every published table (W20 compares them with what is on disk).
+TABLE_SCHEMAS = {name: schema_of(ddl) for name, ddl in {
+    "dim_date": "date_key int, full_date date, year int, quarter int, month int, month_name string, day int",
+    "dim_country": "country_key bigint, country_canonical string, continent string",
+    "dim_industry": "industry_key bigint, industry_sector string",
+    "dim_company": "company_key bigint, company_name string",
+    "dim_role": "role_key bigint, role_source string, role_title string, role_category string, job_category string, "
+                "is_llm_role boolean",
+    "dim_ai_sentiment": "ai_sentiment_key bigint, ai_threat string, ai_select string, ai_sent string, ai_acc string",
+    "dim_skill": "skill_key bigint, skill_name string",
+    "dim_ai_open_topic": "ai_open_topic_key bigint, model_version string, component_id int, topic_label string, top_terms string",
+    "fact_layoff_event": "layoff_event_key bigint, date_key int, date_added_key int, company_key bigint, country_key bigint, "
+                         "industry_key bigint, location string, stage string, total_laid_off double, "
+                         "percentage_laid_off double, funds_raised_usd_millions double, source_url string",
+    "fact_job_posting": "job_posting_key bigint, job_id string, date_key int, role_key bigint, country_key bigint, "
+                        "industry_key bigint, city string, company_size string, remote_work string, "
+                        "education_required string, experience_level_canonical string, years_of_experience bigint, "
+                        "annual_salary_usd double, salary_min_usd bigint, salary_max_usd bigint, "
+                        "ai_salary_premium_pct double, demand_score bigint, demand_growth_yoy_pct double, "
+                        "benefits_score_10 double, is_senior boolean, is_remote_friendly boolean, salary_tier string",
+    "fact_survey_response": "response_key bigint, survey_year int, response_id bigint, role_key bigint, country_key bigint, "
+                            "industry_key bigint, ai_sentiment_key bigint, main_branch string, age_bucket string, "
+                            "ed_level string, employment string, remote_work string, work_exp double, years_code double, "
+                            "experience_level_canonical string, converted_comp_yearly_winsorized double, job_sat double, "
+                            "ai_open_topic_key bigint",
+    "fact_job_posting_skill": "job_posting_key bigint, skill_key bigint",
+    "mart_country_month": "country_canonical string, year int, month int, layoff_events bigint, total_laid_off double, "
+                          "avg_percentage_laid_off double",
+}.items()}
+CALENDAR = ("2020-01-01", "2030-12-31")
 
 
 def _existing(spark, root, version, name):
@@ -118,7 +149,7 @@ def load_warehouse(spark: SparkSession, processed_dir: str, root: str) -> dict[s
         full[name] = _merge(ex(name), new[name])
 
     # dimensions
-    cal = W.calendar(spark, "2020-01-01", "2030-12-31")   # pre-seeded, gap-free; the smart key is the key
+    cal = W.calendar(spark, *CALENDAR)   # pre-seeded, gap-free; the smart key is the key
     dex = ex("dim_date")
     new["dim_date"] = (cal if dex is None else cal.join(dex.select("date_key"), "date_key", "left_anti")).cache()
     full["dim_date"] = _merge(dex, new["dim_date"])
@@ -204,6 +235,7 @@ def load_warehouse(spark: SparkSession, processed_dir: str, root: str) -> dict[s
     full["mart_country_month"] = W.country_month_mart(full["fact_layoff_event"], full["dim_date"], full["dim_country"])
     counts = {n: int(df.count()) for n, df in new.items()}
     if v == 0 or any(counts.values()):
+        full = {name: df.to(TABLE_SCHEMAS[name]) for name, df in full.items()}
         W.publish(full, root, constraints=warehouse_constraints(full))
     return counts
 
@@ -289,15 +321,29 @@ def warehouse_constraints(t: dict[str, DataFrame]) -> list[W.Constraints]:
 
 # ---------------------------------------------------------------- J4
 
+def empty_tables(spark: SparkSession) -> dict[str, DataFrame]:
+    """Every table with its columns and types and without rows, but for the calendar, which is seeded."""
+    tables = {name: spark.createDataFrame([], schema) for name, schema in TABLE_SCHEMAS.items()}
+    tables["dim_date"] = W.calendar(spark, *CALENDAR).to(TABLE_SCHEMAS["dim_date"])
+    return tables
+
+
 def ensure_warehouse(spark: SparkSession, root: str) -> int:
-    """Create the warehouse root if absent (an empty version 0 reads as 'nothing published')."""
-    os.makedirs(root, exist_ok=True) if "://" not in root else None
-    return W.current_version(spark, root)
+    """Publish the typed empty tables where nothing is published yet; returns the current version."""
+    return W.current_version(spark, root) or W.publish(empty_tables(spark), root)
+
+
+def reset_warehouse(spark: SparkSession, root: str) -> int:
+    """J4 reset: the typed empty tables become the next version; earlier versions stay readable by number."""
+    return W.publish(empty_tables(spark), root)
 
 
-def reset_warehouse(root: str, new_root_suffix: str) -> str:
-    """J4 reset: a fresh root; the old one is left for the operator to remove (no in-place delete)."""
-    return root.rstrip("/") + "_" + new_root_suffix
+def check_drift(spark: SparkSession, root: str) -> list[str]:
+    """Differences between TABLE_SCHEMAS and the current version, empty when there are none."""
+    version = W.current_version(spark, root)
+    names = [r.table_name for r in W.inventory_rows(spark, root).select("table_name").collect()]
+    found = W.schema_drift(TABLE_SCHEMAS, {n: W.read_published(spark, root, n, version).schema for n in names})
+    return found + [f"{n}: unknown table" for n in sorted(set(names) - set(TABLE_SCHEMAS))]
 
 
 def main(argv: list[str]) -> int:
@@ -313,6 +359,7 @@ def main(argv: list[str]) -> int:
     for name, msg in failures.items():
         print(f"[FAIL] {name}: {msg}")
     if not failures:
+        ensure_warehouse(spark, root)
         for table, n in load_warehouse(spark, os.path.join(out_dir, "processed"), root).items():
             print(f"[OK]   {table}: {n} row(s) inserted")
     return status

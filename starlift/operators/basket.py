@@ -7,11 +7,12 @@
   looked up in the itemset table.
 * B3 co-occurrence: the item x item Gram matrix ``Bᵀ B`` of the basket
   incidence matrix. Each partition multiplies its own baskets (numpy, dense
-  blocks over the frequent-item index) and emits at most one partial count
-  per item pair; one grouped aggregate adds the partials. No basket ever
-  emits its own list of pairs, so a huge basket costs O(blocks) matrix work,
-  not a quadratic stream of rows, and baskets are first reduced to their
-  distinct frequent items (an aggregate, combined map-side).
+  blocks over the frequent-item index), holds at most HELD_BLOCKS blocks of
+  partial counts and emits them when another is needed; one grouped aggregate
+  adds the partials. No basket ever emits its own list of pairs, so a huge
+  basket costs O(blocks) matrix work, not a quadratic stream of rows, and
+  baskets are first reduced to their distinct frequent items (an aggregate,
+  combined map-side).
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ITEM_SEP = "|"
+#: Blocks of partial counts that one task holds (block * block * 8 bytes each).
+HELD_BLOCKS = 8
 
 
 def baskets(df: DataFrame, basket_col: str, item_col: str) -> DataFrame:
@@ -62,7 +65,14 @@ def association_rules(itemsets: DataFrame, n_baskets: DataFrame, min_lift: float
     return out.where((F.col("lift") >= min_lift) & (F.col("confidence") >= min_confidence))
 
 
-def _gram_fn(n_items: int, block: int):
+def _gram_fn(n_items: int, block: int, held: int = HELD_BLOCKS):
+    def counts(key, c):
+        bi, bj = key
+        if bi == bj:
+            c = np.triu(c, k=1)
+        a, b = np.nonzero(c)
+        return pd.DataFrame({"a": a + bi * block, "b": b + bj * block, "w": c[a, b]})
+
     def gram(batches):
         acc: dict[tuple[int, int], np.ndarray] = {}
         nb = (n_items + block - 1) // block
@@ -91,13 +101,15 @@ def _gram_fn(n_items: int, block: int):
                         Bj[rows[mj], cols[mj] - bj * block] = 1.0
                     c = (Bi.T @ Bj).astype(np.int64)  # exact: counts per batch < 2**24
                     key = (bi, bj)
-                    acc[key] = acc.get(key, 0) + c
-        for (bi, bj), c in acc.items():
-            if bi == bj:
-                c = np.triu(c, k=1)
-            a, b = np.nonzero(c)
-            if len(a):
-                yield pd.DataFrame({"a": a + bi * block, "b": b + bj * block, "w": c[a, b]})
+                    if key in acc:
+                        acc[key] += c
+                        continue
+                    if len(acc) == held:
+                        oldest = next(iter(acc))
+                        yield counts(oldest, acc.pop(oldest))
+                    acc[key] = c
+        for key, c in acc.items():
+            yield counts(key, c)
     return gram
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starlift import functions as SF
+from starlift.operators import stats as ST
 
 
 def conform(df: DataFrame, col: str, mapping: Mapping[str, str] | DataFrame, out: str,
@@ -38,17 +39,14 @@ def fill_unknown(df: DataFrame, cols: Sequence[str], label: str = "Unknown") ->
 
 def percentile_bounds(df: DataFrame, col: str, lower: float = 0.01, upper: float = 0.99) -> DataFrame:
     """One-row DataFrame (lo, hi) of exact, linearly interpolated percentiles over non-NULL values."""
-    return df.where(F.col(col).isNotNull()).agg(
-        F.percentile(F.col(col).cast("double"), F.array(F.lit(lower), F.lit(upper))).alias("__p")
-    ).select(F.col("__p")[0].alias("__lo"), F.col("__p")[1].alias("__hi"))
+    return ST.quantiles(df, [], col, {"__lo": lower, "__hi": upper})
 
 
 def winsorize(df: DataFrame, col: str, out: str | None = None, lower: float = 0.01, upper: float = 0.99) -> DataFrame:
     """Clip to the ``lower``/``upper`` percentiles; NULL stays NULL; no data -> unchanged.
 
     The bounds are a single row, joined with a broadcast (its size is one row
-    by construction). ``percentile`` is exact and interpolates like pandas;
-    ``percentile_approx`` would not (§7.3 X3).
+    by construction); they are exact and interpolate like pandas (§7.3 X3).
     """
     bounds = percentile_bounds(df, col, lower, upper)
     out = out or col

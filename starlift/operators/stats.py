@@ -1,27 +1,73 @@
 """Statistical building blocks for the analytic tiles.
 
-Medians and percentiles are exact (``percentile`` interpolates like pandas
-and ``quantile_cont``); pass ``approx=True`` for very large groups, which
-swaps in ``percentile_approx`` (bounded memory per group).
+Medians and quantiles are exact and interpolate like pandas and
+``quantile_cont``. They are found by rank in a range-sorted table of value
+counts, so a group of any size is spread over tasks.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starlift import functions as SF
+from starlift.session import ensure_checkpoint_dir
 
+_IDX_BITS = 33  # monotonically_increasing_id = partition index << 33 | row index in partition
 
-def median(col: str, approx: bool = False, accuracy: int = 10000) -> Column:
-    return F.percentile_approx(col, 0.5, accuracy) if approx else F.median(col)
 
+def quantiles(df: DataFrame, keys: Sequence[str], col: str, probs: Mapping[str, float]) -> DataFrame:
+    """``keys`` and one double column per entry of ``probs``: exact, linearly interpolated quantiles of non-NULL values.
 
-def quantiles(col: str, probs: Sequence[float], approx: bool = False, accuracy: int = 10000) -> Column:
-    arr = F.array(*[F.lit(p) for p in probs])
-    return F.percentile_approx(col, arr, accuracy) if approx else F.percentile(col, arr)
+    1. values are counted per group (combined map-side);
+    2. the counts are range-sorted by group and value and checkpointed, so a hot group spans partitions;
+    3. partition sums per group (partitions + groups rows) give the rank at which each partition starts;
+    4. the values at the two ranks next to each quantile are picked by a plain aggregate.
+
+    A group without values has no row; without keys and values there is one row of NULLs.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    keys = list(keys)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    counted = (df.select(*keys, F.col(col).cast("double").alias("__v")).where(F.col("__v").isNotNull())
+               .groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__n")))
+    ranked = (counted.repartitionByRange(n, *keys, "__v").sortWithinPartitions(*keys, "__v")
+              .withColumn("__at", F.monotonically_increasing_id()).checkpoint(eager=True)
+              .withColumn("__p", F.shiftrightunsigned("__at", _IDX_BITS)))
+    earlier = Window.partitionBy(*keys).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (ranked.groupBy(*keys, "__p").agg(F.sum("__n").alias("__s"))
+              .withColumn("__zero", F.coalesce(F.sum("__s").over(earlier), F.lit(0)))
+              .withColumn("__total", F.sum("__s").over(Window.partitionBy(*keys))).drop("__s"))
+    so_far = Window.partitionBy(*keys, "__p").orderBy("__at").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = null_safe_join(ranked.withColumn("__to", F.sum("__n").over(so_far)), starts, [*keys, "__p"], "inner")
+    end = F.col("__zero") + F.col("__to")
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((end - F.col("__n") <= rank) & (rank < end), F.col("__v")))
+
+    place = {name: (F.col("__total") - 1) * F.lit(float(q)) for name, q in probs.items()}
+    g = ranked.groupBy(*keys).agg(*[x for name, pos in place.items() for x in (
+        at(F.floor(pos)).alias(f"__lo_{name}"), at(F.ceil(pos)).alias(f"__hi_{name}"),
+        F.max(pos - F.floor(pos)).alias(f"__part_{name}"))])
+    return g.select(*keys, *[F.when(F.col(f"__lo_{name}") == F.col(f"__hi_{name}"), F.col(f"__lo_{name}")).otherwise(
+        (1.0 - F.col(f"__part_{name}")) * F.col(f"__lo_{name}") + F.col(f"__part_{name}") * F.col(f"__hi_{name}")).alias(name)
+        for name in probs])
+
+
+def with_quantiles(grouped: DataFrame, df: DataFrame, keys: Sequence[str], col: str, probs: Mapping[str, float]) -> DataFrame:
+    """``grouped`` (one row per group of ``df``) with the quantiles of ``col`` in each group; NULL where it has no values."""
+    return null_safe_join(grouped, quantiles(df, keys, col, probs), keys, "left")
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Equi-join on ``keys`` where NULL equals NULL; each key appears once."""
+    r = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
+    cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__r_{k}")) for k in keys])
+    return left.join(r, cond, how).drop(*[f"__r_{k}" for k in keys])
 
 
 def share_of_total(col: str, partition: Sequence[str] = ()) -> Column:

@@ -303,15 +303,17 @@ def publish(tables: Mapping[str, DataFrame], root: str, constraints: Sequence[Co
     return version
 
 
+def inventory_rows(spark: SparkSession, root: str) -> DataFrame:
+    """The manifest rows of the current version, one per table."""
+    return _committed_versions(spark, root).where(F.col("version") == current_version(spark, root))
+
+
 def inventory(spark: SparkSession, root: str) -> DataFrame:
     """Number of dimension, fact and mart tables in the current version."""
-    m = _committed_versions(spark, root)
-    v = current_version(spark, root)
-    cur = m.where(F.col("version") == v)
     kind = (F.when(F.col("table_name").startswith("dim_"), "dimension")
             .when(F.col("table_name").startswith("fact_"), "fact")
             .when(F.col("table_name").startswith("mart_"), "mart").otherwise("other"))
-    return cur.groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("tables"))
+    return inventory_rows(spark, root).groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("tables"))
 
 
 def schema_drift(expected: Mapping[str, StructType], actual: Mapping[str, StructType]) -> list[str]:

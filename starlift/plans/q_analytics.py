@@ -157,11 +157,11 @@ SELECT coalesce(industry_sector, 'Unmapped') AS industry_sector, {R('median(perc
        {R('avg(CASE WHEN percentage_laid_off = 1 THEN 1.0 ELSE 0.0 END)')} AS shutdown_share
 FROM evm GROUP BY 1"""))
 def a7_depth_by_sector(spark, sf_dir):
-    ev = events(Tables(spark, sf_dir))
-    g = ev.groupBy(F.coalesce("industry_sector", F.lit("Unmapped")).alias("industry_sector")).agg(
-        ST.median("percentage_laid_off").alias("m"), F.sum("total_laid_off").alias("people"),
-        F.count(F.lit(1)).alias("events"),
+    ev = events(Tables(spark, sf_dir)).withColumn("industry_sector", F.coalesce("industry_sector", F.lit("Unmapped")))
+    g = ev.groupBy("industry_sector").agg(
+        F.sum("total_laid_off").alias("people"), F.count(F.lit(1)).alias("events"),
         F.avg((F.col("percentage_laid_off") == 1).cast("double")).alias("sd"))
+    g = ST.with_quantiles(g, ev, ["industry_sector"], "percentage_laid_off", {"m": 0.5})
     return g.select("industry_sector", r("m").alias("median_share_cut"), r("people", 2).alias("people"),
                     r(ST.share_of_total("people") * 100.0).alias("pct_of_people"), "events",
                     r("sd").alias("shutdown_share"))
@@ -192,12 +192,12 @@ SELECT {_POOL_SQL} AS stage_group, CAST(count(*) AS BIGINT) AS events, {R('media
 FROM evm GROUP BY 1 HAVING count(*) >= {MIN_GROUP_N}"""))
 def a9_depth_by_stage(spark, sf_dir):
     """Pool small stages into 'Other', then suppress groups below N."""
-    ev = events(Tables(spark, sf_dir))
     grp = F.when(F.col("stage").isin(*POOLED_STAGES), F.lit("Other")).otherwise(F.col("stage"))
-    g = ev.groupBy(grp.alias("stage_group")).agg(
-        F.count(F.lit(1)).alias("events"), r(ST.median("percentage_laid_off")).alias("median_share_cut"),
-        r(F.avg((F.col("percentage_laid_off") == 1).cast("double"))).alias("shutdown_share"))
-    return g.where(F.col("events") >= MIN_GROUP_N)
+    ev = events(Tables(spark, sf_dir)).withColumn("stage_group", grp)
+    g = ev.groupBy("stage_group").agg(
+        F.count(F.lit(1)).alias("events"), r(F.avg((F.col("percentage_laid_off") == 1).cast("double"))).alias("shutdown_share"))
+    g = ST.with_quantiles(g, ev, ["stage_group"], "percentage_laid_off", {"m": 0.5})
+    return g.where(F.col("events") >= MIN_GROUP_N).select("stage_group", "events", r("m").alias("median_share_cut"), "shutdown_share")
 
 
 @register("a10_shutdown_by_year", _sql(f"""
@@ -226,7 +226,7 @@ def a11_event_scatter(spark, sf_dir):
     ev = events(Tables(spark, sf_dir))
     top = ev.where(F.col("total_laid_off").isNotNull()).orderBy(F.desc("total_laid_off"), "event_id") \
         .limit(TOP_N).select("event_id", F.lit(True).alias("__top"))
-    med = ev.agg(ST.median("total_laid_off").alias("__m"))
+    med = ST.quantiles(ev, [], "total_laid_off", {"__m": 0.5})
     j = ev.join(F.broadcast(top), "event_id", "left").crossJoin(F.broadcast(med))
     return j.select("event_id", "event_date", r(F.log10("total_laid_off")).alias("log_size"),
                     F.coalesce("__top", F.lit(False)).alias("is_top"),
@@ -356,9 +356,9 @@ SELECT family, {R('median(salary)')} AS median_salary, {R('avg(demand_growth)')}
        CAST(count(*) AS BIGINT) AS postings FROM poc GROUP BY family"""))
 def a18_family_bubble(spark, sf_dir):
     po = postings(Tables(spark, sf_dir))
-    return po.groupBy("family").agg(r(ST.median("salary")).alias("median_salary"),
-                                    r(F.avg("demand_growth")).alias("mean_demand_growth"),
-                                    F.count(F.lit(1)).alias("postings"))
+    g = po.groupBy("family").agg(r(F.avg("demand_growth")).alias("mean_demand_growth"), F.count(F.lit(1)).alias("postings"))
+    g = ST.with_quantiles(g, po, ["family"], "salary", {"m": 0.5})
+    return g.select("family", r("m").alias("median_salary"), "mean_demand_growth", "postings")
 
 
 @register("a19_salary_spread", _sql(f"""
@@ -370,11 +370,11 @@ SELECT title, {R('p0')} AS p0, {R('p25')} AS p25, {R('p50')} AS p50, {R('p75')}
 def a19_salary_spread(spark, sf_dir):
     """Five-number spread per title inside one family; which spread the bar shows is the caller's choice."""
     po = postings(Tables(spark, sf_dir)).where(F.col("family") == FOCUS_FAMILY)
-    s = po.groupBy("title").agg(ST.quantiles("salary", [0.0, 0.25, 0.5, 0.75, 1.0]).alias("q"),
-                                F.count(F.lit(1)).alias("postings"))
-    w = Window.orderBy(F.desc(F.col("q")[2]), "title")
-    return s.select("title", *[r(F.col("q")[i]).alias(n) for i, n in enumerate(["p0", "p25", "p50", "p75", "p100"])],
-                    "postings", (F.row_number().over(w) == 1).alias("is_top"))
+    spread_at = {"p0": 0.0, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p100": 1.0}
+    s = po.groupBy("title").agg(F.count(F.lit(1)).alias("postings"))
+    s = ST.with_quantiles(s, po, ["title"], "salary", spread_at)
+    w = Window.orderBy(F.desc("p50"), "title")
+    return s.select("title", *[r(n).alias(n) for n in spread_at], "postings", (F.row_number().over(w) == 1).alias("is_top"))
 
 
 @register("a20_median_by_degree", _sql(f"""
@@ -382,9 +382,9 @@ SELECT education, {R('median(salary)')} AS median_salary, {R('min(salary)', 2)}
        {R('max(salary)', 2)} AS max_salary, CAST(count(*) AS BIGINT) AS postings FROM poc GROUP BY education"""))
 def a20_median_by_degree(spark, sf_dir):
     po = postings(Tables(spark, sf_dir))
-    return po.groupBy("education").agg(r(ST.median("salary")).alias("median_salary"),
-                                       r(F.min("salary"), 2).alias("min_salary"), r(F.max("salary"), 2).alias("max_salary"),
-                                       F.count(F.lit(1)).alias("postings"))
+    g = po.groupBy("education").agg(F.min("salary").alias("lo"), F.max("salary").alias("hi"), F.count(F.lit(1)).alias("postings"))
+    g = ST.with_quantiles(g, po, ["education"], "salary", {"m": 0.5})
+    return g.select("education", r("m").alias("median_salary"), r("lo", 2).alias("min_salary"), r("hi", 2).alias("max_salary"), "postings")
 
 
 @register("a21_uplift_vs_entry", _sql(f"""
@@ -393,7 +393,7 @@ SELECT experience_level, {R('med')} AS median_salary,
        {R("(med / (SELECT med FROM m WHERE experience_level = 'Entry') - 1) * 100.0")} AS pct_vs_entry FROM m"""))
 def a21_uplift_vs_entry(spark, sf_dir):
     po = postings(Tables(spark, sf_dir)).where(F.col("experience_level").isNotNull())
-    m = po.groupBy("experience_level").agg(ST.median("salary").alias("med"))
+    m = ST.with_quantiles(po.select("experience_level").distinct(), po, ["experience_level"], "salary", {"med": 0.5})
     base = m.where(F.col("experience_level") == "Entry").select(F.col("med").alias("__base"))
     return m.crossJoin(F.broadcast(base)).select(
         "experience_level", r("med").alias("median_salary"),
@@ -438,9 +438,9 @@ FROM psf GROUP BY skill HAVING count(DISTINCT posting_id) >= {MIN_GROUP_N}""", _
 def a23_most_requested_skills(spark, sf_dir):
     psf = _skills_with_family(Tables(spark, sf_dir))
     g = psf.groupBy("skill").agg(F.count_distinct("posting_id").alias("postings"),
-                                 r(F.avg("demand_score")).alias("avg_demand_score"),
-                                 r(ST.median("salary")).alias("median_salary"))
-    return g.where(F.col("postings") >= MIN_GROUP_N)
+                                 r(F.avg("demand_score")).alias("avg_demand_score"))
+    g = ST.with_quantiles(g.where(F.col("postings") >= MIN_GROUP_N), psf, ["skill"], "salary", {"m": 0.5})
+    return g.select("skill", "postings", "avg_demand_score", r("m").alias("median_salary"))
 
 
 @register("a24_family_top_skills", _sql(f"""
@@ -546,13 +546,15 @@ SELECT title, {R('median(ratio)')} AS median_pay_vs_peers, CAST(count(*) AS BIGI
 def a29_pay_vs_peers(spark, sf_dir):
     """A29 (our definition, §7.3 X9): ratio to the (country, experience) cell median with N >= 30."""
     po = postings(Tables(spark, sf_dir)).where(F.col("experience_level").isNotNull())
-    cells = po.groupBy("country_canonical", "experience_level").agg(
-        ST.median("salary").alias("cell_median"), F.count(F.lit(1)).alias("__n")).where(F.col("__n") >= MIN_GROUP_N)
-    ratios = po.join(cells, ["country_canonical", "experience_level"]).select(
+    cell = ["country_canonical", "experience_level"]
+    cells = po.groupBy(*cell).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") >= MIN_GROUP_N)
+    cells = ST.with_quantiles(cells, po, cell, "salary", {"cell_median": 0.5})
+    ratios = po.join(cells, cell).select(
         "title", (F.col("salary") / F.col("cell_median") - 1).alias("ratio"))
-    return ratios.groupBy("title").agg(r(ST.median("ratio")).alias("median_pay_vs_peers"),
-                                       F.count(F.lit(1)).alias("postings"),
-                                       r(F.avg((F.col("ratio") > 0).cast("double"))).alias("share_above_peers"))
+    g = ratios.groupBy("title").agg(F.count(F.lit(1)).alias("postings"),
+                                    r(F.avg((F.col("ratio") > 0).cast("double"))).alias("share_above_peers"))
+    g = ST.with_quantiles(g, ratios, ["title"], "ratio", {"m": 0.5})
+    return g.select("title", r("m").alias("median_pay_vs_peers"), "postings", "share_above_peers")
 
 
 _WL_LO, _WL_HI = _wilson_sql("yes", "n")

@@ -121,13 +121,15 @@ def _published(spark, tmpdir_path):
         with open(paths[name], "w") as fh:
             fh.write(text)
     assert J.run_all(spark, paths, out, with_features=False)[2] == 0
+    assert J.ensure_warehouse(spark, root) == J.ensure_warehouse(spark, root) == 1
+    assert J.check_drift(spark, root) == [] and W.read_published(spark, root, "dim_role").count() == 0
     J.load_warehouse(spark, os.path.join(out, "processed"), root)
-    manifest = W.read_if_written(spark, os.path.join(root, "_manifests"))
-    return {r.table_name: W.read_published(spark, root, r.table_name) for r in manifest.collect()}
+    assert W.current_version(spark, root) == 2 and J.check_drift(spark, root) == []
+    return {name: W.read_published(spark, root, name) for name in J.TABLE_SCHEMAS}, root
 
 
 def test_declared_constraints_catch_bad_rows(spark, tmpdir_path):
-    t = _published(spark, tmpdir_path)
+    t, root = _published(spark, tmpdir_path)
     by_table = {c.table: c for c in J.warehouse_constraints(t)}
     assert set(by_table) == set(t)
     bad = {
@@ -152,3 +154,14 @@ def test_declared_constraints_catch_bad_rows(spark, tmpdir_path):
         one = df.limit(1).withColumns({c: F.lit(v).cast(df.schema[c].dataType) for c, v in values.items()})
         got = {r.constraint_name for r in W.check_constraints(one, by_table[name]).where("violations > 0").collect()}
         assert want[name] <= got, (name, got)
+    assert t["fact_layoff_event"].count() == 3 and J.reset_warehouse(spark, root) == 3
+    assert W.read_published(spark, root, "fact_layoff_event").count() == 0
+    assert W.read_published(spark, root, "fact_layoff_event", version=2).count() == 3
+
+
+def test_schema_drift_names_every_difference(spark):
+    want = {"a": spark.createDataFrame([], "x int, y string").schema, "b": spark.createDataFrame([], "x int").schema}
+    have = {"a": spark.createDataFrame([], "x long, y string").schema}
+    assert W.schema_drift(want, have) == ["a.x: type bigint != int", "b: missing table"]
+    assert W.schema_drift({"a": want["a"]}, {"a": want["b"]})[0].startswith("a: columns")
+    assert W.schema_drift(want, want) == []
