@@ -65,3 +65,49 @@ def c10_tag_normalization(spark, sf_dir):
     raw = S.order_brands(Tables(spark, sf_dir))
     return CF.normalize_tag_column(raw, "raw_tags", "tags_normalized", S.BRAND_SYNONYMS) \
         .select("l_orderkey", "tags_normalized")
+
+
+# Stand-in role vocabulary; an order priority outside it has no category.
+ROLE_MAP = {"1-URGENT": "Emerging", "2-HIGH": "Emerging", "3-MEDIUM": "Traditional", "5-LOW": "Traditional"}
+_ROLE_CASE = "CASE o_orderpriority " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in ROLE_MAP.items()) + " END"
+
+
+@register("c3_role_conform", f"SELECT o_orderkey, o_orderpriority AS title, {_ROLE_CASE} AS role_category FROM orders")
+def c3_role_conform(spark, sf_dir):
+    """Literal map of titles to categories; an unmapped title stays NULL."""
+    o = Tables(spark, sf_dir).orders.select("o_orderkey", F.col("o_orderpriority").alias("title"))
+    return CF.conform(o, "title", ROLE_MAP, "role_category").select("o_orderkey", "title", "role_category")
+
+
+@register("c13_text_date_key", """
+WITH d AS (SELECT o_orderkey, month(o_orderdate) || '/' || day(o_orderdate) || '/' || year(o_orderdate) AS date_text FROM orders)
+SELECT o_orderkey, date_text, CAST(strftime(strptime(date_text, '%m/%d/%Y'), '%Y%m%d') AS INTEGER) AS date_key FROM d""")
+def c13_text_date_key(spark, sf_dir):
+    """M/d/yyyy text -> smart key; bad text would fail the job."""
+    text = F.concat_ws("/", F.month("o_orderdate"), F.dayofmonth("o_orderdate"), F.year("o_orderdate"))
+    d = Tables(spark, sf_dir).orders.select("o_orderkey", text.alias("date_text"))
+    return d.withColumn("date_key", SF.date_key(SF.parse_date("date_text", strict=True)))
+
+
+@register("c14_tolerant_date_key", """
+WITH d AS (SELECT o_orderkey, CASE o_orderstatus WHEN 'P' THEN 'pending' WHEN 'O' THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR)
+                  ELSE month(o_orderdate) || '/' || day(o_orderdate) || '/' || year(o_orderdate) END AS date_text FROM orders)
+SELECT o_orderkey, date_text, CAST(strftime(try_strptime(date_text, '%m/%d/%Y'), '%Y%m%d') AS INTEGER) AS date_key FROM d""")
+def c14_tolerant_date_key(spark, sf_dir):
+    """C14: text in another format and text that is no date give NULL, the rest its key."""
+    usual = F.concat_ws("/", F.month("o_orderdate"), F.dayofmonth("o_orderdate"), F.year("o_orderdate"))
+    text = F.when(F.col("o_orderstatus") == "P", "pending").when(
+        F.col("o_orderstatus") == "O", F.col("o_orderdate").cast("date").cast("string")).otherwise(usual)
+    d = Tables(spark, sf_dir).orders.select("o_orderkey", text.alias("date_text"))
+    return d.withColumn("date_key", SF.date_key(SF.parse_date("date_text")))
+
+
+@register("c17_clean_nulls", """
+SELECT c_custkey, CASE WHEN c_acctbal >= 0 THEN (round(c_acctbal, 2) + 0.0) END AS acctbal,
+       CASE WHEN c_mktsegment <> 'BUILDING' THEN c_mktsegment END AS segment FROM customer""")
+def c17_clean_nulls(spark, sf_dir):
+    """C17: NaN and null tokens become NULL (the stand-in marks missing balances NaN and one segment N/A)."""
+    raw = Tables(spark, sf_dir).customer.select(
+        "c_custkey", F.when(F.col("c_acctbal") < 0, F.lit(float("nan"))).otherwise(SF.rounded("c_acctbal", 2)).alias("acctbal"),
+        F.when(F.col("c_mktsegment") == "BUILDING", "N/A").otherwise(F.col("c_mktsegment")).alias("segment"))
+    return CF.clean_nulls(raw)

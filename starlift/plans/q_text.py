@@ -159,6 +159,22 @@ def fit_topics(t: Tables, fraction: float = 1.0, seed: int = SEED):
     return model, top
 
 
+def stability_trials(t: Tables, anchors, drops=(0.05, 0.1), seeds=(1, 2, 3)) -> list[dict]:
+    """Refits without a share of the rows; per trial the labels x topics hits and the labels that break.
+
+    A label holds in a trial when exactly one topic has its anchors and that topic fits no other label.
+    """
+    trials = []
+    for drop in drops:
+        for seed in seeds:
+            _, top = fit_topics(t, 1.0 - drop, seed)
+            hits = TX.label_hits(top, anchors)
+            alone = hits * (hits.sum(axis=0) == 1)
+            broken = [n for n, h, a in zip(anchors, hits.sum(axis=1), alone.sum(axis=1)) if not h == a == 1]
+            trials.append({"drop": drop, "seed": seed, "hits": hits, "broken": broken})
+    return trials
+
+
 def topic_labels(top: list[list[str]], anchors=None) -> dict[int, str]:
     """T6 when anchors are given; otherwise each topic is named after its leading terms."""
     if anchors:

@@ -352,6 +352,19 @@ def w16_mart_country_month(spark, sf_dir):
                     F.round("avg_percentage_laid_off", 6).cast("double").alias("avg_percentage_laid_off"))
 
 
+@register("w17_mart_uniqueness", f"""
+WITH mart AS ({MART_SQL})
+SELECT 'mart_country_month' AS table_name, 'not_null(country_canonical)' AS constraint_name,
+       CAST(count(*) FILTER (WHERE country_canonical IS NULL) AS BIGINT) AS violations FROM mart
+UNION ALL SELECT 'mart_country_month', 'unique(country_canonical,year,month)',
+       CAST(count(*) - count(DISTINCT (country_canonical, year, month)) AS BIGINT) FROM mart""")
+def w17_mart_uniqueness(spark, sf_dir):
+    """The rebuilt mart has one row per country and month."""
+    mart = mart_country_month(Tables(spark, sf_dir))
+    return W.check_constraints(mart, W.Constraints("mart_country_month", not_null=["country_canonical"],
+                                                   unique=[["country_canonical", "year", "month"]]))
+
+
 @register("w11_role_playing_dates", """
 WITH li AS (SELECT CAST(year(o_orderdate) * 10000 + month(o_orderdate) * 100 + day(o_orderdate) AS INTEGER) AS order_date_key,
                    CAST(year(l_shipdate) * 10000 + month(l_shipdate) * 100 + day(l_shipdate) AS INTEGER) AS ship_date_key

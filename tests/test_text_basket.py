@@ -32,6 +32,17 @@ def test_labels_and_topics_must_pair_up(topics, fault):
         TX.match_topic_labels(topics, THEMES, "m1")
 
 
+def test_stability_trials_name_the_labels_that_break(spark, monkeypatch):
+    from starlift.plans import q_text as QT
+    fits = iter([TOPICS, TOPICS[:2] + [["flour"]], [TOPICS[0] + ["oven"], TOPICS[1], ["flour"]], TOPICS + [["oven"]]])
+    asked = []
+    monkeypatch.setattr(QT, "fit_topics", lambda t, fraction, seed: (asked.append((round(fraction, 2), seed)), (None, next(fits)))[1])
+    trials = QT.stability_trials(None, THEMES, drops=(0.05, 0.1), seeds=(1, 2))
+    assert asked == [(0.95, 1), (0.95, 2), (0.9, 1), (0.9, 2)]
+    assert [x["broken"] for x in trials] == [[], ["kitchen"], ["kitchen", "harbour"], ["kitchen"]]
+    assert trials[0]["hits"].tolist() == [[0, 1, 0], [0, 0, 1], [1, 0, 0]]
+
+
 def _numpy_cd(X, W, H, iters):
     for _ in range(iters):
         HHt, XHt = H @ H.T, X @ H.T
