@@ -165,3 +165,38 @@ def test_schema_drift_names_every_difference(spark):
     assert W.schema_drift(want, have) == ["a.x: type bigint != int", "b: missing table"]
     assert W.schema_drift({"a": want["a"]}, {"a": want["b"]})[0].startswith("a: columns")
     assert W.schema_drift(want, want) == []
+
+
+def test_feature_step_reaches_the_fact_and_a_failing_dataset_is_isolated(spark, tmpdir_path):
+    import dataclasses
+    import functools
+    import random
+    from starlift.plans.labour import DATASETS, survey_features
+    rng, themes = random.Random(2), {"Garden": "soil seed water plant garden grows", "Harbour": "ship tide rope anchor harbour sails"}
+    header = SURVEY_CSV.splitlines()[0]
+    want, lines = {}, [header]
+    for i in range(1, 41):
+        name = ("Garden", "Harbour")[i % 2]
+        words = themes[name].split()
+        rng.shuffle(words)
+        want[i] = name
+        lines.append(f'{i},Dev,25-34 years old,BSc,Employed,5,8,"Developer, back-end",Remote,Germany,Fintech,70000,No,Yes,Favorable,Trust,7,{" ".join(words)},x')
+    lines.append('41,Dev,25-34 years old,BSc,Employed,5,8,"Developer, back-end",Remote,Germany,Fintech,70000,No,Yes,Favorable,Trust,7,too short,x')
+    raw, out, root = (os.path.join(tmpdir_path, d) for d in ("raw_f", "out_f", "wh_f"))
+    os.makedirs(raw)
+    paths = {"layoffs": os.path.join(raw, "missing.csv")}
+    for name, text in (("ai_jobs", JOBS_CSV), ("survey", "\n".join(lines) + "\n"), ("layoffs_ok", LAYOFFS_CSV)):
+        paths[name] = os.path.join(raw, f"{name}.csv")
+        with open(paths[name], "w") as fh:
+            fh.write(text)
+    features = functools.partial(survey_features, anchors={"Garden": {"soil"}, "Harbour": {"tide"}}, k=2, max_iter=60)
+    defs = {**DATASETS, "survey": dataclasses.replace(DATASETS["survey"], features=features)}
+    results, failures, status = J.run_all(spark, paths, out, defs)
+    assert status == 1 and set(failures) == {"layoffs"} and set(results) == {"ai_jobs", "survey"}
+    J.run_dataset(spark, DATASETS["layoffs"], paths["layoffs_ok"], out)
+    counts = J.load_warehouse(spark, os.path.join(out, "processed"), root)
+    assert counts["dim_ai_open_topic"] == 2 and counts["fact_survey_response"] == 41
+    fact = W.read_published(spark, root, "fact_survey_response")
+    topics = W.read_published(spark, root, "dim_ai_open_topic").select("ai_open_topic_key", "topic_label")
+    got = {r.response_id: r.topic_label for r in fact.join(topics, "ai_open_topic_key", "left").collect()}
+    assert got == {**want, 41: None}
