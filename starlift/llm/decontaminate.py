@@ -2,11 +2,13 @@
 
 Test items are taken in blocks of at most BLOCK_WORDS words (a stated query set against all documents); the seeds of
 one block are broadcast, and their size is that bound. Two passes over the documents per block: the first counts in
-how many documents each seed occurs, over all documents; the second looks the seeds up again, and a passage where an
-item's rare seeds (its rarer half, by that count) and at least two of its seeds meet is aligned word by word. Score:
-best local alignment (match 2, other word -1, gap -1) over twice the length of the item.
+how many documents each seed occurs, over all documents; the second looks the seeds up again. A passage with one seed
+that is rare in the corpus, or with any two seeds of an item, is aligned word by word, unless it holds too few of the
+item's words to reach the score at all. Score: best local alignment (match 2, other word -1, gap -1) over twice the
+length of the item.
 
-Rarity is relative to the item, so an item leaked into a third of all documents is found like any other. Defined
+Items with frequent seeds only use all of them, so an item leaked into a third of all documents is found like any
+other. Not found: a passage in which no seed survives (an edit in every third word), or one frequent seed only. Defined
 results: null texts count as empty and match nothing; items shorter than a seed match by their whole word sequence;
 equal items and equal documents are reported each; empty tables give an empty result.
 """
@@ -23,8 +25,10 @@ from starlift.llm.common import buffers, doc_groups, shingles, texts, word_hashe
 SEED_WORDS = 3
 MIN_SCORE = 0.5
 BLOCK_WORDS = 1 << 19
-#: Words that a passage may be longer than its item on either side.
+#: Starting points of one passage lie at most so many words apart.
 SLACK = 8
+#: A seed in more than so many documents, and in more than this share of all, is frequent.
+FREQUENT, FREQUENT_SHARE = 16, 0.001
 
 _BITS = 22
 
@@ -42,19 +46,17 @@ class Items:
         self.item = np.array([r[1] for r in rows], np.int64)
         self.place = np.array([r[2] for r in rows], np.int64)
         self.rare = np.ones(len(rows), bool)
-        self.need = np.array([2 if len(w) > SEED_WORDS else 1 for w in words], np.int64)
         self.widths = sorted({min(SEED_WORDS, len(w)) for w in words if len(w)})
         self.filter = np.zeros(1 << _BITS, bool)
         self.filter[(self.seeds >> np.uint64(64 - _BITS)).astype(np.int64)] = True
 
-    def set_rare(self, documents: np.ndarray) -> None:
-        """The rarer half of each item's seeds, by the number of documents that hold them."""
+    def set_rare(self, documents: np.ndarray, total: int) -> None:
+        """Seeds that are not frequent among all documents; all seeds of an item that has no other."""
         seed = np.repeat(np.arange(len(self.seeds)), np.diff(self.first))
-        order = np.lexsort((seed, documents[seed], self.item))
-        sizes = np.bincount(self.item, minlength=len(self.ids))
-        rank = np.empty(len(seed), np.int64)
-        rank[order] = np.arange(len(seed)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        self.rare = rank < -(-sizes[self.item] // 2)
+        rare = documents[seed] <= max(FREQUENT, FREQUENT_SHARE * total)
+        some = np.zeros(len(self.ids), bool)
+        some[self.item[rare & (documents[seed] > 0)]] = True
+        self.rare = rare | ~some[self.item]
 
     def find(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Positions in the text and the seeds found there."""
@@ -101,10 +103,14 @@ def passages(items: Items, words: np.ndarray, min_score: float = MIN_SCORE):
     best: dict[int, tuple] = {}
     for a, b in zip(edge, np.append(edge[1:], len(item))):
         k = int(item[a])
-        if not items.rare[entry[a:b]].any() or len(np.unique(entry[a:b])) < items.need[k]:
+        if not items.rare[entry[a:b]].any() and (entry[a:b] == entry[a]).all():
             continue
         query = items.words[k]
-        lo, hi = max(0, int(start[a]) - SLACK), min(len(words), int(start[b - 1]) + len(query) + SLACK)
+        # each gap costs 1, so an alignment of the least score drifts by no more than this
+        drift = max(SLACK, int(2 * len(query) * (1 - min_score)))
+        lo, hi = max(0, int(start[a]) - drift), min(len(words), int(start[b - 1]) + len(query) + drift)
+        if np.isin(query, words[lo:hi]).sum() < min_score * len(query):
+            continue
         score, i, j = align(query, words[lo:hi])
         value = score / (2 * len(query))
         if value >= min_score and (k not in best or value > best[k][0]):
@@ -152,16 +158,17 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, min_score: float = MIN_SCO
 
         def count(batches, shared=shared):
             block = shared.value
-            n = np.zeros(len(block.seeds), np.int64)
+            n = np.zeros(len(block.seeds) + 1, np.int64)  # the last: all documents
             for _, words in _each(batches):
                 n[np.unique(block.find(words)[1])] += 1
+                n[-1] += 1
             some = np.flatnonzero(n)
             yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(n[some])], names=["seed", "n"])
 
         counted = rows.mapInArrow(count, "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n")).toPandas()
-        documents = np.zeros(len(items.seeds), np.int64)
+        documents = np.zeros(len(items.seeds) + 1, np.int64)
         documents[counted["seed"].to_numpy(np.int64)] = counted["n"].to_numpy(np.int64)
-        items.set_rare(documents)
+        items.set_rare(documents[:-1], int(documents[-1]))
         ranked = spark.sparkContext.broadcast(items)
 
         def search(batches, ranked=ranked):

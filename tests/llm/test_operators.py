@@ -267,6 +267,33 @@ def test_decontamination(spark, docs, empty):
     assert decontaminate.find_leaks(empty, bench).count() == 0 and decontaminate.find_leaks(df, bench.limit(0)).count() == 0
 
 
+def plain_alignment(item, text):
+    row, best = [0] * (len(text) + 1), 0
+    for x in item:
+        new = [0]
+        for j, y in enumerate(text):
+            new.append(max(0, row[j] + (2 if x == y else -1), row[j + 1] - 1, new[j] - 1))
+        row, best = new, max(best, *new)
+    return best / (2 * len(item))
+
+
+def test_edited_leaks_against_plain_alignment(spark):
+    rng = random.Random(31)
+    items = [(k, " ".join(f"w{rng.randrange(4000)}" for _ in range(30))) for k in range(4)] + [(4, "five words of one item")]
+    docs = [(0, items[0][1]), (1, "five words of one thing")]  # a clean copy elsewhere makes the surviving seeds the commoner ones
+    for k, t in items[:4]:
+        for every in (4, 5):
+            w = [x if (i + 1) % every else f"edit{i}" for i, x in enumerate(t.split())]
+            docs.append((10 * every + k, words(rng, 30) + " " + " ".join(w) + " " + words(rng, 30)))
+        docs.append((100 + k, " ".join(t.split()[:10]) + " " + words(rng, 12) + " " + " ".join(t.split()[10:])))
+    docs += [(200 + k, words(rng, 80)) for k in range(10)]
+    scores = {(d, k): plain_alignment(q.split(), t.lower().split()) for d, t in docs for k, q in items}
+    want = {at: round(s, 6) for at, s in scores.items() if s >= decontaminate.MIN_SCORE}
+    assert {(40 + k, k) for k in range(4)} | {(50 + k, k) for k in range(4)} | {(1, 4)} <= set(want)
+    found = decontaminate.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r["doc_id"], r["item_id"]): r["score"] for r in found.collect()} == want
+
+
 def test_permutation():
     for n in (1, 2, 3, 17, 1000):
         slot = token_output.permute(np.arange(n), n)
