@@ -52,9 +52,9 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All sources at equal target weights."""
+    """The sources at the target weights of the corpus."""
     docs = _table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"))
-    return mixing.mix(docs)
+    return mixing.mix(docs, mixing.WEIGHTS)
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

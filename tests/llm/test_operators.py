@@ -6,6 +6,7 @@ import random
 import re
 import sys
 from collections import defaultdict
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -251,6 +252,38 @@ def test_pfair_stays_within_a_block():
     assert dict(taken) == {"a": 10, "b": 300, "c": 1}
 
 
+@pytest.mark.parametrize("weights", [{k: 1 for k in range(20)}, {k: 0.5 if k == 0 else 0.5 / 511 for k in range(512)},
+                                     {"a": 0.7, "b": 0.2999, "c": 0.0001}, {"a": 1234567, "b": 7654321, "c": 31}])
+def test_mixing_stays_within_a_block_of_the_target(weights):
+    total, got, t = sum(map(Fraction, map(str, weights.values()))), defaultdict(int), 0
+    target = {s: Fraction(str(w)) / total for s, w in weights.items()}
+    blocks, slots = {s: int(w * 8000) + 1 for s, w in target.items()}, []
+    plan = mixing.phases(blocks, weights, put=slots.extend)[0]
+    of = {s: [t for x, first, _, t in slots if x == s and first == 0] for s in plan["sources"]}
+    placed = sorted((j // size * plan["period"] + of[s][j % size], str(s), s) for s, (size, _, n) in plan["sources"].items() for j in range(n))
+    assert [x[0] for x in placed] == list(range(len(placed))) and len(placed) > 5000
+    for t, _, s in placed:
+        assert abs(got[s] - target[s] * t) < 1
+        got[s] += 1
+        assert abs(got[s] - target[s] * (t + 1)) < 1
+
+
+def test_mixing_rows_against_the_target(spark):
+    weights = {"s0": 4, "s1": 2.5}
+    n = {f"s{k}": 400 if k < 2 else 250 for k in range(20)}
+    df = spark.createDataFrame([(1000 * k + i, f"s{k}") for k in range(20) for i in range(n[f"s{k}"])], "doc_id long, source string")
+    for w in (None, weights):
+        got = sorted((r["mix_slot"], r["source"]) for r in mixing.mix(df, w, block_rows=1).collect())
+        assert [t for t, _ in got] == list(range(sum(n.values())))
+        share = {s: Fraction(str((w or {}).get(s, 1))) for s in n}
+        total, seen = sum(share.values()), defaultdict(int)
+        for t, s in got:
+            seen[s] += 1
+            assert abs(seen[s] - share[s] / total * (t + 1)) < 1
+            if seen[s] == n[s]:
+                break
+
+
 def test_decontamination(spark, docs, empty):
     rng = random.Random(9)
     items = [(k, words(rng, 30)) for k in range(6)] + [(6, None), (7, "two words"), (0, "other item of the same id")]
