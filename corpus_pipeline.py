@@ -3,10 +3,11 @@
 1. quality classifier: documents predicted as low quality go.
 2. n-gram Jaccard join: of near copies (five-word shingles, similarity 0.8 or more) the first document by id stays.
 3. benchmark decontamination: documents that hold a passage of a test item go.
-4. mixing to target weights: every document stays; the files are in the order of the interleaved source blocks.
-5. token-ID output: one row per sequence with its global slot, shard, offset and record.
+4. mixing to target weights: every document stays and gets its place in the interleaved source blocks (column PLACE).
+5. token-ID output: one row per sequence with its global slot, shard, offset and record. Sequences are numbered in the
+   order of the mix and permuted within windows of WINDOW, so every window of slots has the mix of its documents.
 
-All stages but the last return the columns of ``documents`` unchanged. Null texts count as empty, null ids are kept as
+The first four stages return the columns of ``documents`` unchanged (and the mix PLACE besides). Null texts count as empty, null ids are kept as
 they are, an empty table passes through every stage.
 """
 
@@ -21,7 +22,10 @@ from starlift.llm import decontaminate, mixing, ngram_join, quality_knn, token_c
 from starlift.llm.common import scratch_path
 
 #: Target weights by source; sources not named weigh 1.
-WEIGHTS: dict[str, float] = {}
+WEIGHTS: dict[str, float] = mixing.WEIGHTS
+PLACE = "__mix_place"
+#: Sequences that the token stage permutes among each other.
+WINDOW = token_output.SHARD_SLOTS
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,11 +47,11 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = docs.select(F.struct("*").alias("doc"), F.col("source").cast("string").alias("source"), F.col("doc_id").cast("long").alias("doc_id"))
-    return mixing.mix(rows, WEIGHTS, sort_rows=True).select("doc.*")
+    return mixing.mix(rows, WEIGHTS, sort_rows=True).select("doc.*", F.col("mix_position").alias(PLACE))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return token_output.materialise(docs, token_counts.vocabulary_path("byte_bpe_50k.json"))
+    return token_output.materialise(docs, token_counts.vocabulary_path("byte_bpe_50k.json"), place=PLACE, window=WINDOW)
 
 
 STAGES = [("quality_classifier", quality), ("ngram_jaccard_join", near_copies), ("benchmark_decontamination", benchmark),

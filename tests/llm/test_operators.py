@@ -368,3 +368,23 @@ def test_pipeline_against_brute_force(spark, tmp_path):
     got = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert sorted(r["slot"] for r in got) == list(range(sum(want.values())))
     assert {d: sum(r["doc_id"] == d for r in got) for d in {r["doc_id"] for r in got}} == want
+
+
+def test_mix_reaches_the_token_order(spark, monkeypatch):
+    import corpus_pipeline
+    docs = spark.createDataFrame([(k, f"text {k}", "a" if k < 120 else "b") for k in range(180)], "doc_id long, text string, source string")
+    monkeypatch.setattr(corpus_pipeline, "WINDOW", 32, raising=False)
+    share = {}
+    for weights in ({"a": 3, "b": 1}, {"a": 1, "b": 3}):
+        monkeypatch.setattr(corpus_pipeline, "WEIGHTS", weights)
+        got = corpus_pipeline.tokens(spark, corpus_pipeline.mix(spark, docs, ""), "").collect()
+        assert sorted(r["slot"] for r in got) == list(range(180)) and sorted(r["doc_id"] for r in got) == list(range(180))
+        share[weights["a"]] = sum(r["doc_id"] < 120 for r in got if r["slot"] < 64)
+    assert share == {3: 48, 1: 16}
+
+
+def test_permutation_within_windows():
+    for n, window in ((100, 16), (96, 16), (5, 16), (1, 1)):
+        slot = token_output.permute_windows(np.arange(n), n, window)
+        assert sorted(slot.tolist()) == list(range(n)) and (slot // window == np.arange(n) // window).all()
+    assert token_output.permute_windows(np.arange(50), 50, 50, 7).tolist() == token_output.permute(np.arange(50), 50, 7).tolist()
