@@ -32,7 +32,12 @@ _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
 _ASSIGN_HINT = re.compile(r"passw|secret|token|api_?key", re.I | re.A)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 _HEX = re.compile(r"[0-9a-f]{16,}")
-_CONTEXT = re.compile(r"""\b(?:pass(?:word|wd|phrase|code)?|pwd|pin|secret|token|credentials?|api[_-]?key|auth[_-]?key|private[_-]?key)["']?(?:\x20*[:=]\x20*|\x20is\x20)["']?([^\s"']{6,})""", re.I | re.A)
+#: Where a name or a part of it begins: after no letter or digit (``_`` parts names), or at the capital of camelCase.
+_PART = r"(?:(?<![A-Za-z0-9])|(?-i:(?<=[a-z0-9])(?=[A-Z])))"
+# long key words may follow any letters (dbpassword); short ones and the form "... is" need a part of their own (spin, compass)
+_CONTEXT = re.compile(r"""(?:(?:pass(?:word|wd|phrase|code)|secret|token|credentials?|api[_.-]?key|auth[_.-]?key|private[_.-]?key|access[_.-]?key|PART(?:pass|pwd|pin))"""
+                      r"""(?:[_.-]?(?:access[_.-]?)?(?:key|id|value)|[_.-]?\d{1,4})?["']?\x20*[:=]\x20*"""
+                      r"""|PART(?:pass(?:word|wd|phrase|code)?|pwd|pin|secret|token|credentials?|api[_-]?key|auth[_-]?key|private[_-]?key)["']?\x20is\x20)["']?([^\s"']{6,})""".replace("PART", _PART), re.I | re.A)
 _CONTEXT_HINT = re.compile(r"pass|pwd|pin|secret|token|credential|key", re.I | re.A)
 
 #: Own short list, most guessed first: its place is the number of guesses.

@@ -165,6 +165,16 @@ def test_secret_scan(spark, empty):
     assert secret_scan.secrets(empty).count() == 0
 
 
+@pytest.mark.parametrize("text,value", [
+    ("DB_PASSWORD=Xk9!qz2L#vw", "Xk9!qz2L#vw"), ("db_password: Xk9!qz2L#vw", "Xk9!qz2L#vw"), ("access_token=Xk9!qz2Lvw", "Xk9!qz2Lvw"),
+    ("client_secret = 'aB3$x9!qzz'", "aB3$x9!qzz"), ("userPassword=Xk9!qz2L#vw", "Xk9!qz2L#vw"), ("dbpassword=Xk9!qz2L#vw", "Xk9!qz2L#vw"),
+    ("AWS_SECRET_ACCESS_KEY=Xk9!qz2L#vw", "Xk9!qz2L#vw"), ("token_id: Xk9!qz2L#vw", "Xk9!qz2L#vw"), ("DB_PASS=Xk9!qz2L#vw", "Xk9!qz2L#vw"),
+    ("password: Xk9!qz2L#vw", "Xk9!qz2L#vw"), ("spin is Xk9!qz2L#vw", None), ("compass: Xk9!qz2L#vw", None)])
+def test_secret_scan_names(text, value):
+    base, more = secret_scan.find_spans(f"a {text} b")
+    assert base == [] and [f"a {text} b"[s:e] for s, _, e in more] == ([value] if value else [])
+
+
 def brute_cost(value):
     """Every segmentation, one after the other."""
     unit = np.log10(max(10, secret_scan._alphabet(value)))
