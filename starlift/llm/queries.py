@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starlift.llm import decontaminate, exact_dedup, license_scan, mixing, ngram_join, quality_knn, secret_scan, suffix_dedup, token_counts, token_output
+from starlift.llm import decontaminate, exact_dedup, license_scan, merkle, mixing, ngram_join, quality_knn, secret_scan, suffix_dedup, token_counts, token_output
 from starlift.llm.common import documents
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -61,13 +61,17 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(documents(spark, sf_dir), _table(spark, sf_dir, "benchmark"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified_manifest(_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
 
 
 QUERIES = {f.__name__: f for f in (op1_token_output, op2_exact_dedup, op3_suffix_dedup, op4_ngram_jaccard_join, op5_license_scan, op6_secret_scan, op7_token_counts,
-                                   op8_quality_classifier, op9_mixing, op10_decontamination, pipeline)}
+                                   op8_quality_classifier, op9_mixing, op10_decontamination, op13_merkle_manifest, pipeline)}
 
 #: A-Z only; ``lower`` would fold other letters too.
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -109,6 +113,52 @@ def _license_sql() -> str:
         FROM w LEFT JOIN base USING (r) LEFT JOIN found USING (r)"""
 
 
+def _merkle_sql() -> str:
+    """Both trees level by level, siblings by their place, folded roots step by step."""
+    def field(c: str) -> str:
+        return f"CASE WHEN {c} IS NULL THEN '-' ELSE CAST(strlen(CAST({c} AS VARCHAR)) AS VARCHAR) || ':' || CAST({c} AS VARCHAR) END"
+
+    def leaf(more: int) -> str:
+        return "sha256(" + " || ".join(field(f"(n_chars + {more})" if c == "n_chars" else c) for c in merkle.DOCUMENT_COLUMNS) + ")"
+
+    # reflected CRC-32, bit by bit
+    crc = """xor(list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ord(x) AS BIGINT)), lambda a, b:
+                 list_reduce(range(0, 8), lambda c, i: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END), xor(a, b)), 4294967295), 4294967295)"""
+    return f"""
+        WITH RECURSIVE d AS MATERIALIZED (
+            SELECT row_number() OVER () AS r, doc_id, coalesce('=' || lang, '') AS tree, {leaf(0)} AS leaf,
+                   CASE WHEN doc_id IS NOT NULL AND {crc} % 7 = 0 THEN {leaf(1)} END AS tampered FROM documents),
+        leaves AS MATERIALIZED (
+            SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n FROM d),
+        nodes(tree, level, pos, n, h) AS (
+            SELECT tree, 0, pos, n, leaf FROM leaves
+            UNION ALL SELECT tree, level + 1, pos // 2, (any_value(n) + 1) // 2, sha256(string_agg(h, '' ORDER BY pos)) FROM nodes WHERE n > 1 GROUP BY tree, level, pos // 2),
+        low AS MATERIALIZED (SELECT * FROM nodes),
+        subroots AS MATERIALIZED (
+            SELECT tree, level AS height, h AS subroot, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n FROM low WHERE n = 1),
+        tops(level, pos, n, h) AS (
+            SELECT 0, pos, n, subroot FROM subroots
+            UNION ALL SELECT level + 1, pos // 2, (any_value(n) + 1) // 2, sha256(string_agg(h, '' ORDER BY pos)) FROM tops WHERE n > 1 GROUP BY level, pos // 2),
+        high AS MATERIALIZED (SELECT * FROM tops),
+        steps AS MATERIALIZED (
+            SELECT r, x.level, y.h, y.pos < x.pos AS before
+            FROM leaves JOIN low x ON x.tree = leaves.tree AND x.pos = leaves.pos >> x.level AND x.n > 1
+            LEFT JOIN low y ON y.tree = x.tree AND y.level = x.level AND y.pos = xor(x.pos, 1)
+            UNION ALL
+            SELECT r, s.height + x.level, y.h, y.pos < x.pos
+            FROM leaves JOIN subroots s ON s.tree = leaves.tree JOIN high x ON x.pos = s.pos >> x.level AND x.n > 1
+            LEFT JOIN high y ON y.level = x.level AND y.pos = xor(x.pos, 1)),
+        folded(r, level, h) AS (
+            SELECT r, 0, coalesce(tampered, leaf) FROM leaves
+            UNION ALL
+            SELECT f.r, f.level + 1, sha256(CASE WHEN s.before THEN s.h ELSE '' END || f.h || CASE WHEN s.before THEN '' ELSE coalesce(s.h, '') END)
+            FROM folded f JOIN steps s ON s.r = f.r AND s.level = f.level),
+        proof AS (SELECT r, sha256(coalesce(string_agg(h, '' ORDER BY level), '')) AS proof_sha256 FROM steps GROUP BY r),
+        last AS (SELECT r, arg_max(h, level) AS folded_root FROM folded GROUP BY r)
+        SELECT doc_id, leaf, subroot, root.h AS root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root, folded_root = root.h AS verified
+        FROM leaves JOIN subroots USING (tree) JOIN last USING (r) LEFT JOIN proof USING (r), (SELECT h FROM high WHERE n = 1) AS root"""
+
+
 ORACLE_SQL = {
     "op2_exact_dedup": f"""
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
@@ -131,4 +181,5 @@ ORACLE_SQL = {
         SELECT s.doc_id, len(s.sh) AS n_shingles, coalesce(comp.component_id, s.doc_id) AS component_id
         FROM s LEFT JOIN c ON s.sh = c.sh LEFT JOIN comp ON comp.node = c.node""",
     "op5_license_scan": _license_sql(),
+    "op13_merkle_manifest": _merkle_sql(),
 }
