@@ -8,7 +8,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starlift.llm import decontaminate, exact_dedup, license_scan, merkle, mixing, ngram_join, quality_knn, secret_scan, suffix_dedup, token_counts, token_output
+from starlift.llm import (decontaminate, exact_dedup, lexical, license_scan, merkle, mixing, ngram_join, quality_knn, secret_scan, simhash_pivots, suffix_dedup,
+                          token_counts, token_output)
 from starlift.llm.common import documents
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -61,6 +62,14 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(documents(spark, sf_dir), _table(spark, sf_dir, "benchmark"))
 
 
+def op11_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_pivots.simhash_components(documents(spark, sf_dir))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(documents(spark, sf_dir), _table(spark, sf_dir, "benchmark"), lexical.TOP)
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verified_manifest(_table(spark, sf_dir, "documents"))
 
@@ -71,11 +80,12 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_token_output, op2_exact_dedup, op3_suffix_dedup, op4_ngram_jaccard_join, op5_license_scan, op6_secret_scan, op7_token_counts,
-                                   op8_quality_classifier, op9_mixing, op10_decontamination, op13_merkle_manifest, pipeline)}
+                                   op8_quality_classifier, op9_mixing, op10_decontamination, op11_simhash_pivots, op12_lexical_search, op13_merkle_manifest, pipeline)}
 
 #: A-Z only; ``lower`` would fold other letters too.
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+_TERMS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def _strings(words) -> str:
@@ -181,5 +191,17 @@ ORACLE_SQL = {
         SELECT s.doc_id, len(s.sh) AS n_shingles, coalesce(comp.component_id, s.doc_id) AS component_id
         FROM s LEFT JOIN c ON s.sh = c.sh LEFT JOIN comp ON comp.node = c.node""",
     "op5_license_scan": _license_sql(),
+    # every document scored for every item
+    "op12_lexical_search": f"""
+        WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, '{_TERMS}') AS ws FROM documents),
+        i AS MATERIALIZED (SELECT row_number() OVER () AS i, item_id, unnest(list_distinct(regexp_extract_all({_LOWER}, '{_TERMS}'))) AS t FROM benchmark),
+        s AS (SELECT count(*) AS n_docs, CAST(sum(len(ws)) AS BIGINT) AS n_terms FROM d WHERE len(ws) > 0),
+        tf AS MATERIALIZED (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(ws) AS t FROM d) WHERE t IN (SELECT t FROM i) GROUP BY r, t),
+        w AS (SELECT t, CAST(floor(1000 * ln(CAST(2 * any_value(n_docs) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM tf, s GROUP BY t),
+        m AS (SELECT r, doc_id, 100 - 50 + ((50 * len(ws) * n_docs) // n_terms) AS m FROM d, s),
+        scored AS (SELECT i, any_value(item_id) AS item_id, r, any_value(doc_id) AS doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+                   FROM i JOIN tf USING (t) JOIN w USING (t) JOIN m USING (r) GROUP BY i, r),
+        placed AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS place FROM scored WHERE score > 0)
+        SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM placed WHERE place <= 50""",
     "op13_merkle_manifest": _merkle_sql(),
 }
