@@ -19,12 +19,12 @@ SEGMENT_BYTES = 1 << 19
 #: Texts of one Arrow batch to a Python worker.
 BATCH_ROWS = 1000
 
-_TABLE = np.random.default_rng(20240607).integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
-_LETTER_HASH = _TABLE[_FOLD]
-_BASE = 0x9E3779B97F4A7C15
-_BASE_INV = pow(_BASE, -1, 1 << 64)
+#: Byte ranges are hashed as polynomials modulo two primes; modulo a power of two, Thue-Morse words would collide.
+_PRIMES = (2**31 - 1, 2**31 - 19)
+_BASES = (0x4F1BBCDD, 0x1B873593)
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
@@ -96,43 +96,51 @@ def mix64(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-_POWERS: dict[int, np.ndarray] = {}
+_POWERS: dict[tuple[int, int], np.ndarray] = {}
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if n not in _POWERS:
-        for k, base in ((n, _BASE), (-n, _BASE_INV)):
-            p = np.full(n, base, np.uint64)
-            p[0] = 1
-            _POWERS[k] = np.multiply.accumulate(p)
-    return _POWERS[n], _POWERS[-n]
-
-
-def _hash_segment(raw: np.ndarray, space: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    n = 1 << max(10, int(len(raw)).bit_length())
-    power, inverse = _powers(n) if n <= 4 * SEGMENT_BYTES else (None, None)
-    if power is None:  # one word longer than a segment
-        return np.array([_long_word(raw[s:e]) for s, e in zip(starts, ends)], np.uint64)
-    total = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum(_LETTER_HASH[raw] * power[:len(raw)], out=total[1:])
-    return mix64((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+def _powers(base: int, prime: int, n: int) -> np.ndarray:
+    """Powers 0 to n - 1 of ``base`` modulo ``prime``; n is a power of two."""
+    if (base, n) not in _POWERS:
+        p = np.ones(n, np.uint64)
+        k = 1
+        while k < n:
+            p[k:2 * k] = p[:k] * np.uint64(pow(base, k, prime)) % np.uint64(prime)
+            k *= 2
+        _POWERS[base, n] = p
+    return _POWERS[base, n]
 
 
 def byte_digests(seg: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of byte ranges of one segment (at most 4 * SEGMENT_BYTES long), letters not folded."""
-    power, inverse = _powers(1 << max(10, len(seg).bit_length()))
+    """64-bit hashes of byte ranges of one segment (at most 4 * SEGMENT_BYTES long)."""
+    n = 1 << max(10, len(seg).bit_length())
+    letter = seg.astype(np.uint64) + np.uint64(1)
+    out = np.zeros(len(starts), np.uint64)
     total = np.zeros(len(seg) + 1, np.uint64)
-    np.cumsum(_TABLE[seg] * power[:len(seg)], out=total[1:])
-    return mix64((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+    for base, prime in zip(_BASES, _PRIMES):
+        np.cumsum(letter * _powers(base, prime, n)[:len(seg)], out=total[1:])
+        own = (total[ends] - total[starts]) % np.uint64(prime) * _powers(pow(base, -1, prime), prime, n)[starts] % np.uint64(prime)
+        out = out << np.uint64(32) | own
+    return mix64(out + (ends - starts).astype(np.uint64) * _STEP)
 
 
 def _long_word(raw: np.ndarray) -> np.uint64:
+    """``byte_digests`` of one range of any length, piece by piece."""
     h, step, n = 0, SEGMENT_BYTES, len(raw)
-    power, _ = _powers(2 * step)
-    for i in range(0, n, step):
-        part = raw[i:i + step]
-        h += int((_LETTER_HASH[part] * power[:len(part)]).sum(dtype=np.uint64)) * pow(_BASE, i, 1 << 64)
-    return mix64(np.array([(h + n) & (2**64 - 1)], np.uint64))[0]
+    for base, prime in zip(_BASES, _PRIMES):
+        own = 0
+        for i in range(0, n, step):
+            part = raw[i:i + step].astype(np.uint64) + np.uint64(1)
+            own += int((part * _powers(base, prime, 2 * step)[:len(part)]).sum(dtype=np.uint64)) % prime * pow(base, i, prime)
+        h = h << 32 | own % prime
+    return mix64(np.array([(h + n * int(_STEP)) & (2**64 - 1)], np.uint64))[0]
+
+
+def _hash_segment(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    raw = _FOLD[raw]
+    if len(raw) >= 4 * SEGMENT_BYTES:  # a word longer than a segment
+        return np.array([_long_word(raw[s:e]) for s, e in zip(starts, ends)], np.uint64)
+    return byte_digests(raw, starts, ends)
 
 
 def word_hashes(offsets: np.ndarray, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -162,7 +170,7 @@ def word_hashes(offsets: np.ndarray, raw: np.ndarray) -> tuple[np.ndarray, np.nd
         stop[:-1] = space
         stop[inner] = True
         ends = np.flatnonzero(stop[1:] & ~space) + 1
-        parts.append(_hash_segment(seg, space, starts, ends))
+        parts.append(_hash_segment(seg, starts, ends))
         at.append(starts + lo)
         lo = hi
     if not parts:

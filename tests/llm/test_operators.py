@@ -13,7 +13,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
-from starlift.llm import (decontaminate, exact_dedup, license_scan, mixing, ngram_join, quality_knn, secret_scan, suffix_dedup,  # noqa: E402
+from starlift.llm import (common, decontaminate, exact_dedup, license_scan, mixing, ngram_join, quality_knn, secret_scan, suffix_dedup,  # noqa: E402
                           token_counts, token_output)
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -398,3 +398,27 @@ def test_permutation_within_windows():
         slot = token_output.permute_windows(np.arange(n), n, window)
         assert sorted(slot.tolist()) == list(range(n)) and (slot // window == np.arange(n) // window).all()
     assert token_output.permute_windows(np.arange(50), 50, 50, 7).tolist() == token_output.permute(np.arange(50), 50, 7).tolist()
+
+
+def thue_morse(n, one="a", other="b"):
+    return "".join((one, other)[bin(i).count("1") & 1] for i in range(n))
+
+
+def test_word_hashes_tell_thue_morse_twins_apart(spark):
+    """A polynomial modulo a power of two gives both the same hash."""
+    pairs = [(thue_morse(n, *x), thue_morse(n, *x[::-1])) for n in (1024, 2048, 4096) for x in ("ab", "x7")]
+    for a, b in pairs:
+        d = common.byte_digests(np.frombuffer((a + b).encode(), np.uint8), np.array([0, len(a)]), np.array([len(a), 2 * len(a)]))
+        assert d[0] != d[1]
+    rows = [(10 * k + j, t + " one two") for k, p in enumerate(pairs) for j, t in enumerate(p)]
+    got = ngram_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 3, (90, 100)).collect()
+    assert sorted((r["doc_id"], r["component_id"]) for r in got) == sorted((d, d) for d, _ in rows)
+
+
+def test_long_words_hash_like_pieces(monkeypatch):
+    raw = np.frombuffer((thue_morse(9000) + " tail").encode(), np.uint8)
+    whole, _ = common.word_hashes(np.array([0, len(raw)]), raw)
+    monkeypatch.setattr(common, "SEGMENT_BYTES", 1024)
+    again, _ = common.word_hashes(np.array([0, len(raw)]), raw)
+    assert whole.tolist() == again.tolist()
+    assert all(p % q for p in common._PRIMES for q in range(2, 46342))
