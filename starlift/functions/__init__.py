@@ -198,10 +198,9 @@ def spam_flag(c: ColumnOrName, min_words: int = 15, ratio: float = 0.8) -> Colum
     """C11: more than ``min_words`` lower-cased tokens and the most common one
     makes up more than ``ratio`` of them. NULL text is never spam."""
     c = _col(c)
-    toks = ws_tokens(c, lower=True)
-    n = F.size(toks)
-    flag = (n > min_words) & (max_token_run(toks) / n > ratio)
-    return F.when(c.isNull(), F.lit(False)).otherwise(flag)
+    # the lambda's argument is worked out once; a plain reference would cut the text into tokens for every use
+    flag = F.transform(F.array(ws_tokens(c, lower=True)), lambda toks: (F.size(toks) > min_words) & (max_token_run(toks) / F.size(toks) > ratio))
+    return F.when(c.isNull(), F.lit(False)).otherwise(F.get(flag, F.lit(0)))
 
 
 def spam_masked(c: ColumnOrName, min_words: int = 15, ratio: float = 0.8) -> Column:

@@ -146,11 +146,12 @@ TOPIC_ANCHORS = {
 SURVEY_MODEL_VERSION = "nmf-2025-v1"
 
 
-def survey_features(df: DataFrame, anchors=TOPIC_ANCHORS, k: int = 10, max_iter: int = 200
+def survey_features(df: DataFrame, anchors=TOPIC_ANCHORS, k: int = 10, max_iter: int = 500
                     ) -> tuple[DataFrame, dict[str, DataFrame]]:
     """T1-T8 on ``ai_open_clean``: TF-IDF + NMF, anchor labels, row assignment, topic artifact."""
     from starlift.operators import nmf as NMF
     from starlift.operators import text as TX
+    from starlift.operators.factor import stored
     spark = df.sparkSession
     sentences = df.where(F.col("ai_open_clean").isNotNull() & (SF.word_count("ai_open_clean") > 4)) \
         .select(F.col("ResponseId").alias("__rid"), F.col("ai_open_clean").alias("text"))
@@ -159,13 +160,12 @@ def survey_features(df: DataFrame, anchors=TOPIC_ANCHORS, k: int = 10, max_iter:
         out = df.withColumn("ai_open_topic_id", F.lit(None).cast("int")) \
             .withColumn("ai_open_topic_label", F.lit(None).cast("string"))
         return out, {"topics": spark.createDataFrame([], topic_schema)}
-    terms = TX.terms(sentences, "text", stopwords=None).select("__rid", "terms")
-    n = sentences.agg(F.count(F.lit(1)).alias("n"))
-    vocab = TX.vocabulary_from_df(TX.document_frequency(terms), n, 5, 0.6)
-    rows = TX.sparse_rows(TX.tfidf_rows_from_terms(terms, vocab, "__rid"), "__rid")
-    words = [r.term for r in vocab.orderBy("term_index").select("term").collect()]  # bounded by the vocabulary
-    model = NMF.fit(rows, len(words), k=k, max_iter=max_iter, id_col="__rid")
-    top = NMF.top_terms(model.H, words, 10)
+    counted = stored(TX.counted_terms(TX.terms(sentences, "text", stopwords=None), "__rid"))
+    tf = TX.exploded_counts(counted, "__rid")
+    vocab = stored(TX.vocabulary(tf, counted.agg(F.count(F.lit(1)).alias("n")), 5, 0.6).select("term", "term_index", "idf"))
+    model = NMF.fit(TX.sparse_rows(TX.tfidf_rows(tf, vocab, "__rid"), "__rid"), vocab.count(), k=k, max_iter=max_iter, id_col="__rid")
+    table = NMF.top_terms(NMF.long_factor(model.H, "term_index", "h"), vocab, 10).collect()  # 10 rows a topic
+    top = [[r["term"] for r in sorted(table, key=lambda r: r["rank"]) if r["topic_id"] == i] for i in range(k)]
     labels = TX.match_topic_labels(top, anchors, SURVEY_MODEL_VERSION)
     lab = F.create_map(*[F.lit(x) for kv in labels.items() for x in kv])
     assigned = model.W.select("__rid", TX.dominant_topic("w").alias("ai_open_topic_id"))

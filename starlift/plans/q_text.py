@@ -7,26 +7,31 @@ is processed whole.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import lru_cache
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starlift import functions as SF
 from starlift.operators import nmf as NMF
 from starlift.operators import text as TX
+from starlift.operators.factor import stored
 from starlift.plans.registry import register
 from starlift.session import Tables, spread
 
-# Model hyper-parameters (as documented for the reference's fit).
+# Model hyper-parameters (TF-IDF bounds, topics, iterations and seed as in the source project's fit).
 MIN_DF = 5
 MAX_DF = 0.6
 N_TOPICS = 10
 TOP_TERMS = 10
-MAX_ITER = 200
+MAX_ITER = 500
 TOL = 1e-4
 SEED = 42
 MODEL_VERSION = "nmf-sl-v1"
+#: Projected gradient of a side, summed, relative to the sum of its product with the data (certificate of T3).
+CERTIFICATE = 1e-3
 SHORT_MAX_WORDS = 4
 TOP_N_SHORT = 20
 
@@ -34,24 +39,29 @@ TOP_N_SHORT = 20
 def model_answers(t: Tables) -> DataFrame:
     """(doc_id, text) of the answers that get a topic (C11 spam mask, C12 length mask)."""
     d = spread(t.documents.select("doc_id", "text"))
-    d = d.select("doc_id", SF.spam_masked("text").alias("text"))
-    return d.where(F.col("text").isNotNull() & (SF.word_count("text") > SHORT_MAX_WORDS))
+    # one filter over the raw text: a masked column would be worked out again by every condition on it
+    return d.where(F.col("text").isNotNull() & (SF.word_count("text") > SHORT_MAX_WORDS) & ~SF.spam_flag("text"))
 
 
 def model_terms(t: Tables) -> DataFrame:
     return TX.terms(model_answers(t), "text", stopwords=None).select("doc_id", "terms")
 
 
-def model_tfidf(t: Tables):
-    """(terms, vocab): the answers' term arrays (lazy) and the vocabulary (materialised by its key allocator)."""
-    key = "model_tfidf"
+def model_counts(t: Tables) -> DataFrame:
+    """(doc_id, counts): the answers' term counts, written once; frequencies, vocabulary and rows read them again."""
+    key = "model_counts"
     if key not in t._memo:
-        terms = model_terms(t)
-        n = model_answers(t).agg(F.count(F.lit(1)).alias("n"))
-        t._memo[key] = (terms, TX.vocabulary_from_df(TX.document_frequency(terms), n, MIN_DF, MAX_DF))
+        t._memo[key] = stored(TX.counted_terms(model_terms(t), "doc_id"))
     return t._memo[key]
 
 
+def model_tfidf(t: Tables, counted: DataFrame | None = None):
+    """(tf, vocab): (doc_id, term, tf) of the answers and their vocabulary (materialised by its key allocator)."""
+    counted = model_counts(t) if counted is None else counted
+    tf = TX.exploded_counts(counted, "doc_id")
+    return tf, TX.vocabulary(tf, counted.agg(F.count(F.lit(1)).alias("n")), MIN_DF, MAX_DF)
+
+
 _SW_SQL = "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in TX.english_stopwords()) + "]"
 MODEL_SQL = f"""
 d0 AS (SELECT doc_id, text, regexp_replace(text, '^\\s+|\\s+$', '', 'g') AS s FROM documents),
@@ -109,13 +119,9 @@ nw AS (SELECT doc_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS w
 SELECT doc_id, CAST(nnz AS BIGINT) AS nnz, term AS top_term, (round(weight, 6) + 0.0) AS top_weight FROM nw WHERE rn = 1""")
 def t2_tfidf_doc_top_term(spark, sf_dir):
     """L2-normalised TF-IDF rows; per document its size and heaviest term (ties by term)."""
-    terms, vocab = model_tfidf(Tables(spark, sf_dir))
-    rows = TX.tfidf_rows_from_terms(terms, vocab, "doc_id")
-    # indices follow term order, so the first maximum is the smallest term among ties
-    top = F.array_position("values", F.array_max("values"))
-    return rows.select("doc_id", F.size("values").cast("long").alias("nnz"),
-                       F.element_at("terms", top.cast("int")).alias("top_term"),
-                       SF.rounded(F.array_max("values")).alias("top_weight"))
+    tf, vocab = model_tfidf(Tables(spark, sf_dir))
+    top = TX.heaviest_term(tf, vocab, "doc_id")
+    return top.select("doc_id", F.col("nnz").cast("long").alias("nnz"), "top_term", SF.rounded("top_weight").alias("top_weight"))
 
 
 @register("t9_short_answer_terms", f"""
@@ -135,43 +141,83 @@ def t9_short_answer_terms(spark, sf_dir):
 
 # ---------------------------------------------------------------- T3-T8, T10, T11: the topic model
 
-@lru_cache(maxsize=4)
-def _fitted(spark_id: int, sf_dir: str, fraction: float = 1.0):
-    from pyspark.sql import SparkSession
-    spark = SparkSession.getActiveSession()
-    return fit_topics(Tables(spark, sf_dir), fraction)
+class Topics:
+    """A fitted topic model with its vocabulary, TF-IDF rows and top terms."""
 
+    def __init__(self, counted: DataFrame, t: Tables, warm: DataFrame | None = None):
+        tf, vocab = model_tfidf(t, counted)
+        self.vocab = stored(vocab.select("term", "term_index", "idf"))
+        self.rows = stored(TX.tfidf_rows(tf, self.vocab, "doc_id").select("doc_id", "indices", "values"))
+        if warm is not None:   # (term, h) of another fit: terms that it doesn't know start near zero
+            warm = self.vocab.join(warm, "term").select("term_index", "h")
+        self.model = NMF.fit(self.rows, self.vocab.count(), k=N_TOPICS, max_iter=MAX_ITER, tol=TOL if warm is None else TRIAL_TOL, seed=SEED, id_col="doc_id", warm=warm)
+        self.factor = NMF.long_factor(self.model.H, "term_index", "h")
+        table = NMF.top_terms(self.factor, self.vocab, TOP_TERMS).collect()  # N_TOPICS * TOP_TERMS rows
+        self.top = [[r["term"] for r in sorted(table, key=lambda r: r["rank"]) if r["topic_id"] == k] for k in range(N_TOPICS)]
 
-def fit_topics(t: Tables, fraction: float = 1.0, seed: int = SEED):
-    """T2 + T3 + T5: TF-IDF rows -> NMF -> top terms per topic.
+    def by_term(self) -> DataFrame:
+        """(term, h): the term factor under the terms themselves, for a fit with another vocabulary."""
+        return self.model.H.join(self.vocab.select("term", "term_index"), "term_index").select("term", "h")
+
+
+def fit_topics(t: Tables, fraction: float = 1.0, seed: int = SEED, warm: DataFrame | None = None) -> Topics:
+    """T2 + T3 + T5: TF-IDF rows -> NMF -> top terms per topic, kept with the tables.
 
     ``fraction < 1`` refits on a seeded sample without replacement (T11).
     """
-    terms, vocab = model_tfidf(t)
-    if fraction < 1.0:
-        terms = terms.sample(False, fraction, seed)
-        n = terms.agg(F.count(F.lit(1)).alias("n"))
-        vocab = TX.vocabulary_from_df(TX.document_frequency(terms), n, MIN_DF, MAX_DF)
-    rows = TX.sparse_rows(TX.tfidf_rows_from_terms(terms, vocab, "doc_id"), "doc_id")
-    terms = [r.term for r in vocab.orderBy("term_index").select("term").collect()]  # V rows: bounded by vocabulary
-    model = NMF.fit(rows, len(terms), k=N_TOPICS, max_iter=MAX_ITER, tol=TOL, seed=SEED, id_col="doc_id")
-    top = NMF.top_terms(model.H, terms, TOP_TERMS)
-    return model, top
-
-
-def stability_trials(t: Tables, anchors, drops=(0.05, 0.1), seeds=(1, 2, 3)) -> list[dict]:
-    """Refits without a share of the rows; per trial the labels x topics hits and the labels that break.
-
-    A label holds in a trial when exactly one topic has its anchors and that topic fits no other label.
+    key = f"topics-{fraction}-{seed}-{warm is not None}"
+    if key not in t._memo:
+        counted = model_counts(t)
+        t._memo[key] = Topics(counted if fraction == 1.0 else counted.sample(False, fraction, seed), t, warm)
+    return t._memo[key]
+
+
+def match_topics(t: Tables, one: Topics, other: Topics) -> tuple[list[int], np.ndarray]:
+    """The topic of ``other`` for each topic of ``one`` (minimum-cost assignment) and the cosines of all pairs.
+
+    The products of the two term factors are joined and summed; k x k numbers reach the driver.
+    """
+    def long(topics: Topics, topic: str, x: str) -> DataFrame:
+        return topics.by_term().select("term", F.posexplode("h").alias(topic, x)).where(F.col(x) > 0)
+
+    a, b = long(one, "i", "x"), long(other, "j", "y")
+    cosine = np.zeros((N_TOPICS, N_TOPICS))
+    for r in a.join(b, "term").groupBy("i", "j").agg(F.sum(F.col("x") * F.col("y")).alias("p")).collect():
+        cosine[r["i"], r["j"]] = r["p"]
+    for f, axis, topic, x in ((a, 1, "i", "x"), (b, 0, "j", "y")):
+        for r in f.groupBy(topic).agg(F.sqrt(F.sum(F.col(x) * F.col(x))).alias("norm")).collect():
+            where = (r[topic], slice(None)) if axis else (slice(None), r[topic])
+            cosine[where] /= r["norm"]
+    return NMF.assign_pairs(1.0 - cosine), cosine
+
+
+#: Shares of the rows left out, and the seeds of the samples.
+TRIAL_DROPS = (0.05, 0.1)
+TRIAL_SEEDS = (1,)
+#: A refit starts at the full fit and is only matched with it, so it may stop sooner.
+TRIAL_TOL = 1e-3
+#: A topic survives a refit when its partner is this similar to it and shares most of its top terms.
+SURVIVES = 0.9
+
+
+def stability_trials(t: Tables, anchors=None, drops=TRIAL_DROPS, seeds=TRIAL_SEEDS) -> list[dict]:
+    """Refits without a share of the rows, each started from the full fit.
+
+    Per trial: the partner of every topic of the full fit, the cosines of all pairs, and the topics whose partner has the
+    same place (``kept``). With anchors also the labels x topics hits and the labels that break: a label holds in a trial
+    when exactly one topic has its anchors and that topic fits no other label.
     """
+    full = fit_topics(t)
     trials = []
     for drop in drops:
         for seed in seeds:
-            _, top = fit_topics(t, 1.0 - drop, seed)
-            hits = TX.label_hits(top, anchors)
-            alone = hits * (hits.sum(axis=0) == 1)
-            broken = [n for n, h, a in zip(anchors, hits.sum(axis=1), alone.sum(axis=1)) if not h == a == 1]
-            trials.append({"drop": drop, "seed": seed, "hits": hits, "broken": broken})
+            other = fit_topics(t, 1.0 - drop, seed, full.by_term())
+            partner, cosine = match_topics(t, full, other)
+            trial = {"drop": drop, "seed": seed, "partner": partner, "cosine": cosine, "top": other.top}
+            if anchors:
+                hits = TX.label_hits(other.top, anchors)
+                trial |= {"hits": hits, "broken": TX.broken_labels(hits, list(anchors))}
+            trials.append(trial)
     return trials
 
 
@@ -182,32 +228,169 @@ def topic_labels(top: list[list[str]], anchors=None) -> dict[int, str]:
     return {i: " / ".join(ts[:2]) for i, ts in enumerate(top)}
 
 
+@lru_cache(maxsize=8)
+def _tables(session: str, sf_dir: str) -> Tables:
+    """Tables of one Spark application, so that queries over the same model fit it once."""
+    from pyspark.sql import SparkSession
+    return Tables(SparkSession.getActiveSession(), sf_dir)
+
+
+def fitted(spark, sf_dir) -> Topics:
+    return fit_topics(_tables(spark.sparkContext.applicationId, sf_dir))
+
+
 @register("t3_nmf_topics")
 def t3_nmf_topics(spark, sf_dir):
     """Topic artifact (model_version, component_id, topic_label, top_terms); no SQL oracle (iterative)."""
-    model, top = _fitted(id(spark), sf_dir)
+    top = fitted(spark, sf_dir).top
     labels = topic_labels(top)
     rows = [(MODEL_VERSION, i, labels[i], ", ".join(ts)) for i, ts in enumerate(top)]
     return spark.createDataFrame(rows, "model_version string, component_id int, topic_label string, top_terms string")
 
 
-def assignments(spark, sf_dir) -> DataFrame:
-    """Every document with its dominant topic; NULL for spam, short or empty answers."""
-    model, top = _fitted(id(spark), sf_dir)
-    labels = topic_labels(top)
-    lab = F.create_map(*[F.lit(x) for kv in labels.items() for x in kv])
-    t = Tables(spark, sf_dir)
-    docs = t.documents.select("doc_id")
-    topics = model.W.select("doc_id", TX.dominant_topic("w").alias("topic_id"))
-    return docs.join(topics, "doc_id", "left").withColumn("topic_label", lab[F.col("topic_id")])
+@register("t3_nmf_certificate", """
+SELECT * FROM (VALUES ('documents', true, true), ('terms', true, true), ('fit', true, true)) AS v(side, not_negative, stationary)""")
+def t3_nmf_certificate(spark, sf_dir):
+    """Is the fit what it should be? Worked out by joins over the exploded rows and both factors, apart from the fit's own numbers.
+
+    Per side: no entry is negative, and the projected gradient is at most CERTIFICATE of the product with the data. For the
+    fit: the objective never rose, and the iteration converged.
+    """
+    f = fitted(spark, sf_dir)
+    cells = f.rows.select("doc_id", F.explode(F.arrays_zip("indices", "values")).alias("z"))
+    cells = cells.select(F.col("doc_id").alias("id"), F.col("z.indices").cast("long").alias("term_index"), F.col("z.values").alias("value"))
+    w = NMF.long_factor(f.model.W, "doc_id", "w").withColumnRenamed("doc_id", "id")
+    sides = NMF.stationarity(cells, w, f.factor).select("side", (F.col("least") >= 0).alias("not_negative"), (F.col("residual") <= CERTIFICATE).alias("stationary"))
+    falls = all(b <= a * (1 + 1e-12) for a, b in zip(f.model.objective, f.model.objective[1:]))
+    return sides.unionByName(spark.createDataFrame([("fit", falls, f.model.converged)], "side string, not_negative boolean, stationary boolean"))
+
+
+def assignments(docs: DataFrame, weights: DataFrame, labels: dict[int, str] | DataFrame) -> DataFrame:
+    """Every document with its dominant topic; NULL for documents without weights (spam, short, empty).
+
+    ``weights``: (doc_id, w array); ``labels``: a map, or (topic_id, topic_label).
+    """
+    topics = weights.select("doc_id", TX.dominant_topic("w").alias("topic_id"))
+    out = docs.select("doc_id").join(topics, "doc_id", "left")
+    if isinstance(labels, dict):
+        return out.withColumn("topic_label", F.create_map(*[F.lit(x) for kv in labels.items() for x in kv])[F.col("topic_id")])
+    return out.join(labels, "topic_id", "left").select("doc_id", "topic_id", "topic_label")
+
+
+def _assigned(spark, sf_dir) -> DataFrame:
+    f = fitted(spark, sf_dir)
+    return assignments(Tables(spark, sf_dir).documents, f.model.W, topic_labels(f.top))
 
 
 @register("t8_topic_assignment")
 def t8_topic_assignment(spark, sf_dir):
-    return assignments(spark, sf_dir)
+    return _assigned(spark, sf_dir)
 
 
 @register("t10_topic_sizes")
 def t10_topic_sizes(spark, sf_dir):
     """Answers and share per topic."""
-    return TX.topic_sizes(assignments(spark, sf_dir)).select("topic_id", "answers", SF.rounded("share").alias("share"))
+    return TX.topic_sizes(_assigned(spark, sf_dir)).select("topic_id", "answers", SF.rounded("share").alias("share"))
+
+
+@register("t11_stability_trial")
+def t11_stability_trial(spark, sf_dir):
+    """Per trial and topic of the full fit its partner in the refit, their cosine, whether the topic kept its place
+    (reorder) and whether it survives; every number of the match matrix is a row of its own in ``cosines``."""
+    t = _tables(spark.sparkContext.applicationId, sf_dir)
+    rows = []
+    for x in stability_trials(t):
+        for i, j in enumerate(x["partner"]):
+            rows.append((x["drop"], x["seed"], i, j, float(x["cosine"][i, j]), i == j, bool(x["cosine"][i, j] >= SURVIVES), [float(c) for c in x["cosine"][i]]))
+    return spark.createDataFrame(rows, "drop double, seed int, topic_id int, partner_id int, cosine double, same_place boolean, survives boolean, cosines array<double>")
+
+
+# ---------------------------------------------------------------- T4, T5, T7, T8, T10 on a factor table that SQL can build
+
+@dataclass
+class SourceFactor:
+    """The sources as topics: a topic's weight of a term is the sum of its documents' TF-IDF weights, a document's weight of a
+    topic is the product of the two rows; rounded, so that both engines rank equal values alike."""
+
+    vocab: DataFrame
+    names: DataFrame      # (topic_id, source)
+    terms: DataFrame      # (term_index, topic_id, weight)
+    weights: DataFrame    # (doc_id, w array)
+
+
+def source_factor(t: Tables) -> SourceFactor:
+    tf, vocab = model_tfidf(t)
+    vocab = stored(vocab.select("term", "term_index", "idf"))
+    cells = TX.tfidf_rows(tf, vocab, "doc_id").select("doc_id", F.explode(F.arrays_zip("indices", "values")).alias("z"))
+    cells = stored(cells.select("doc_id", F.col("z.indices").cast("long").alias("term_index"), F.col("z.values").alias("value")))
+    sources = t.documents.select("doc_id", "source").where("source is not null")
+    from starlift.operators.warehouse import assign_keys
+    names = assign_keys(sources.select("source").distinct(), ["source"], "topic_id", start=0).select(F.col("topic_id").cast("int").alias("topic_id"), "source")
+    named = stored(names)
+    own = sources.join(named, "source").select("doc_id", "topic_id")
+    terms = stored(cells.join(own, "doc_id").groupBy("term_index", "topic_id").agg(F.round(F.sum("value"), 6).alias("weight")))
+    n = named.count()
+    long = cells.join(terms, "term_index").groupBy("doc_id", "topic_id").agg(F.round(F.sum(F.col("value") * F.col("weight")), 6).alias("x"))
+    dense = F.map_from_entries(F.collect_list(F.struct("topic_id", "x")))
+    weights = long.groupBy("doc_id").agg(dense.alias("m")).select(
+        "doc_id", F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.coalesce(F.element_at("m", i), F.lit(0.0))).alias("w"))
+    return SourceFactor(vocab, named, terms, weights)
+
+
+FACTOR_SQL = "WITH " + MODEL_SQL.strip() + """,
+x0 AS (SELECT tf.doc_id, tf.term, tf.tf * v.idf AS w FROM tf JOIN vocab v ON tf.term = v.term),
+x AS (SELECT doc_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS value FROM x0),
+names AS (SELECT source, CAST(row_number() OVER (ORDER BY source) - 1 AS INTEGER) AS topic_id FROM (SELECT DISTINCT source FROM documents WHERE source IS NOT NULL)),
+h AS (SELECT x.term, n.topic_id, round(sum(value), 6) AS weight FROM x JOIN documents d ON d.doc_id = x.doc_id JOIN names n ON n.source = d.source GROUP BY ALL),
+wt AS (SELECT x.doc_id, h.topic_id, round(sum(value * weight), 6) AS weight FROM x JOIN h ON h.term = x.term GROUP BY ALL),
+top AS (SELECT topic_id, CAST(row_number() OVER (PARTITION BY topic_id ORDER BY weight DESC, term) AS INTEGER) AS rank, term, weight FROM h
+        WHERE weight > 0 QUALIFY row_number() OVER (PARTITION BY topic_id ORDER BY weight DESC, term) <= 10),
+labels AS (SELECT topic_id, string_agg(term, ' / ' ORDER BY rank) FILTER (WHERE rank <= 2) AS topic_label, string_agg(term, ', ' ORDER BY rank) AS top_terms FROM top GROUP BY topic_id),
+main AS (SELECT doc_id, topic_id FROM wt WHERE weight > 0 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY weight DESC, topic_id) = 1),
+assigned AS (SELECT d.doc_id, main.topic_id, labels.topic_label FROM documents d LEFT JOIN main ON main.doc_id = d.doc_id LEFT JOIN labels ON labels.topic_id = main.topic_id)
+"""
+
+
+def _labelled(f: SourceFactor) -> DataFrame:
+    """(topic_id, topic_label, top_terms) from the top terms; TOP_TERMS rows a topic."""
+    top = NMF.top_terms(f.terms, f.vocab, TOP_TERMS).groupBy("topic_id").agg(F.sort_array(F.collect_list(F.struct("rank", "term"))).alias("t"))
+    return top.select("topic_id", F.array_join(F.slice("t.term", 1, 2), " / ").alias("topic_label"), F.array_join("t.term", ", ").alias("top_terms"))
+
+
+@register("t4_dominant_topic", FACTOR_SQL + "SELECT doc_id, topic_id FROM main")
+def t4_dominant_topic(spark, sf_dir):
+    """T4: argmax of the row's weights, ties to the lowest index, on the factor of the sources."""
+    f = source_factor(Tables(spark, sf_dir))
+    return f.weights.select("doc_id", TX.dominant_topic("w").alias("topic_id")).where("topic_id is not null")
+
+
+@register("t5_top_terms", FACTOR_SQL + "SELECT topic_id, rank, term, weight FROM top")
+def t5_top_terms(spark, sf_dir):
+    """T5: the ten heaviest terms of each topic, highest first, ties by term."""
+    f = source_factor(Tables(spark, sf_dir))
+    return NMF.top_terms(f.terms, f.vocab, TOP_TERMS)
+
+
+@register("t7_topic_artifact", FACTOR_SQL + f"""SELECT '{MODEL_VERSION}' AS model_version, topic_id AS component_id, topic_label, top_terms FROM labels""")
+def t7_topic_artifact(spark, sf_dir):
+    """(model_version, component_id, topic_label, top_terms)."""
+    f = source_factor(Tables(spark, sf_dir))
+    return _labelled(f).select(F.lit(MODEL_VERSION).alias("model_version"), F.col("topic_id").alias("component_id"), "topic_label", "top_terms")
+
+
+@register("t8_factor_assignment", FACTOR_SQL + "SELECT doc_id, topic_id, topic_label FROM assigned")
+def t8_factor_assignment(spark, sf_dir):
+    """Every document with the dominant topic and label of the factor of the sources, NULL where it has none."""
+    t = Tables(spark, sf_dir)
+    f = source_factor(t)
+    return assignments(t.documents, f.weights, _labelled(f).select("topic_id", "topic_label"))
+
+
+@register("t10_factor_sizes", FACTOR_SQL + """SELECT topic_id, count(*) AS answers, round(count(*) * 1.0 / sum(count(*)) OVER (), 6) + 0.0 AS share
+FROM assigned WHERE topic_id IS NOT NULL GROUP BY topic_id""")
+def t10_factor_sizes(spark, sf_dir):
+    """Answers and share per topic of the factor of the sources."""
+    t = Tables(spark, sf_dir)
+    f = source_factor(t)
+    sizes = TX.topic_sizes(assignments(t.documents, f.weights, _labelled(f).select("topic_id", "topic_label")))
+    return sizes.select("topic_id", "answers", SF.rounded("share").alias("share"))

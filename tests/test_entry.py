@@ -13,7 +13,7 @@ from oracle_check import duck, rows_of  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
-ITERATIVE = {"t3_nmf_topics", "t8_topic_assignment", "t10_topic_sizes"}
+ITERATIVE = {"t3_nmf_topics", "t8_topic_assignment", "t10_topic_sizes", "t11_stability_trial"}
 
 
 def test_entry_runs(spark):

@@ -1,4 +1,4 @@
-"""Topic labelling, NMF against a dense numpy solver, TF-IDF, and basket mining against brute force."""
+"""Topic labelling, TF-IDF, and basket mining against brute force."""
 
 import itertools
 
@@ -7,7 +7,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from starlift.operators import basket as B
-from starlift.operators import nmf as NMF
 from starlift.operators import text as TX
 
 # own topics: three made-up themes and their anchors
@@ -32,41 +31,23 @@ def test_labels_and_topics_must_pair_up(topics, fault):
         TX.match_topic_labels(topics, THEMES, "m1")
 
 
-def test_stability_trials_name_the_labels_that_break(spark, monkeypatch):
-    from starlift.plans import q_text as QT
-    fits = iter([TOPICS, TOPICS[:2] + [["flour"]], [TOPICS[0] + ["oven"], TOPICS[1], ["flour"]], TOPICS + [["oven"]]])
-    asked = []
-    monkeypatch.setattr(QT, "fit_topics", lambda t, fraction, seed: (asked.append((round(fraction, 2), seed)), (None, next(fits)))[1])
-    trials = QT.stability_trials(None, THEMES, drops=(0.05, 0.1), seeds=(1, 2))
-    assert asked == [(0.95, 1), (0.95, 2), (0.9, 1), (0.9, 2)]
-    assert [x["broken"] for x in trials] == [[], ["kitchen"], ["kitchen", "harbour"], ["kitchen"]]
-    assert trials[0]["hits"].tolist() == [[0, 1, 0], [0, 0, 1], [1, 0, 0]]
-
-
-def _numpy_cd(X, W, H, iters):
-    for _ in range(iters):
-        HHt, XHt = H @ H.T, X @ H.T
-        for t in range(W.shape[1]):
-            W[:, t] = np.maximum(W[:, t] - (W @ HHt[:, t] - XHt[:, t]) / HHt[t, t], 0)
-        WtW, WtX = W.T @ W, W.T @ X
-        for t in range(H.shape[0]):
-            H[t] = np.maximum(H[t] - (WtW[t] @ H - WtX[t]) / WtW[t, t], 0)
-    return np.linalg.norm(X - W @ H)
-
-
-def test_nmf_matches_dense_solver_objective(spark):
-    rng = np.random.default_rng(0)
-    X = rng.random((40, 3)) @ rng.random((3, 25))
-    X[X < 0.4] = 0.0
-    rows = [(i, [int(j) for j in np.nonzero(X[i])[0]], [float(v) for v in X[i][X[i] > 0]]) for i in range(40)]
-    df = spark.createDataFrame(rows, "id long, indices array<int>, values array<double>")
-    model = NMF.fit(df, 25, k=3, max_iter=60, tol=1e-6, checkpoint_every=25)
-    W = np.array([r.w for r in model.W.orderBy("id").collect()])
-    assert (W >= 0).all() and (model.H >= 0).all()
-    err_spark = np.linalg.norm(X - W @ model.H)
-    assert abs(err_spark - model.reconstruction_err) < 1e-6 * max(1.0, err_spark)
-    best = min(_numpy_cd(X, rng.random((40, 3)), rng.random((3, 25)), 60) for _ in range(3))
-    assert err_spark <= best * 1.15 + 1e-9
+def test_stability_trials_name_the_labels_that_break():
+    fits = [TOPICS, TOPICS[:2] + [["flour"]], [TOPICS[0] + ["oven"], TOPICS[1], ["flour"]], TOPICS + [["oven"]]]
+    hits = [TX.label_hits(f, THEMES) for f in fits]
+    assert [TX.broken_labels(h, list(THEMES)) for h in hits] == [[], ["kitchen"], ["kitchen", "harbour"], ["kitchen"]]
+    assert hits[0].tolist() == [[0, 1, 0], [0, 0, 1], [1, 0, 0]]
+
+
+def test_heaviest_term_equals_the_rows(spark):
+    docs = spark.createDataFrame([(1, ["a", "b", "a"]), (2, ["a", "c"]), (3, ["b", "a"]), (4, [])], "id long, terms array<string>")
+    tf = TX.exploded_counts(TX.counted_terms(docs, "id"), "id")
+    vocab = TX.vocabulary(tf, docs.agg(F.count(F.lit(1)).alias("n")), min_df=1, max_df=1.0)
+    rows = {r.id: list(zip(r.values, r.terms)) for r in TX.tfidf_rows(tf, vocab, "id").collect()}
+    got = {r.id: (r.nnz, r.top_term, r.top_weight) for r in TX.heaviest_term(tf, vocab, "id").collect()}
+    assert got.keys() == rows.keys() == {1, 2, 3}
+    for k, cells in rows.items():
+        best = min(cells, key=lambda c: (-c[0], c[1]))
+        assert got[k][:2] == (len(cells), best[1]) and abs(got[k][2] - best[0]) < 1e-12
 
 
 def test_tfidf_rows_match_formula(spark):
