@@ -1,7 +1,7 @@
 """N-gram Jaccard join by set relations: index-level and answer-level skipping.
 
 Sets are the distinct word shingles of a text as 64-bit hashes; documents with equal sets are one node (identified by
-size and a 64-bit sum of remixed hashes).
+size and two 64-bit sums of differently remixed hashes).
 
 1. One pass sends every distinct shingle of a text once, as compressed runs sorted by hash, one per RUN_TEXTS texts and
    hash range. A range counts, over all documents, in how many texts each shingle occurs, and tells each text how many
@@ -15,11 +15,11 @@ size and a 64-bit sum of remixed hashes).
    segment is skipped. What is left is linked to the segment's first node: linear output, and any pair that can reach
    the threshold is connected by it.
 3. Components of these candidate links are cut, in order of size, into blocks of BLOCK_TOKENS shingles. Blocks, and
-   pairs of blocks whose sizes are compatible, are verified exactly: a leader's intersections with all sets of the task
-   are computed in one row; answers of sets similar to it are derived from that row (an upper bound by the few shingles
-   they add to the leader), and a set's own row is computed only where a bound leaves a pair of two components open.
-   Each task returns a spanning forest, never pairs.
-4. Components of the verified links, by the smallest document.
+   pairs of blocks whose sizes are compatible, are verified exactly, every pair of sets in one of them: a leader's
+   answers (its intersections with all sets of the task) come from posting lists; the answers of a set similar to it are
+   derived from them by the lists of the shingles in which the two differ. Each task returns a spanning forest and, per
+   node, the number of documents it links with, never pairs.
+4. Components of the verified links, by the smallest document; the link counts of a node are added up.
 
 Memory per task is bounded by two blocks; hot groups become more blocks, not larger ones. Defined results: null text
 counts as empty; sets without shingles link with nothing, not even each other; equal rows are copies; a null id never
@@ -52,9 +52,10 @@ def _distinct(h: np.ndarray) -> np.ndarray:
     return h[np.concatenate([[True], h[1:] != h[:-1]])] if len(h) else h
 
 
-def _node(h: np.ndarray) -> int:
-    total = mix64(h ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)
-    return int(mix64(np.array([total + np.uint64(len(h))], np.uint64)).view(np.int64)[0])
+def _node(h: np.ndarray) -> tuple[int, int]:
+    """128 bits of a set: two sums of remixed hashes."""
+    sums = [mix64(h ^ np.uint64(salt)).sum(dtype=np.uint64) + np.uint64(len(h)) for salt in (0x5851F42D4C957F2D, 0x14057B7EF767814F)]
+    return tuple(mix64(np.array(sums, np.uint64)).view(np.int64).tolist())
 
 
 def _sets(batch: pa.RecordBatch, words: int):
@@ -68,9 +69,9 @@ def _sets(batch: pa.RecordBatch, words: int):
 
 _RUN = "part int, run long, n long, tokens binary, texts binary"
 _TOKEN = (("key", np.uint64), ("text", np.uint16))
-_TEXT = (("row", np.int64), ("doc_id", np.int64), ("none", np.uint8), ("n", np.int64), ("node", np.int64))
+_TEXT = (("row", np.int64), ("doc_id", np.int64), ("none", np.uint8), ("n", np.int64), ("one", np.int64), ("two", np.int64))
 _COUNT = (("text", np.uint16), ("shared", np.uint32))
-_SURVEY = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("run", pa.int64()), ("texts", pa.binary()),
+_SURVEY = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("one", pa.int64()), ("two", pa.int64()), ("run", pa.int64()), ("texts", pa.binary()),
                      ("k", pa.int64()), ("counts", pa.binary())])
 
 
@@ -103,7 +104,7 @@ def _runs(words: int, parts: int):
         for b in batches:
             row, ids = b.column("row").to_pylist(), b.column("doc_id").to_pylist()
             for k, h in _sets(b, words):
-                for c, x in zip(held, (row[k], ids[k] or 0, ids[k] is None, len(h), _node(h))):
+                for c, x in zip(held, (row[k], ids[k] or 0, ids[k] is None, len(h), *_node(h))):
                     held[c].append(x)
                 sets.append(h)
                 size += len(h)
@@ -122,8 +123,8 @@ def _shared(batches):
         for run, n, tokens, texts in zip(b.column("run").to_pylist(), b.column("n").to_pylist(), b.column("tokens"), b.column("texts")):
             if not tokens.is_valid:
                 t = unpack_columns(_TEXT, texts.as_py(), n)
-                yield pa.RecordBatch.from_arrays([pa.array(t["row"]), pa.array(t["doc_id"], mask=t["none"] == 1), pa.array(t["n"]), pa.array(t["node"]),
-                                                  *[pa.nulls(n, f.type) for f in list(_SURVEY)[4:]]], schema=_SURVEY)
+                yield pa.RecordBatch.from_arrays([pa.array(t["row"]), pa.array(t["doc_id"], mask=t["none"] == 1), pa.array(t["n"]), pa.array(t["one"]), pa.array(t["two"]),
+                                                  *[pa.nulls(n, f.type) for f in list(_SURVEY)[5:]]], schema=_SURVEY)
                 continue
             t = unpack_columns(_TOKEN, tokens.as_py(), n)
             keys.append(t["key"])
@@ -144,7 +145,7 @@ def _shared(batches):
         some = np.flatnonzero(count)
         if len(some):
             counts = pack_columns(_COUNT, {"text": some, "shared": count[some]})
-            yield pa.RecordBatch.from_arrays([*[pa.nulls(1, f.type) for f in list(_SURVEY)[:4]], pa.array([first], pa.int64()), pa.array([blob], pa.binary()),
+            yield pa.RecordBatch.from_arrays([*[pa.nulls(1, f.type) for f in list(_SURVEY)[:5]], pa.array([first], pa.int64()), pa.array([blob], pa.binary()),
                                               pa.array([len(some)], pa.int64()), pa.array([counts], pa.binary())], schema=_SURVEY)
 
 
@@ -220,64 +221,68 @@ def _lists(num: int, den: int):
     return run
 
 
-def linked_forest(sizes: np.ndarray, tokens: np.ndarray, bounds: np.ndarray, group: np.ndarray, side: np.ndarray | None,
-                  num: int, den: int) -> np.ndarray:
-    """Labels of sets after all links among them: equal for linked sets.
+def answers(sizes: np.ndarray, tokens: np.ndarray, bounds: np.ndarray, asking: np.ndarray, num: int, den: int):
+    """(x, intersections of set x with every set) for the sets ``asking``.
 
-    ``group``: labels known so far. ``side``: pairs on one side are known already (None: none are). A row of
-    intersections answers all pairs of its set. Leaders come first, one per group; a set that is similar to its leader
-    inherits bounds from the leader's row: with a = |x - l| shingles of its own, |x and y| <= |l and y| + a.
+    A leader's answers are the counts of its posting lists. A set that links with the leader has the leader's answers, plus
+    those of the shingles that it adds, less those of the shingles that it lacks, where that reads fewer lists.
     """
     _, token = np.unique(tokens, return_inverse=True)
-    mark = np.zeros(int(token.max()) + 1 if len(token) else 0, np.int64)
-    group = group.copy()
-    count = len(sizes)
-    done = np.zeros(count, bool)
-
-    def row(x: int) -> np.ndarray:
-        mine = token[bounds[x]:bounds[x + 1]]
-        mark[mine] = 1
-        total = np.concatenate([[0], np.cumsum(mark[token])])
-        mark[mine] = 0
-        return total[bounds[1:]] - total[bounds[:-1]]
-
-    def links(x: int, common: np.ndarray) -> np.ndarray:
-        return den * common >= num * (sizes + sizes[x] - common)
-
-    def merge(x: int, hit: np.ndarray) -> None:
-        group[np.isin(group, group[hit])] = min(group[hit].min(), group[x])
-
-    leader_of = np.full(count, -1)
-    leader_row: dict[int, np.ndarray] = {}
-    for x in range(count):
-        if leader_of[x] >= 0:
+    token = token.astype(np.int64)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    order = np.argsort(token, kind="stable")
+    lists = owner[order]
+    start = np.searchsorted(token[order], np.arange(int(token.max()) + 2 if len(token) else 1))
+
+    def of(shingles: np.ndarray) -> np.ndarray:
+        """In how many of the lists of these shingles each set stands."""
+        n = start[shingles + 1] - start[shingles]
+        at = np.repeat(start[shingles] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(int(n.sum()))
+        return np.bincount(lists[at], minlength=len(sizes))
+
+    sets = [np.sort(token[bounds[x]:bounds[x + 1]]) for x in range(len(sizes))]
+    wait = np.zeros(len(sizes), bool)
+    wait[asking] = True
+    for lead in asking:
+        if not wait[lead]:
             continue
-        common = row(x)
-        hit = links(x, common)
-        hit[x] = True
-        free = (leader_of < 0) & (hit | (group == group[x]))
-        merge(x, hit)
-        leader_of[free] = x
-        leader_of[x] = x
-        leader_row[x], done[x] = common, True
-    for x in range(count):
-        if done[x]:
-            continue
-        lead = leader_row[leader_of[x]]
-        bound = np.minimum(lead + (sizes[x] - lead[x]), np.minimum(sizes, sizes[x]))
-        open_ = links(x, bound) & (group != group[x]) & ~done
+        common = of(sets[lead])
+        wait[lead] = False
+        yield lead, common
+        near = np.flatnonzero(wait & (den * common >= num * (sizes + sizes[lead] - common)))
+        wait[near] = False
+        for x in near:
+            more, less = np.setdiff1d(sets[x], sets[lead], assume_unique=True), np.setdiff1d(sets[lead], sets[x], assume_unique=True)
+            yield x, common + of(more) - of(less) if len(more) + len(less) < len(sets[x]) else of(sets[x])
+
+
+def linked(sizes: np.ndarray, tokens: np.ndarray, bounds: np.ndarray, copies: np.ndarray, group: np.ndarray, side: np.ndarray | None,
+           num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """Labels of sets after all links among them (equal for linked sets), and per set the documents that it links with.
+
+    ``group``: labels known so far. ``side``: only pairs of different sides count (None: all pairs). ``copies``: documents of a set.
+    """
+    group, count = group.copy(), np.zeros(len(sizes), np.int64)
+    if side is None:
+        asking = np.arange(len(sizes))
+    else:  # the side with fewer sets asks, and answers for both
+        low = side.min()
+        asking = np.flatnonzero((side == low) == (2 * (side == low).sum() <= len(side)))
+    for x, common in answers(sizes, tokens, bounds, asking, num, den):
+        hit = den * common >= num * (sizes + sizes[x] - common)
+        hit[x] = False
         if side is not None:
-            open_ &= side != side[x]
-        if open_.any():
-            hit = links(x, row(x))
-            hit[x] = True
-            merge(x, hit)
-        done[x] = True
-    return group
+            hit &= side != side[x]
+            count[hit] += copies[x]
+        count[x] += copies[hit].sum()
+        other = np.unique(group[hit])
+        if len(other) and (len(other) > 1 or other[0] != group[x]):
+            group[np.isin(group, np.append(other, group[x]))] = min(other[0], group[x])
+    return group, count
 
 
 def _verify(num: int, den: int, known: bool):
-    """Spanning forest of one block, or of a pair of blocks whose inner links are known."""
+    """Of one block, or of a pair of blocks whose inner links are known: a spanning forest (a, b), and link counts (a, links)."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.drop_duplicates("node").sort_values(["n", "node"])
         sets = [np.frombuffer(x, np.uint64) for x in pdf["tokens"]]
@@ -286,9 +291,11 @@ def _verify(num: int, den: int, known: bool):
         nodes = pdf["node"].to_numpy(np.int64)
         before = pdf["known"].to_numpy(np.int64) if known else nodes
         side = pdf["block"].to_numpy(np.int64) if known else None
-        after = linked_forest(sizes, np.concatenate(sets) if sets else np.zeros(0, np.uint64), bounds, before, side, num, den)
-        new = np.flatnonzero(after != before)
-        return pd.DataFrame({"a": before[new], "b": after[new]}).drop_duplicates()
+        after, count = linked(sizes, np.concatenate(sets) if sets else np.zeros(0, np.uint64), bounds, pdf["copies"].to_numpy(np.int64), before, side, num, den)
+        new, some = np.flatnonzero(after != before), np.flatnonzero(count)
+        edges = pd.DataFrame({"a": before[new], "b": after[new]}).drop_duplicates().assign(links=0)
+        counts = pd.DataFrame({"a": nodes[some], "b": nodes[some], "links": count[some]})
+        return pd.concat([edges, counts]).astype("int64")
     return run
 
 
@@ -309,10 +316,11 @@ def running_sum(rows: DataFrame, group: str, order: list[str], weight: str, name
 
 
 def jaccard_components(docs: DataFrame, words: int = 3, threshold: tuple[int, int] = (90, 100), block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """One row per input row: row, doc_id, n_shingles, node (class of equal sets), component_id, first_row.
+    """One row per input row: row, doc_id, n_shingles, node (class of equal sets), component_id, first_row, n_links.
 
     Sets link when ``den * intersection >= num * union``; component_id is the smallest doc_id that links reach;
-    first_row is the first row, by (doc_id, row), of the component.
+    first_row is the first row, by (doc_id, row), of the component; n_links counts the other documents that the
+    document links with, copies included.
     """
     spark, (num, den) = docs.sparkSession, threshold
     bounded_batches(spark)
@@ -320,11 +328,13 @@ def jaccard_components(docs: DataFrame, words: int = 3, threshold: tuple[int, in
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     runs = rows.mapInArrow(_runs(words, parts), _RUN).repartitionById(parts, F.col("part"))
-    survey = written(runs.mapInArrow(_shared, "row long, doc_id long, n long, node long, run long, texts binary, k long, counts binary"), "survey")
-    members = survey.where("node is not null").select("row", "doc_id", "n", "node")
+    survey = written(runs.mapInArrow(_shared, "row long, doc_id long, n long, one long, two long, run long, texts binary, k long, counts binary"), "survey")
+    members = survey.where("run is null").select("row", "doc_id", "n", "one", "two")
     common = survey.where("run is not null").select("run", "texts", "k", "counts").groupBy("run").applyInPandas(_totals, "row long, shared long")
     able = members.join(common, "row").where(f"n > 0 and {den} * shared >= {num} * n")
-    able = able.groupBy("node").agg(F.min("row").alias("row"))
+    # a class is known by the first of its rows from here on
+    own = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), F.col("row").alias("row"))
+    able = written(able.groupBy("one", "two").agg(F.min("row").alias("node"), F.count(F.lit(1)).alias("copies"), F.min(own).alias("first")), "classes")
 
     def tokens(batches):
         for b in batches:
@@ -332,7 +342,7 @@ def jaccard_components(docs: DataFrame, words: int = 3, threshold: tuple[int, in
             yield pa.RecordBatch.from_arrays([b.column("node"), pa.array([len(h) for h in sets], pa.int64()), pa.array([h.tobytes() for h in sets], pa.binary())],
                                              names=["node", "n", "tokens"])
 
-    sets = rows.select("row", "text").join(able.hint("shuffle_hash"), "row").select("node", "text")
+    sets = rows.select(F.col("row").alias("node"), "text").join(able.select("node").hint("shuffle_hash"), "node").select("node", "text")
     sets = written(sets.mapInArrow(tokens, "node long, n long, tokens binary"), "sets")
     counted = sets.select("tokens").mapInArrow(_counters, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()  # at most BUCKETS rows
     total = np.zeros(BUCKETS, np.int64)
@@ -346,30 +356,36 @@ def jaccard_components(docs: DataFrame, words: int = 3, threshold: tuple[int, in
     links = lists.mapInArrow(_lists(num, den), "a long, b long")
     near = written(components(links), "near")
     nodes = near.select("node", "label").unionByName(near.select(F.col("label").alias("node"), "label").distinct())
-    nodes = nodes.join(sets.select("node", "n"), "node")
+    nodes = nodes.join(sets.select("node", "n"), "node").join(able.select("node", "copies"), "node")
     cut = running_sum(nodes, "label", ["n", "node"], "n", "before").withColumn("block", F.expr(f"before div {block_tokens}"))
-    cut = written(cut.select("node", "n", "label", "block"), "blocks")
+    cut = written(cut.select("node", "n", "copies", "label", "block"), "blocks")
     sets = sets.select("node", "tokens").join(cut, "node")
-    inside = written(sets.withColumn("known", F.col("node")).groupBy("label", "block").applyInPandas(_verify(num, den, False), "a long, b long"), "inside")
-    cut = cut.join(inside.select(F.col("a").alias("node"), F.col("b").alias("known")), "node", "left").select(
+    inside = written(sets.withColumn("known", F.col("node")).groupBy("label", "block").applyInPandas(_verify(num, den, False), "a long, b long, links long"), "inside")
+    cut = cut.join(inside.where("a <> b").select(F.col("a").alias("node"), F.col("b").alias("known")), "node", "left").select(
         "node", "label", "block", "n", F.coalesce("known", "node").alias("known"))
     blocks = cut.groupBy("label", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     one, two = blocks.select("label", F.col("block").alias("i"), F.col("high")), blocks.select("label", F.col("block").alias("j"), F.col("low"))
     pairs = one.join(two, "label").where(f"i < j and {den} * high >= {num} * low").select("label", "i", "j")
     meets = pairs.select("label", "i", "j", F.explode(F.array("i", "j")).alias("block"))
-    sets = sets.select("node", "n", "tokens", F.col("block"), "label").join(cut.select("node", "known"), "node")
-    across = meets.join(sets, ["label", "block"]).groupBy("label", "i", "j").applyInPandas(_verify(num, den, True), "a long, b long")
-    found = written(components(inside.unionByName(across)), "found")
-
-    out = members.join(found, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    # sets without shingles stay alone
-    own = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), F.col("row").alias("row"))
-    first = out.where("n > 0").groupBy("label").agg(F.min(own).alias("first")).select("label", "first.doc_id", "first.row")
-    first = first.select("label", F.col("doc_id").alias("__id"), F.col("row").alias("__row"))
-    out = out.withColumn("label", F.when(F.col("n") > 0, F.col("label"))).join(first, "label", "left")
-    lone = F.col("n") == 0
-    return out.select("row", "doc_id", F.col("n").alias("n_shingles"), "node", F.when(lone, F.col("doc_id")).otherwise(F.col("__id")).alias("component_id"),
-                      F.when(lone, F.col("row")).otherwise(F.col("__row")).alias("first_row"))
+    sets = sets.select("node", "n", "copies", "tokens", F.col("block"), "label").join(cut.select("node", "known"), "node")
+    across = written(meets.join(sets, ["label", "block"]).groupBy("label", "i", "j").applyInPandas(_verify(num, den, True), "a long, b long, links long"), "across")
+    both = inside.unionByName(across)
+    found = written(components(both.where("a <> b").select("a", "b")), "found")
+    links = both.where("a = b").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
+
+    # the first document of every component, worked out over classes; then one join with the rows
+    found = found.unionByName(found.select(F.col("label").alias("node"), "label").distinct())
+    classes = written(able.join(found, "node", "left").join(links, "node", "left").select("one", "two", "node", "copies", "first", "label", F.coalesce("links", F.lit(0)).alias("links")), "named")
+    lead = classes.where("label is not null").groupBy("label").agg(F.min("first").alias("lead"))
+    joined = classes.where("label is not null").join(lead, "label").drop("label")
+    named = joined.unionByName(classes.where("label is null").withColumn("lead", F.col("first")).drop("label"))
+    named = named.select("one", "two", "node", (F.col("copies") - 1 + F.col("links")).alias("links"), "lead", F.lit(True).alias("classed"))
+    # sets without shingles, and sets that can link with nothing, stay alone
+    out = members.join(written(named, "classed"), ["one", "two"], "left")
+    return out.select("row", "doc_id", F.col("n").alias("n_shingles"), F.coalesce("node", "row").alias("node"),
+                      F.when(F.col("classed"), F.col("lead.doc_id")).otherwise(F.col("doc_id")).alias("component_id"),
+                      F.when(F.col("classed"), F.col("lead.row")).otherwise(F.col("row")).alias("first_row"),
+                      F.coalesce("links", F.lit(0)).cast("long").alias("n_links"))
 
 
 def without_near_copies(docs: DataFrame, words: int = 5, threshold: tuple[int, int] = (80, 100)) -> DataFrame:

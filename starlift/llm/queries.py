@@ -33,7 +33,7 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = ngram_join.jaccard_components(documents(spark, sf_dir), words=3, threshold=(90, 100))
-    return out.select("doc_id", "n_shingles", "component_id")
+    return out.select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -180,16 +180,18 @@ ORACLE_SQL = {
         s AS MATERIALIZED (
             SELECT doc_id, list_sort(list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
                 ELSE list_transform(range(1, len(ws) - 1), lambda i: array_to_string(ws[i : i + 2], ' ')) END)) AS sh FROM w),
-        c AS MATERIALIZED (SELECT sh, len(sh) AS n, min(doc_id) AS node FROM s WHERE len(sh) > 0 GROUP BY sh),
+        c AS MATERIALIZED (SELECT sh, len(sh) AS n, min(doc_id) AS node, count(*) AS copies FROM s WHERE len(sh) > 0 GROUP BY sh),
         g AS MATERIALIZED (SELECT node, n, unnest(sh) AS x FROM c),
         links AS MATERIALIZED (
             SELECT a.node AS a, b.node AS b FROM g a JOIN g b ON a.x = b.x AND a.node <> b.node AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
             GROUP BY a.node, b.node, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
         reach(node, other) AS (
             SELECT node, node FROM c UNION SELECT reach.node, links.b FROM reach JOIN links ON links.a = reach.other),
-        comp AS (SELECT node, min(other) AS component_id FROM reach GROUP BY node)
-        SELECT s.doc_id, len(s.sh) AS n_shingles, coalesce(comp.component_id, s.doc_id) AS component_id
-        FROM s LEFT JOIN c ON s.sh = c.sh LEFT JOIN comp ON comp.node = c.node""",
+        comp AS (SELECT node, min(other) AS component_id FROM reach GROUP BY node),
+        near AS (SELECT links.a AS node, CAST(sum(c.copies) AS BIGINT) AS n FROM links JOIN c ON c.node = links.b GROUP BY links.a)
+        SELECT s.doc_id, len(s.sh) AS n_shingles, coalesce(comp.component_id, s.doc_id) AS component_id,
+               coalesce(c.copies - 1, 0) + coalesce(near.n, 0) AS n_links
+        FROM s LEFT JOIN c ON s.sh = c.sh LEFT JOIN comp ON comp.node = c.node LEFT JOIN near ON near.node = c.node""",
     "op5_license_scan": _license_sql(),
     # every document scored for every item
     "op12_lexical_search": f"""

@@ -92,29 +92,31 @@ def brute_components(rows, k, num, den):
     for _, t in rows:
         w = re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(LOWER))
         sets.append({tuple(w[i:i + k]) for i in range(max(1, len(w) - k + 1))} if w else set())
-    label = list(range(len(rows)))
+    label, links = list(range(len(rows))), [0] * len(rows)
     for i in range(len(rows)):
         for j in range(i):
             o = len(sets[i] & sets[j])
             if o and den * o >= num * (len(sets[i]) + len(sets[j]) - o):
                 a, b = label[i], label[j]
                 label = [b if x == a else x for x in label]
+                links[i] += 1
+                links[j] += 1
     low = {}
     for (d, _), c in zip(rows, label):
         low[c] = min(low.get(c, d), d)
-    return sorted((d, len(s), low[c] if s else d) for (d, _), s, c in zip(rows, sets, label))
+    return sorted((d, len(s), low[c] if s else d, x) for (d, _), s, c, x in zip(rows, sets, label, links))
 
 
 @pytest.mark.parametrize("k,t,tokens", [(3, (90, 100), 1 << 19), (5, (80, 100), 64), (2, (60, 100), 200)])
 def test_ngram_join(docs, rows, k, t, tokens):
-    got = ngram_join.jaccard_components(docs, k, t, tokens).select("doc_id", "n_shingles", "component_id").collect()
+    got = ngram_join.jaccard_components(docs, k, t, tokens).select("doc_id", "n_shingles", "component_id", "n_links").collect()
     assert sorted(tuple(r) for r in got) == brute_components(rows, k, *t)
 
 
 def test_ngram_join_empty_and_filter(docs, rows, empty):
     assert ngram_join.jaccard_components(empty).count() == 0
     want = brute_components(rows, 5, 80, 100)
-    stay = sorted({(d if n == 0 else c) for d, n, c in want})
+    stay = sorted({(d if n == 0 else c) for d, n, c, _ in want})
     kept = ngram_join.without_near_copies(docs)
     assert kept.columns == docs.columns
     assert sorted(r["doc_id"] for r in kept.collect()) == stay
@@ -125,13 +127,23 @@ def test_answers_derived_from_leaders():
     base = rng.choice(500, 100, replace=False)
     sets = [np.unique(np.concatenate([rng.permutation(base)[:rng.integers(80, 100)], rng.integers(500, 900, rng.integers(0, 12))])).astype(np.uint64) for _ in range(60)]
     sizes = np.array([len(s) for s in sets])
-    got = ngram_join.linked_forest(sizes, np.concatenate(sets), np.concatenate([[0], np.cumsum(sizes)]), np.arange(60), None, 85, 100)
-    label = np.arange(60)
+    copies, side = rng.integers(1, 5, 60), rng.integers(0, 2, 60)
+    bounds = np.concatenate([[0], np.cumsum(sizes)])
+    for x, common in ngram_join.answers(sizes, np.concatenate(sets), bounds, np.arange(60), 85, 100):
+        assert common.tolist() == [len(np.intersect1d(sets[x], y)) for y in sets]
+    got, count = ngram_join.linked(sizes, np.concatenate(sets), bounds, copies, np.arange(60), None, 85, 100)
+    _, across = ngram_join.linked(sizes, np.concatenate(sets), bounds, copies, np.arange(60), side, 85, 100)
+    label, want, want_across = np.arange(60), np.zeros(60, int), np.zeros(60, int)
     for i in range(60):
         for j in range(i):
             o = len(np.intersect1d(sets[i], sets[j]))
             if 100 * o >= 85 * (sizes[i] + sizes[j] - o):
                 label[label == label[i]] = label[j]
+                for total, counts in ((want, True), (want_across, side[i] != side[j])):
+                    if counts:
+                        total[i] += copies[j]
+                        total[j] += copies[i]
+    assert count.tolist() == want.tolist() and across.tolist() == want_across.tolist() and want.any()
     assert len(set(zip(got, label))) == len(set(got)) == len(set(label))
 
 
@@ -412,7 +424,7 @@ def test_word_hashes_tell_thue_morse_twins_apart(spark):
         assert d[0] != d[1]
     rows = [(10 * k + j, t + " one two") for k, p in enumerate(pairs) for j, t in enumerate(p)]
     got = ngram_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 3, (90, 100)).collect()
-    assert sorted((r["doc_id"], r["component_id"]) for r in got) == sorted((d, d) for d, _ in rows)
+    assert sorted((r["doc_id"], r["component_id"], r["n_links"]) for r in got) == sorted((d, d, 0) for d, _ in rows)
 
 
 def test_long_words_hash_like_pieces(monkeypatch):
