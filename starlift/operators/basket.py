@@ -25,6 +25,8 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starlift.session import ensure_checkpoint_dir
+
 ITEM_SEP = "|"
 #: Blocks of partial counts that one task holds (block * block * 8 bytes each).
 HELD_BLOCKS = 8
@@ -48,16 +50,28 @@ def association_rules(itemsets: DataFrame, n_baskets: DataFrame, min_lift: float
 
     support = freq(A∪B)/n, confidence = freq(A∪B)/freq(A), lift = confidence / (freq(B)/n).
     ``n_baskets`` is a one-row frame ``(n)``.
+
+    Consequents grow level by level: two rules of one itemset whose consequents share all but the last item give the next
+    level's. Confidence only falls as a consequent grows, so a rule below ``min_confidence`` is not grown; work follows
+    the rules that are kept, and itemsets may have any number of items. Every level is checkpointed.
     """
-    big = itemsets.where(F.size("items") >= 2)
-    splits = big.withColumn("mask", F.explode(F.sequence(F.lit(1), F.expr("(1 << size(items)) - 2")))) \
-        .select("items", "freq",
-                F.expr("filter(items, (x, i) -> (shiftright(mask, i) & 1) = 1)").alias("antecedent"),
-                F.expr("filter(items, (x, i) -> (shiftright(mask, i) & 1) = 0)").alias("consequent"))
-    sup = itemsets.select(F.col("items").alias("__i"), F.col("freq").alias("__f"))
-    a = sup.select(F.col("__i").alias("antecedent"), F.col("__f").alias("freq_a"))
-    b = sup.select(F.col("__i").alias("consequent"), F.col("__f").alias("freq_b"))
-    j = splits.join(a, "antecedent").join(b, "consequent").crossJoin(F.broadcast(n_baskets))
+    ensure_checkpoint_dir(itemsets.sparkSession)
+    itemsets = itemsets.select("items", "freq").checkpoint(eager=True)
+    most = itemsets.agg(F.max(F.size("items"))).first()[0] or 0
+    sup = itemsets.select(F.col("items").alias("antecedent"), F.col("freq").alias("freq_a"))
+    level = itemsets.where(F.size("items") >= 2).select("items", "freq", F.explode("items").alias("x")).select("items", "freq", F.array("x").alias("consequent"))
+    found = None
+    for size in range(1, max(2, most)):
+        rules = level.withColumn("antecedent", F.array_except("items", "consequent")).join(sup, "antecedent")
+        rules = rules.where(F.col("freq") / F.col("freq_a") >= min_confidence).checkpoint(eager=True)
+        found = rules if found is None else found.unionByName(rules)
+        if size + 1 >= most or rules.isEmpty():
+            break
+        half = rules.select("items", "freq", F.slice("consequent", 1, size - 1).alias("head"), F.element_at("consequent", -1).alias("last"))
+        level = half.join(half.select("items", "head", F.col("last").alias("more")), ["items", "head"]).where("last < more").select(
+            "items", "freq", F.concat("head", F.array("last", "more")).alias("consequent"))
+    b = itemsets.select(F.col("items").alias("consequent"), F.col("freq").alias("freq_b"))
+    j = found.join(b, "consequent").crossJoin(F.broadcast(n_baskets))
     out = j.select("antecedent", "consequent",
                    (F.col("freq") / F.col("n")).alias("support"),
                    (F.col("freq") / F.col("freq_a")).alias("confidence"),

@@ -7,9 +7,14 @@ Validation works on column names only (metadata, no job).
 
 from __future__ import annotations
 
+import csv
+import io
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (BooleanType, DateType, DoubleType, IntegerType, LongType, StringType,
                                StructField, StructType)
@@ -43,25 +48,91 @@ def project_to_contract(df: DataFrame, contract: Contract) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in contract.columns])
 
 
+def _numbered_lines(batches):
+    """Lines of whole file splits, in order, with what depends on their split alone.
+
+    ``line``: place in the split; ``before``: quotes before the line in its split, modulo 2; ``even`` / ``odd``: how many lines up to and with
+    this one start a record if the split itself starts outside / inside quotes; ``own``: the line's own quotes, modulo 2.
+    """
+    now, line, quotes, starts = None, 0, 0, [0, 0]
+    for b in batches:
+        if not b.num_rows:
+            continue
+        file, block = b.column("file").to_pylist(), b.column("block").to_pylist()
+        own = pc.count_substring(b.column("value"), '"').to_numpy(zero_copy_only=False).astype(np.int64)
+        cuts = [0] + [i for i in range(1, len(file)) if block[i] != block[i - 1] or file[i] != file[i - 1]] + [len(file)]
+        for lo, hi in zip(cuts[:-1], cuts[1:]):
+            if (file[lo], block[lo]) != now:
+                now, line, quotes, starts = (file[lo], block[lo]), 0, 0, [0, 0]
+            before = (quotes + np.concatenate([[0], np.cumsum(own[lo:hi])[:-1]])) % 2
+            even, odd = starts[0] + np.cumsum(before == 0), starts[1] + np.cumsum(before == 1)
+            yield pa.RecordBatch.from_arrays(
+                [*[b.column(c).slice(lo, hi - lo) for c in ("file", "block", "value")], pa.array(line + np.arange(hi - lo)), pa.array(before), pa.array(even), pa.array(odd),
+                 pa.array(own[lo:hi] % 2)], names=["file", "block", "value", "line", "before", "even", "odd", "own"])
+            line, quotes, starts = line + hi - lo, quotes + int(own[lo:hi].sum()), [int(even[-1]), int(odd[-1])]
+
+
+def csv_records(spark: SparkSession, path: str) -> DataFrame:
+    """(file, header, record): the records of quoted CSV files, read by all task slots; ``header`` marks a file's first one.
+
+    A line break belongs to a record when the number of quotes before it in the file is odd. Every split of the text scan
+    counts its quotes; the running sum of the splits' counts (one row per split) says whether a split starts inside
+    quotes, and so where its records start. A record of one line stays where it is; only the lines of records that span
+    lines are grouped, by file, split and number of the record they belong to. Breaks inside quotes become ``\\n``.
+    """
+    text = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value")
+    lines = text.mapInArrow(_numbered_lines, "file string, block long, value string, line long, before long, even long, odd long, own long")
+    splits = lines.groupBy("file", "block").agg(F.sum("own").alias("quotes"), F.max("even").alias("even"), F.max("odd").alias("odd"))
+    order = Window.partitionBy("file").orderBy("block")   # one row per split
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.select("file", "block", "even", "odd", F.pmod(F.coalesce(F.sum("quotes").over(before), F.lit(0)), F.lit(2)).alias("inside"))
+    splits = splits.withColumn("starts", F.when(F.col("inside") == 0, F.col("even")).otherwise(F.col("odd")))
+    last = F.last(F.when(F.col("starts") > 0, F.struct("block", "starts")), ignorenulls=True).over(before)
+    splits = splits.select("file", F.col("block").alias("at"), "inside", last.alias("open"))
+    met = lines.join(splits.withColumnRenamed("file", "f"), (F.col("file") == F.col("f")) & (F.col("block") == F.col("at")))
+    number = F.when(F.col("inside") == 0, F.col("even")).otherwise(F.col("odd"))
+    begins = F.col("before") == F.col("inside")
+    # lines before the first start of a split belong to the record that is open
+    met = met.select("file", "block", "line", "value", (begins & (F.col("own") == 0)).alias("whole"), F.when(number > 0, F.col("block")).otherwise(F.col("open.block")).alias("split"),
+                     F.when(number > 0, number).otherwise(F.col("open.starts")).alias("number"))
+    first = ((F.col("split") == 0) & (F.col("number") == 1)).alias("header")
+    one = met.where("whole").select("file", first, F.col("value").alias("record"))
+    cell = F.struct("block", "line", "value")
+    many = met.where("not whole").groupBy("file", "split", "number").agg(F.array_join(F.sort_array(F.collect_list(cell)).getField("value"), "\n").alias("record"))
+    return one.unionByName(many.select("file", first, "record"))
+
+
+_QUOTED = {"quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+
+
 def read_csv(spark: SparkSession, path: str, contract: Contract, extra_ok: bool = True) -> DataFrame:
-    """Header CSV with quoted fields and embedded newlines, read with the contract's types.
+    """Header CSV with quoted fields and embedded newlines, read with the contract's types by all task slots.
 
-    The file header is read as strings first (metadata only: Spark reads the
-    header line), validated against the contract, then the data is parsed with
+    The header of every file is validated against the contract; files may have the columns in different orders. Data is parsed with
     typed columns through ``try_cast`` so one bad value becomes NULL instead of
     failing the whole job, and the pandas null tokens become NULL (§7.3 X1).
     """
-    raw = (spark.read.option("header", True).option("quote", '"').option("escape", '"')
-           .option("multiLine", True).option("mode", "PERMISSIVE").csv(path))
-    validate_columns(raw.columns, contract)
-    cols = []
-    for f in contract.schema.fields:
-        s = SF.null_tokens_to_null(F.col(f"`{f.name}`"))
-        if f.dataType.typeName() == "string":
-            cols.append(s.alias(f.name))
-        else:
-            cols.append(s.try_cast(f.dataType).alias(f.name))
-    return raw.select(*cols)
+    records = csv_records(spark, path)
+    # one row per distinct header line
+    heads = [r["record"] for r in records.where("header").select(F.regexp_replace("record", "^\\uFEFF", "").alias("record")).distinct().collect()]
+    if not heads:
+        validate_columns([], contract)
+    out = None
+    for head in heads:
+        names = next(csv.reader(io.StringIO(head)))
+        validate_columns(names, contract)
+        own = records.where(~F.col("header") & (F.trim("record") != ""))
+        if len(heads) > 1:
+            files = records.where(F.col("header") & (F.regexp_replace("record", "^\\uFEFF", "") == head)).select("file")
+            own = own.join(files, "file", "left_semi")
+        row = own.select(F.from_csv("record", ", ".join(f"c{i} string" for i in range(len(names))), _QUOTED).alias("r"))
+        cols = []
+        for f in contract.schema.fields:
+            s = SF.null_tokens_to_null(F.col(f"r.c{names.index(f.name)}"))
+            cols.append((s if f.dataType.typeName() == "string" else s.try_cast(f.dataType)).alias(f.name))
+        part = row.select(*cols)
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def read_optional(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet") -> DataFrame:

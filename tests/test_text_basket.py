@@ -97,3 +97,20 @@ def test_cooccurrence_matches_pair_counts(spark):
     items = sorted({x for b in BASKETS for x in b})
     want = {(a, c): _support((a, c)) for a, c in itertools.combinations(items, 2) if _support((a, c)) >= 2}
     assert got == want
+
+
+def test_rules_of_a_large_itemset_follow_the_confidence_bound(spark):
+    """40 items: the splits of the itemset could not be listed; consequents are grown only while confidence holds."""
+    big = [f"i{k:02d}" for k in range(40)]
+    sets = [(big, 10)] + [([x for x in big if x != b], 10 if b == "i00" else 40) for b in big] + [([b], 50) for b in big]
+    fi = spark.createDataFrame(sets, "items array<string>, freq long")
+    n = spark.createDataFrame([(100,)], "n long")
+    got = [r for r in B.association_rules(fi, n, min_confidence=0.9).collect() if len(r["antecedent"]) + len(r["consequent"]) == 40]
+    assert [(r["consequent"], r["confidence"], r["lift"]) for r in got] == [(["i00"], 1.0, 2.0)]
+
+
+def test_missing_report_is_sorted(spark):
+    from starlift.operators.profile import missing_report
+    df = spark.createDataFrame([(1, None, None, "x"), (2, "a", None, None), (3, None, None, "y"), (4, "b", 1.0, "z")], "k int, b string, c double, a string")
+    assert [(r["column"], r["missing_count"], r["missing_pct"]) for r in missing_report(df, "t").collect()] == [("c", 3, 75.0), ("b", 2, 50.0), ("a", 1, 25.0)]
+    assert missing_report(df.limit(0), "t").count() == 0
