@@ -52,9 +52,7 @@ def run_dataset(spark: SparkSession, ds: DatasetDef, raw_path: str, out_dir: str
                 with_features: bool = True) -> PipelineResult:
     """J1 for one dataset."""
     ensure_checkpoint_dir(spark)
-    raw = read_csv(spark, raw_path, ds.contract).withColumn(
-        SEQ, F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-                      F.monotonically_increasing_id().alias("pos")))
+    raw = read_csv(spark, raw_path, ds.contract, position=SEQ)
     df, rules = ds.rules(raw)
     cols = ds.contract.columns
     tagged = Q.tag(df, rules).select(*cols, SEQ, Q.REASONS).checkpoint(eager=True)

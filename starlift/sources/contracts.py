@@ -73,7 +73,9 @@ def _numbered_lines(batches):
 
 
 def csv_records(spark: SparkSession, path: str) -> DataFrame:
-    """(file, header, record): the records of quoted CSV files, read by all task slots; ``header`` marks a file's first one.
+    """(position, header, record): the records of quoted CSV files, read by all task slots; ``header`` marks a file's first one.
+
+    ``position`` (file, block, pos) orders the records as the files hold them.
 
     A line break belongs to a record when the number of quotes before it in the file is odd. Every split of the text scan
     counts its quotes; the running sum of the splits' counts (one row per split) says whether a split starts inside
@@ -96,21 +98,23 @@ def csv_records(spark: SparkSession, path: str) -> DataFrame:
     met = met.select("file", "block", "line", "value", (begins & (F.col("own") == 0)).alias("whole"), F.when(number > 0, F.col("block")).otherwise(F.col("open.block")).alias("split"),
                      F.when(number > 0, number).otherwise(F.col("open.starts")).alias("number"))
     first = ((F.col("split") == 0) & (F.col("number") == 1)).alias("header")
-    one = met.where("whole").select("file", first, F.col("value").alias("record"))
+    position = F.struct("file", F.col("split").alias("block"), F.col("number").alias("pos")).alias("position")
+    one = met.where("whole").select(position, first, F.col("value").alias("record"))
     cell = F.struct("block", "line", "value")
     many = met.where("not whole").groupBy("file", "split", "number").agg(F.array_join(F.sort_array(F.collect_list(cell)).getField("value"), "\n").alias("record"))
-    return one.unionByName(many.select("file", first, "record"))
+    return one.unionByName(many.select(position, first, "record"))
 
 
 _QUOTED = {"quote": '"', "escape": '"', "mode": "PERMISSIVE"}
 
 
-def read_csv(spark: SparkSession, path: str, contract: Contract, extra_ok: bool = True) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, contract: Contract, position: str | None = None) -> DataFrame:
     """Header CSV with quoted fields and embedded newlines, read with the contract's types by all task slots.
 
     The header of every file is validated against the contract; files may have the columns in different orders. Data is parsed with
     typed columns through ``try_cast`` so one bad value becomes NULL instead of
     failing the whole job, and the pandas null tokens become NULL (§7.3 X1).
+    ``position`` names a column for the records' place: (file, block, pos).
     """
     records = csv_records(spark, path)
     # one row per distinct header line
@@ -123,14 +127,14 @@ def read_csv(spark: SparkSession, path: str, contract: Contract, extra_ok: bool
         validate_columns(names, contract)
         own = records.where(~F.col("header") & (F.trim("record") != ""))
         if len(heads) > 1:
-            files = records.where(F.col("header") & (F.regexp_replace("record", "^\\uFEFF", "") == head)).select("file")
-            own = own.join(files, "file", "left_semi")
-        row = own.select(F.from_csv("record", ", ".join(f"c{i} string" for i in range(len(names))), _QUOTED).alias("r"))
-        cols = []
+            files = records.where(F.col("header") & (F.regexp_replace("record", "^\\uFEFF", "") == head)).select(F.col("position.file").alias("__file"))
+            own = own.join(files, F.col("position.file") == F.col("__file"), "left_semi")
+        row = own.select(F.from_csv("record", ", ".join(f"c{i} string" for i in range(len(names))), _QUOTED).alias("r"), "position")
+        cols = [] if position is None else [F.col("position").alias(position)]
         for f in contract.schema.fields:
             s = SF.null_tokens_to_null(F.col(f"r.c{names.index(f.name)}"))
             cols.append((s if f.dataType.typeName() == "string" else s.try_cast(f.dataType)).alias(f.name))
-        part = row.select(*cols)
+        part = row.select(*cols[1:], cols[0]) if position else row.select(*cols)
         out = part if out is None else out.unionByName(part)
     return out
 

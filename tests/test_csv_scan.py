@@ -56,6 +56,8 @@ def test_split_scan_equals_the_whole_reader(spark, tmpdir_path, small_splits):
     got = sorted(tuple(r) for r in C.read_csv(spark, f"{tmpdir_path}/in", CONTRACT).collect())
     assert got == whole_reader(spark, f"{tmpdir_path}/in")
     assert [r[0] for r in got] == sorted([r["id"] for f in rows for r in f] + [9000, 9001])
+    placed = C.read_csv(spark, f"{tmpdir_path}/in", CONTRACT, position="at").orderBy("at").collect()
+    assert [r["id"] for r in placed] == [r["id"] for f in rows for r in f] + [9000, 9001]
 
 
 def test_every_header_is_checked_and_columns_may_be_ordered_freely(spark, tmpdir_path, small_splits):
