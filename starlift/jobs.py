@@ -3,7 +3,7 @@
 J1 ``run_dataset``  contract scan -> rules -> quarantine sink -> transform -> (features) -> sink -> profile
 J2 ``run_all``      every dataset runs even if another fails; non-zero status if any failed
 J3 ``load_warehouse`` dimensions -> keys -> facts -> bridge -> mart, insert-if-absent against the
-                    current published version, then one atomic publish (all tables or none)
+                    current published version, then one atomic version (all tables or none) that adds the new rows
 J4 ``ensure_warehouse`` / ``reset_warehouse``
 
 The tagged split is checkpointed once to the shared checkpoint folder (both
@@ -118,7 +118,10 @@ TABLE_SCHEMAS = {name: schema_of(ddl) for name, ddl in {
     "fact_job_posting_skill": "job_posting_key bigint, skill_key bigint",
     "mart_country_month": "country_canonical string, year int, month int, layoff_events bigint, total_laid_off double, "
                           "avg_percentage_laid_off double",
+    "state_mart_country_month": "country_canonical string, year int, month int, layoff_events bigint, laid_off_sum double, "
+                                "share_sum double, share_count bigint",
 }.items()}
+LOAD_ATTEMPTS = 5
 CALENDAR = ("2020-01-01", "2030-12-31")
 
 
@@ -131,14 +134,38 @@ def _merge(existing: DataFrame | None, new: DataFrame) -> DataFrame:
 
 
 def load_warehouse(spark: SparkSession, processed_dir: str, root: str) -> dict[str, int]:
-    """Returns rows actually inserted per table (all 0 on a repeat load of the same files)."""
+    """Returns rows actually inserted per table (all 0 on a repeat load of the same files).
+
+    The version that it commits adds folders with the new rows; a load without new rows writes nothing. A load that
+    another one overtakes starts again from the newer version, since its keys and its "not there yet" are of the old
+    one; after ``LOAD_ATTEMPTS`` it gives up.
+    """
     ensure_checkpoint_dir(spark)
+    for attempt in range(LOAD_ATTEMPTS):
+        new: dict[str, DataFrame] = {}
+        try:
+            counts = _load_once(spark, processed_dir, root, new)
+            break
+        except W.VersionConflict:
+            if attempt + 1 == LOAD_ATTEMPTS:
+                raise
+        finally:
+            for df in new.values():
+                df.unpersist()
+    try:
+        W.compact(spark, root)
+    except W.VersionConflict:
+        pass   # another load has committed; the next one compacts
+    return counts
+
+
+def _load_once(spark: SparkSession, processed_dir: str, root: str, new: dict[str, DataFrame]) -> dict[str, int]:
+    """One attempt at the load; ``new`` receives the cached new rows of every table."""
     rd = lambda n: spark.read.parquet(os.path.join(processed_dir, n))
     lay, jobs, sur = rd("layoffs"), rd("ai_jobs"), rd("survey")
     topics = read_optional(spark, os.path.join(processed_dir, "survey_topics"), TOPIC_SCHEMA)
     v = W.current_version(spark, root)
     ex = lambda n: _existing(spark, root, v, n)
-    new: dict[str, DataFrame] = {}
     full: dict[str, DataFrame] = {}
 
     def add(name, batch, natural_key, key_col):
@@ -229,12 +256,14 @@ def load_warehouse(spark: SparkSession, processed_dir: str, root: str) -> dict[s
     new["fact_job_posting_skill"] = (b if bex is None else b.join(bex, ["job_posting_key", "skill_key"], "left_anti")).cache()
     full["fact_job_posting_skill"] = _merge(bex, new["fact_job_posting_skill"])
 
-    # mart (W16/W17): rebuilt from the full fact in the same publish
-    full["mart_country_month"] = W.country_month_mart(full["fact_layoff_event"], full["dim_date"], full["dim_country"])
     counts = {n: int(df.count()) for n, df in new.items()}
-    if v == 0 or any(counts.values()):
-        full = {name: df.to(TABLE_SCHEMAS[name]) for name, df in full.items()}
-        W.publish(full, root, constraints=warehouse_constraints(full))
+    if v and not any(counts.values()):
+        return counts
+    # mart (W16/W17): refreshed in the same version, from the new facts and the kept states
+    replaced, whole = W.refreshed_mart(spark, root, v, "mart_country_month", new["fact_layoff_event"], full["dim_date"],
+                                       full["dim_country"], lambda: full["fact_layoff_event"])
+    W.append(spark, root, v, {n: df.to(TABLE_SCHEMAS[n]) for n, df in new.items()},
+             {n: (df.to(TABLE_SCHEMAS[n]), part) for n, (df, part) in replaced.items()}, warehouse_constraints, whole)
     return counts
 
 
@@ -242,7 +271,7 @@ L_MODEL_VERSION = "nmf-2025-v1"
 
 
 def warehouse_constraints(t: dict[str, DataFrame]) -> list[W.Constraints]:
-    """The declared constraints of every table (checked on the staged version).
+    """The declared constraints of every table (checked on the staged rows; ``t`` are the tables with them).
 
     A primary key is NOT NULL plus UNIQUE; a nullable foreign key holds where it is set.
     """
@@ -314,6 +343,10 @@ def warehouse_constraints(t: dict[str, DataFrame]) -> list[W.Constraints]:
                       foreign_keys=fk("skill_key", job_posting_key="fact_job_posting")),
         W.Constraints("mart_country_month", not_null=["country_canonical", "year", "month"],
                       unique=[["country_canonical", "year", "month"]]),
+        W.Constraints("state_mart_country_month", not_null=["country_canonical", "year", "month", "layoff_events", "share_count"],
+                      unique=[["country_canonical", "year", "month"]],
+                      checks={"layoff_events > 0": c("layoff_events") > 0,
+                              "share_count 0..layoff_events": c("share_count").between(0, c("layoff_events"))}),
     ]
 
 
@@ -339,7 +372,7 @@ def reset_warehouse(spark: SparkSession, root: str) -> int:
 def check_drift(spark: SparkSession, root: str) -> list[str]:
     """Differences between TABLE_SCHEMAS and the current version, empty when there are none."""
     version = W.current_version(spark, root)
-    names = [r.table_name for r in W.inventory_rows(spark, root).select("table_name").collect()]
+    names = [r.table_name for r in W.inventory_rows(spark, root).select("table_name").distinct().collect()]
     found = W.schema_drift(TABLE_SCHEMAS, {n: W.read_published(spark, root, n, version).schema for n in names})
     return found + [f"{n}: unknown table" for n in sorted(set(names) - set(TABLE_SCHEMAS))]
 

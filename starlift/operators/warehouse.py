@@ -12,18 +12,17 @@ one-partition window over a fact.
 from __future__ import annotations
 
 import datetime as _dt
-import os
-import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DecimalType, StructType
 
 from starlift import functions as SF
+from starlift.operators import tablelog
+from starlift.operators.tablelog import Entry, VersionConflict, compact, current_version, read_if_written  # noqa: F401
 from starlift.session import ensure_checkpoint_dir
 
 _IDX_BITS = 33  # monotonically_increasing_id = partition index << 33 | row index in partition
@@ -162,11 +161,13 @@ class Constraints:
     foreign_keys: Mapping[str, tuple[DataFrame, str]] = field(default_factory=dict)  # col -> (parent, parent col)
 
 
-def check_constraints(df: DataFrame, c: Constraints) -> DataFrame:
+def check_constraints(df: DataFrame, c: Constraints, existing: DataFrame | None = None) -> DataFrame:
     """(table_name, constraint_name, violations) for every constraint of ``c``.
 
     Row-level checks share one aggregate; each UNIQUE is one grouped count;
     each FK is one left-anti join (the parent side is a dimension).
+    ``existing`` are rows checked earlier to which ``df`` is added: a UNIQUE
+    counts those that share a key with ``df`` too.
     """
     spark = df.sparkSession
     row_aggs, names = [], []
@@ -187,7 +188,10 @@ def check_constraints(df: DataFrame, c: Constraints) -> DataFrame:
         nn = F.lit(True)
         for col in cols:
             nn = nn & F.col(col).isNotNull()
-        dup = df.where(nn).groupBy(*cols).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1") \
+        keys = df.where(nn).select(*cols)
+        if existing is not None:
+            keys = keys.unionByName(existing.select(*cols).join(keys, list(cols), "left_semi"))
+        dup = keys.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1") \
             .agg(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).cast("long").alias("violations"))
         parts.append(dup.select(F.lit(f"unique({','.join(cols)})").alias("constraint_name"), "violations"))
     for col, (parent, pcol) in c.foreign_keys.items():
@@ -234,86 +238,165 @@ def country_month_mart(fact: DataFrame, dim_date: DataFrame, dim_country: DataFr
         F.avg(share).alias("avg_percentage_laid_off"))
 
 
-# ---------------------------------------------------------------- W18-W21 publish, inventory, drift
+STATE_KEYS = ("country_canonical", "year", "month")
+
+
+def country_month_state(fact: DataFrame, dim_date: DataFrame, dim_country: DataFrame,
+                        date_key: str = "date_key", country_key: str = "country_key",
+                        headcount: str = "total_laid_off", share: str = "percentage_laid_off") -> DataFrame:
+    """What the mart has to remember per (country, year, month): event count, headcount sum (NULL without
+    any), share sum and number of shares. States of disjoint sets of facts add up."""
+    f = fact.select(F.col(date_key).alias("__fdk"), F.col(country_key).alias("__fck"),
+                    F.col(headcount).alias("__h"), F.col(share).alias("__s"))
+    j = (f.join(dim_date.select(F.col("date_key").alias("__dk"), "year", "month"), F.col("__fdk") == F.col("__dk"))
+         .join(dim_country.select(F.col("country_key").alias("__ck"), "country_canonical"),
+               F.col("__fck") == F.col("__ck"), "left"))
+    return j.groupBy(F.coalesce(F.col("country_canonical"), F.lit("(Unknown)")).alias("country_canonical"),
+                     "year", "month").agg(
+        F.count(F.lit(1)).alias("layoff_events"), F.sum("__h").alias("laid_off_sum"),
+        F.sum("__s").alias("share_sum"), F.count("__s").alias("share_count"))
+
+
+def add_states(a: DataFrame, b: DataFrame) -> DataFrame:
+    """The state of both sets of facts together, with the columns and types of ``a``."""
+    sums = [c for c in a.columns if c not in STATE_KEYS]
+    return a.unionByName(b).groupBy(*STATE_KEYS).agg(
+        *[F.sum(c).cast(a.schema[c].dataType).alias(c) for c in sums]).select(*a.columns)
 
-def read_if_written(spark: SparkSession, path: str) -> DataFrame | None:
-    """The parquet table at ``path``, None where nothing was written yet; any other failure is raised."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as e:
-        # no such folder, or one in which no write was ever finished
-        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
 
+def mart_of_state(state: DataFrame) -> DataFrame:
+    """The rows of the mart (as ``country_month_mart``) from its states."""
+    kind = state.schema["share_sum"].dataType
+    mean = F.col("share_sum") / F.nullif(F.col("share_count"), F.lit(0))
+    if isinstance(kind, DecimalType):   # the type of avg() over the decimals that were summed
+        n = F.nullif(F.col("share_count"), F.lit(0)).cast("decimal(20,0)")
+        mean = (F.col("share_sum") / n).cast(DecimalType(kind.precision - 6, kind.scale + 4))
+    return state.select(*STATE_KEYS, "layoff_events", F.col("laid_off_sum").alias("total_laid_off"),
+                        mean.alias("avg_percentage_laid_off"))
 
-def _committed_versions(spark: SparkSession, root: str) -> DataFrame | None:
-    return read_if_written(spark, os.path.join(root, "_manifests"))
 
+def refreshed_mart(spark: SparkSession, root: str, base: int, mart: str, new_facts: DataFrame, dim_date: DataFrame,
+                   dim_country: DataFrame, all_facts: Callable[[], DataFrame]) -> tuple[dict, list[str]]:
+    """The changed years of the mart and its states, as ``append`` takes them (``replaced``, ``whole``).
+
+    Only the new facts are read; their states are added to the kept states of the years they touch (a list no
+    longer than the calendar), other years keep their folders. Where ``base`` has no states, both tables are built anew
+    from ``all_facts()``.
+    """
+    name = f"state_{mart}"
+    if name in {e.table_name for e in tablelog.entries(spark, root, base)}:
+        state = country_month_state(new_facts, dim_date, dim_country)
+        years = [str(r.year) for r in state.select("year").distinct().collect()]
+        state, whole = add_states(read_published(spark, root, name, base, years), state), []
+    else:
+        state, whole = country_month_state(all_facts(), dim_date, dim_country), [name, mart]
+    return {name: (state, "year"), mart: (mart_of_state(state), "year")}, whole
 
-def current_version(spark: SparkSession, root: str) -> int:
-    """Latest committed warehouse version (0 if none). Reads only the small manifest table."""
-    m = _committed_versions(spark, root)
-    if m is None:
-        return 0
-    row = m.agg(F.max("version").alias("v")).first()
-    return int(row.v or 0)
 
+# ---------------------------------------------------------------- W18-W21 publish, inventory, drift
 
-def read_published(spark: SparkSession, root: str, table: str, version: int | None = None) -> DataFrame:
-    """Read a table of the current (or a given) committed version."""
+def read_published(spark: SparkSession, root: str, table: str, version: int | None = None,
+                   parts: Sequence[str] | None = None) -> DataFrame:
+    """Read a table of the current (or a given) committed version, or only the folders of the given parts."""
     v = version or current_version(spark, root)
     if v == 0:
         raise FileNotFoundError(f"no published warehouse under {root}")
-    row = _committed_versions(spark, root).where((F.col("version") == v) & (F.col("table_name") == table)).first()
-    if row is None:
+    found = [e for e in tablelog.entries(spark, root, v) if e.table_name == table]
+    if not found:
         raise FileNotFoundError(f"no table {table} in version {v} under {root}")
-    return spark.read.parquet(os.path.join(root, row.folder))
+    if parts is not None:
+        # without a folder of these parts any other gives the schema
+        wanted = [e for e in found if e.part is None or e.part in parts]
+        return tablelog.read(spark, root, wanted) if wanted else tablelog.read(spark, root, found[:1]).limit(0)
+    return tablelog.read(spark, root, found)
 
 
-def publish(tables: Mapping[str, DataFrame], root: str, constraints: Sequence[Constraints] = (),
-            partition_by: Mapping[str, Sequence[str]] | None = None) -> int:
-    """All tables or none.
+Declared = Sequence[Constraints] | Callable[[dict[str, DataFrame]], Sequence[Constraints]]
+
+
+def _check_staged(spark: SparkSession, root: str, declared: Declared, kept: Sequence[Entry], staged: Sequence[Entry]) -> None:
+    """W9 on what is about to be published: the staged rows, with the kept folders as their context.
+
+    Row checks and foreign keys read the staged folders only, a UNIQUE also those kept rows that share a key
+    with them; parents of foreign keys are whole tables, kept and staged. Kept rows passed in their own version.
+    """
+    before, added = tablelog.by_table(kept), tablelog.by_table(staged)
+    if callable(declared):
+        declared = declared({n: tablelog.read(spark, root, before.get(n, []) + added.get(n, [])) for n in {**before, **added}})
+    for c in declared:
+        if c.table in added:
+            old = before.get(c.table)
+            assert_constraints(check_constraints(tablelog.read(spark, root, added[c.table]), c,
+                                                 tablelog.read(spark, root, old) if old else None))
+
+
+def publish(tables: Mapping[str, DataFrame], root: str, constraints: Declared = (),
+            part_by: Mapping[str, str] | None = None) -> int:
+    """All tables or none; the version consists of the given tables alone.
 
     Tables go to folders of this load alone, are checked there (W9), and only
-    then is the version committed by writing the manifest partition
-    ``_manifests/version=<N>``, which names them. Readers resolve the newest
-    committed manifest, so a failed or half-written load is never visible.
-    Nothing is overwritten: a load that finds its version committed fails.
+    then is the version committed. Readers resolve the newest committed
+    manifest, so a failed or half-written load is never visible. Nothing is
+    overwritten: a load that finds its version committed fails.
     """
     spark = next(iter(tables.values())).sparkSession
     version = current_version(spark, root) + 1
-    partition_by = partition_by or {}
-    load = f"{version}-{uuid.uuid4().hex[:12]}"
-    counts = {}
-    for name, df in tables.items():
-        path = os.path.join(root, "tables", name, load)
-        w = df.write.mode("errorifexists")
-        if partition_by.get(name):
-            w = w.partitionBy(*partition_by[name])
-        w.parquet(path)
-        counts[name] = spark.read.parquet(path).count()
-    for c in constraints:
-        published = spark.read.parquet(os.path.join(root, "tables", c.table, load))
-        assert_constraints(check_constraints(published, c))
-    manifest = spark.createDataFrame(
-        [(name, os.path.join("tables", name, load), n, _dt.datetime.now(_dt.timezone.utc).isoformat()) for name, n in counts.items()],
-        "table_name string, folder string, row_count long, published_at string")
-    manifest.coalesce(1).write.mode("errorifexists").parquet(os.path.join(root, "_manifests", f"version={version}"))
-    return version
+    load = tablelog.new_load(version)
+    staged = [e for name, df in tables.items() for e in tablelog.stage(df, root, name, load, (part_by or {}).get(name))]
+    _check_staged(spark, root, constraints, [], staged)
+    return tablelog.commit(spark, root, version, staged)
+
+
+def append(spark: SparkSession, root: str, base: int, new: Mapping[str, DataFrame],
+           replaced: Mapping[str, tuple[DataFrame, str]] | None = None, constraints: Declared = (),
+           whole: Sequence[str] = ()) -> int:
+    """Version ``base + 1`` = the folders of ``base`` and what changed; returns it.
+
+    ``new`` holds rows to add to a table; a table without new rows keeps its
+    folders and gets none. ``replaced`` maps a table to (rows, part column):
+    the parts that occur in the rows take the place of the same parts of
+    ``base``, other parts stay. Tables named in ``whole`` lose all folders of
+    ``base``. What is written follows the changed rows, not the size of the
+    tables. Raises ``VersionConflict`` where another writer committed after
+    ``base``: the rows were then worked out against an old version.
+    """
+    load, kept, staged = tablelog.new_load(base + 1), [], []
+    replaced = replaced or {}
+    before = tablelog.by_table(tablelog.entries(spark, root, base))
+    for name in [*before, *[n for n in (*new, *replaced) if n not in before]]:
+        added: list[Entry] = []
+        old = [] if name in whole else before.get(name, [])
+        df, part_col = replaced[name] if name in replaced else (new.get(name), None)
+        if df is not None and (not old or not df.isEmpty()):
+            added = tablelog.stage(df, root, name, load, part_col)
+        parts = {e.part for e in added} if part_col else set()
+        # a folder without rows only keeps the schema, which the added folders hold too
+        kept += [e for e in old if (e.row_count or not added) and (e.part is None or e.part not in parts)]
+        staged += added
+    _check_staged(spark, root, constraints, kept, staged)
+    return tablelog.commit(spark, root, base + 1, [*kept, *staged])
 
 
 def inventory_rows(spark: SparkSession, root: str) -> DataFrame:
-    """The manifest rows of the current version, one per table."""
-    return _committed_versions(spark, root).where(F.col("version") == current_version(spark, root))
+    """The manifest rows of the current version, one per folder of a table."""
+    return tablelog.manifests(spark, root).where(F.col("version") == current_version(spark, root))
+
+
+def _kind() -> Column:
+    prefix = F.split(F.col("table_name"), "_")[0]
+    return (F.when(prefix == "dim", "dimension").when(prefix.isin("fact", "mart", "state"), prefix).otherwise("other"))
 
 
 def inventory(spark: SparkSession, root: str) -> DataFrame:
-    """Number of dimension, fact and mart tables in the current version."""
-    kind = (F.when(F.col("table_name").startswith("dim_"), "dimension")
-            .when(F.col("table_name").startswith("fact_"), "fact")
-            .when(F.col("table_name").startswith("mart_"), "mart").otherwise("other"))
-    return inventory_rows(spark, root).groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("tables"))
+    """Number of dimension, fact and mart tables in the current version (the kept states of a mart don't count)."""
+    return inventory_rows(spark, root).withColumn("kind", _kind()).where("kind != 'state'") \
+        .groupBy("kind").agg(F.countDistinct("table_name").alias("tables"))
+
+
+def versions(spark: SparkSession, root: str) -> DataFrame:
+    """(version, kind, table_name, row_count) of every committed version, from the manifests alone."""
+    return tablelog.manifests(spark, root).groupBy("version", _kind().alias("kind"), "table_name") \
+        .agg(F.sum("row_count").alias("row_count"))
 
 
 def schema_drift(expected: Mapping[str, StructType], actual: Mapping[str, StructType]) -> list[str]:

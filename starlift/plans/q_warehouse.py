@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import os
+import uuid
+
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starlift import functions as SF
@@ -11,7 +15,7 @@ from starlift.operators import warehouse as W
 from starlift.plans import q_quality as QQ
 from starlift.plans import standins as S
 from starlift.plans.registry import register
-from starlift.session import Tables
+from starlift.session import Tables, ensure_checkpoint_dir
 
 SURVEY_YEAR = 2025
 EMERGING_TITLES = ("1-URGENT", "2-HIGH")
@@ -365,6 +369,70 @@ def w17_mart_uniqueness(spark, sf_dir):
                                                    unique=[["country_canonical", "year", "month"]]))
 
 
+ARRIVALS = 3
+
+
+def _arrival(date_key: str) -> Column:
+    """Load of a fact in the queries below: first, second or last third of the event's month."""
+    return F.least(F.floor((F.col(date_key) % 100 - 1) / 11), F.lit(ARRIVALS - 1)).cast("int")
+
+
+def loaded_in_arrivals(t: Tables) -> str:
+    """The layoff facts arrive in three loads, each appended with its refreshed mart as a version of its
+    own; returns the folder of the warehouse, which lies in the shared checkpoint folder."""
+    spark = t.spark
+    root = os.path.join(ensure_checkpoint_dir(spark), f"warehouse-{uuid.uuid4().hex[:12]}")
+    fact, cal, countries = fact_layoff_event(t), dim_date(t), dim_country(t)
+    cols = ("date_key", "country_key", "total_laid_off", "percentage_laid_off")
+    fact = fact.select("layoff_event_key", *cols).persist(StorageLevel.MEMORY_AND_DISK)
+    version = W.append(spark, root, 0, {"dim_date": cal, "dim_country": countries, "fact_layoff_event": fact.limit(0)})
+    cal, countries = (W.read_published(spark, root, n) for n in ("dim_date", "dim_country"))
+
+    def declared(tables):
+        return [W.Constraints("fact_layoff_event", not_null=["layoff_event_key", "date_key"], unique=[["layoff_event_key"]],
+                              foreign_keys={"date_key": (tables["dim_date"], "date_key"),
+                                            "country_key": (tables["dim_country"], "country_key")}),
+                W.Constraints("mart_country_month", unique=[["country_canonical", "year", "month"]])]
+
+    for load in range(ARRIVALS):
+        new = fact.where(_arrival("date_key") == load)
+        replaced, whole = W.refreshed_mart(spark, root, version, "mart_country_month", new, cal, countries, lambda new=new: new)
+        version = W.append(spark, root, version, {"fact_layoff_event": new}, replaced, declared, whole)
+    fact.unpersist()
+    return root
+
+
+@register("w17_incremental_mart", MART_SQL)
+def w17_incremental_mart(spark, sf_dir):
+    """The mart after three appended loads, kept from states; equals the mart built in one go."""
+    m = W.read_published(spark, loaded_in_arrivals(Tables(spark, sf_dir)), "mart_country_month")
+    return m.select("country_canonical", "year", "month", "layoff_events",
+                    SF.rounded("total_laid_off", 2).alias("total_laid_off"),
+                    F.round("avg_percentage_laid_off", 6).cast("double").alias("avg_percentage_laid_off"))
+
+
+@register("w18_published_versions", _sql("""
+, arrived AS (SELECT least((f.date_key % 100 - 1) // 11, 2) AS load, f.date_key, d.year, d.month, dc.country_canonical
+              FROM fact_layoff_event f JOIN dim_date d ON d.date_key = f.date_key
+              LEFT JOIN dim_country dc ON dc.country_key = f.country_key)
+SELECT CAST(v.version AS INTEGER) AS version, 'fact' AS kind, 'fact_layoff_event' AS table_name,
+       CAST(count(a.load) AS BIGINT) AS row_count
+FROM range(1, 5) v(version) LEFT JOIN arrived a ON a.load < v.version - 1 GROUP BY 1
+UNION ALL
+SELECT CAST(v.version AS INTEGER), 'mart', 'mart_country_month',
+       CAST(count(DISTINCT (coalesce(country_canonical, '(Unknown)'), year, month)) AS BIGINT)
+FROM range(2, 5) v(version) JOIN arrived a ON a.load < v.version - 1 GROUP BY 1
+UNION ALL
+SELECT CAST(v.version AS INTEGER), 'dimension', n, c
+FROM range(1, 5) v(version),
+     (SELECT 'dim_date' AS n, CAST(count(*) AS BIGINT) AS c FROM dim_date
+      UNION ALL SELECT 'dim_country', CAST(count(*) AS BIGINT) FROM dim_country)"""))
+def w18_published_versions(spark, sf_dir):
+    """Tables and rows of every published version, from the manifests of the appended loads."""
+    rows = W.versions(spark, loaded_in_arrivals(Tables(spark, sf_dir)))
+    return rows.where(F.col("kind") != "state")
+
+
 @register("w11_role_playing_dates", """
 WITH li AS (SELECT CAST(year(o_orderdate) * 10000 + month(o_orderdate) * 100 + day(o_orderdate) AS INTEGER) AS order_date_key,
                    CAST(year(l_shipdate) * 10000 + month(l_shipdate) * 100 + day(l_shipdate) AS INTEGER) AS ship_date_key
@@ -381,7 +449,7 @@ def w11_role_playing_dates(spark, sf_dir):
     t = Tables(spark, sf_dir)
     li = t.lineitem.select("l_orderkey", "l_shipdate").join(
         t.orders.select("o_orderkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey"))
-    dates = li.select(F.col("o_orderdate").alias("d")).unionByName(li.select(F.col("l_shipdate").alias("d")))
+    dates = t.orders.select(F.col("o_orderdate").alias("d")).unionByName(t.lineitem.select(F.col("l_shipdate").alias("d")))
     cal = W.calendar_covering(dates, "d").select("date_key", "year")
     keyed = li.select(SF.date_key("o_orderdate").alias("order_date_key"), SF.date_key("l_shipdate").alias("ship_date_key"))
     od, sd = cal.alias("od"), cal.alias("sd")
