@@ -32,6 +32,25 @@ def conform(df: DataFrame, col: str, mapping: Mapping[str, str] | DataFrame, out
     return df.join(ref, F.col(col) == F.col("__raw"), "left").drop("__raw")
 
 
+def complete_map(mapping: Mapping[str, str | None] | DataFrame, listed: DataFrame, col: str,
+                 raw_col: str = "raw", canonical_col: str = "canonical") -> Mapping[str, str | None] | DataFrame:
+    """The map itself, after a check that it resolves every non-NULL value of ``listed``.
+
+    Raises ValueError with the number of unresolved values and the first twenty of them, so a load never runs on a
+    map with holes. The map may be a dict or a reference table; the values are made distinct before they are joined.
+    """
+    values = listed.select(F.col(col).alias("__value")).where(F.col("__value").isNotNull()).distinct()
+    missing = conform(values, "__value", mapping, "__canonical", raw_col, canonical_col) \
+        .where(F.col("__canonical").isNull()).select("__value").persist()
+    names = [row[0] for row in missing.orderBy("__value").limit(20).collect()]
+    try:
+        if names:
+            raise ValueError(f"{missing.count()} value(s) of {col} without a canonical one: {names}")
+    finally:
+        missing.unpersist()
+    return mapping
+
+
 def fill_unknown(df: DataFrame, cols: Sequence[str], label: str = "Unknown") -> DataFrame:
     """Explicit label for missing values (apply after conform, §7.3 X12)."""
     return df.fillna(label, subset=list(cols))

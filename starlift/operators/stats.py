@@ -83,6 +83,18 @@ def clear_flag(lo: Column, hi: Column, reference: Column) -> Column:
             .otherwise(F.lit("not clear")))
 
 
+def with_shades(df: DataFrame, cols: Sequence[str], prefix: str = "shade_") -> DataFrame:
+    """Per column, where a value lies between the smallest (0) and the largest (1) one; NULL stays NULL, equal
+    values are all the largest. The rows are aggregated already (one per group); the extremes are one row."""
+    ends = df.agg(*[f(c).alias(f"__{n}_{c}") for c in cols for n, f in (("lo", F.min), ("hi", F.max))])
+    out = df.crossJoin(F.broadcast(ends))
+    for c in cols:
+        lo, hi = F.col(f"__lo_{c}"), F.col(f"__hi_{c}")
+        span = F.nullif((hi - lo).cast("double"), F.lit(0.0))
+        out = out.withColumn(f"{prefix}{c}", F.when(F.col(c).isNotNull(), F.coalesce((F.col(c) - lo) / span, F.lit(1.0))))
+    return out.drop(*ends.columns)
+
+
 def with_wilson(df: DataFrame, successes: str, n: str, prefix: str = "", z: float = SF.Z95) -> DataFrame:
     lo, hi = SF.wilson_interval(successes, n, z)
     return df.withColumn(f"{prefix}ci_low", lo).withColumn(f"{prefix}ci_high", hi)

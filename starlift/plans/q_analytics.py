@@ -361,6 +361,30 @@ def a18_family_bubble(spark, sf_dir):
     return g.select("family", r("m").alias("median_salary"), "mean_demand_growth", "postings")
 
 
+#: The metrics of the switch; a posting's pay above 100,000, in percent, stands in for the premium.
+BUBBLE_METRICS = {"growth": "demand_growth", "paybump": "(salary / 100000 - 1) * 100", "score": "demand_score"}
+
+
+def family_bubbles(po: DataFrame) -> DataFrame:
+    """A18 with every position of its switch: (metric, family, median_salary, mean_metric, postings); one aggregate
+    works out all metrics, its few rows are then unpivoted."""
+    g = po.groupBy("family").agg(F.count(F.lit(1)).alias("postings"),
+                                 *[F.avg(F.expr(e)).alias(m) for m, e in BUBBLE_METRICS.items()])
+    g = ST.with_quantiles(g, po, ["family"], "salary", {"median_salary": 0.5})
+    return g.unpivot(["family", "median_salary", "postings"], list(BUBBLE_METRICS), "metric", "mean_metric")
+
+
+@register("a18_family_bubble_metrics", _sql("""
+, fam AS (SELECT family, median(salary) AS med, count(*) AS n, """ + ", ".join(f"avg({e}) AS {m}" for m, e in BUBBLE_METRICS.items())
+    + " FROM poc GROUP BY family)\n" + "\nUNION ALL ".join(
+        f"SELECT '{m}' AS metric, family, {R('med')} AS median_salary, {R(m)} AS mean_metric, CAST(n AS BIGINT) AS postings FROM fam"
+        for m in BUBBLE_METRICS)))
+def a18_family_bubble_metrics(spark, sf_dir):
+    """The bubble of every family for each metric of the switch."""
+    return family_bubbles(postings(Tables(spark, sf_dir))).select(
+        "metric", "family", r("median_salary").alias("median_salary"), r("mean_metric").alias("mean_metric"), "postings")
+
+
 @register("a19_salary_spread", _sql(f"""
 , s AS (SELECT title, min(salary) AS p0, quantile_cont(salary, 0.25) AS p25, median(salary) AS p50,
                quantile_cont(salary, 0.75) AS p75, max(salary) AS p100, count(*) AS n
@@ -536,15 +560,21 @@ def a28_group_vs_overall(spark, sf_dir):
                     ST.clear_flag(F.col("lo"), F.col("hi"), F.col("overall")).alias("vs_overall"))
 
 
+_AP_LO, _AP_HI = _wilson_sql("count(*) FILTER (WHERE ratio > 0)", "count(ratio)")
+
+
 @register("a29_pay_vs_peers", _sql(f"""
 , cells AS (SELECT country_canonical, experience_level, median(salary) AS cell_median FROM poc
             WHERE experience_level IS NOT NULL GROUP BY 1, 2 HAVING count(*) >= {MIN_GROUP_N}),
 ratios AS (SELECT p.title, p.salary / c.cell_median - 1 AS ratio FROM poc p
            JOIN cells c ON p.country_canonical = c.country_canonical AND p.experience_level = c.experience_level)
 SELECT title, {R('median(ratio)')} AS median_pay_vs_peers, CAST(count(*) AS BIGINT) AS postings,
-       {R('avg(CASE WHEN ratio > 0 THEN 1.0 ELSE 0.0 END)')} AS share_above_peers FROM ratios GROUP BY title"""))
+       {R('avg(CASE WHEN ratio > 0 THEN 1.0 ELSE 0.0 END)')} AS share_above_peers,
+       CASE WHEN {_AP_LO} > 0.5 THEN 'higher' WHEN {_AP_HI} < 0.5 THEN 'lower' ELSE 'not clear' END AS vs_peers
+FROM ratios GROUP BY title"""))
 def a29_pay_vs_peers(spark, sf_dir):
-    """A29 (our definition, §7.3 X9): ratio to the (country, experience) cell median with N >= 30."""
+    """A29 (our definition, §7.3 X9): ratio to the (country, experience) cell median with N >= 30; clear where the
+    Wilson interval of the share of ratios above 0 excludes one half."""
     po = postings(Tables(spark, sf_dir)).where(F.col("experience_level").isNotNull())
     cell = ["country_canonical", "experience_level"]
     cells = po.groupBy(*cell).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") >= MIN_GROUP_N)
@@ -552,9 +582,12 @@ def a29_pay_vs_peers(spark, sf_dir):
     ratios = po.join(cells, cell).select(
         "title", (F.col("salary") / F.col("cell_median") - 1).alias("ratio"))
     g = ratios.groupBy("title").agg(F.count(F.lit(1)).alias("postings"),
-                                    r(F.avg((F.col("ratio") > 0).cast("double"))).alias("share_above_peers"))
+                                    r(F.avg((F.col("ratio") > 0).cast("double"))).alias("share_above_peers"),
+                                    F.count_if(F.col("ratio") > 0).alias("__above"), F.count("ratio").alias("__n"))
+    lo, hi = SF.wilson_interval("__above", "__n")
+    g = g.withColumn("vs_peers", ST.clear_flag(lo, hi, F.lit(0.5)))
     g = ST.with_quantiles(g, ratios, ["title"], "ratio", {"m": 0.5})
-    return g.select("title", r("m").alias("median_pay_vs_peers"), "postings", "share_above_peers")
+    return g.select("title", r("m").alias("median_pay_vs_peers"), "postings", "share_above_peers", "vs_peers")
 
 
 _WL_LO, _WL_HI = _wilson_sql("yes", "n")
@@ -695,6 +728,20 @@ def a35_sector_grid(spark, sf_dir):
                     r(F.col("yes") / F.col("answers")).alias("threat_rate"))
 
 
+_SHADES = ("events", "people", "postings", "threat_rate")
+
+
+@register("a35_sector_grid_shades", _sql(f"""
+, g2 AS (SELECT region, events, people, postings, yes * 1.0 / answers AS threat_rate FROM grid)
+SELECT region, {", ".join(f"CASE WHEN {c} IS NOT NULL THEN coalesce({R(f'({c} - min({c}) OVER ()) * 1.0 / nullif(max({c}) OVER () - min({c}) OVER (), 0)')}, 1.0) END AS shade_{c}" for c in _SHADES)}
+FROM g2""", _GRID_EXTRA))
+def a35_sector_grid_shades(spark, sf_dir):
+    """How dark each cell of the grid is within its column; a cell without data has no shade."""
+    g = _region_grid(Tables(spark, sf_dir)).withColumn("threat_rate", F.col("yes") / F.col("answers"))
+    g = ST.with_shades(g, _SHADES)
+    return g.select("region", *[r(f"shade_{c}").alias(f"shade_{c}") for c in _SHADES])
+
+
 @register("a36_share_gap", _sql(f"""
 , both_ AS (SELECT region, people, postings FROM grid WHERE people IS NOT NULL AND postings IS NOT NULL)
 SELECT region, {R('people * 100.0 / sum(people) OVER ()')} AS pct_people, {R('postings * 100.0 / sum(postings) OVER ()')} AS pct_postings,
@@ -751,6 +798,42 @@ def a39_matched_family(spark, sf_dir):
                                       r("growth").alias("mean_demand_growth"))
 
 
+#: Survey label -> posting family; two labels share a family and one family has no label.
+LABEL_FAMILY = {"AUTOMOBILE": "AUTOMOBILE", "FURNITURE": "HOUSEHOLD", "HOUSEHOLD": "HOUSEHOLD", "MACHINERY": "MACHINERY"}
+
+
+def family_matches(answers: DataFrame, postings_: DataFrame, label: str, yes: str, mapping: dict[str, str]) -> DataFrame:
+    """(family, answers, yes, growth, postings, matched) of every posting family and every mapped label's family.
+
+    Labels go to families by the map before they are counted; a label without a family leaves the comparison. A family
+    of one source only stays, with NULL for the other and ``matched`` false.
+    """
+    a = answers.select(SF.map_lookup(label, mapping).alias("family"), F.col(yes).alias("__yes")) \
+        .where(F.col("family").isNotNull()).groupBy("family") \
+        .agg(F.count(F.lit(1)).alias("answers"), F.count_if("__yes").alias("yes"))
+    b = postings_.groupBy("family").agg(F.avg("demand_growth").alias("growth"), F.count(F.lit(1)).alias("postings"))
+    return a.join(b, "family", "full_outer").withColumn(
+        "matched", F.col("answers").isNotNull() & F.col("postings").isNotNull())
+
+
+@register("a39_mapped_family", _sql("""
+, a AS (SELECT CASE c_mktsegment """ + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in LABEL_FAMILY.items()) + f""" END AS family,
+               count(*) AS answers, count(*) FILTER (WHERE event_type = 'error') AS yes FROM ue GROUP BY 1 HAVING family IS NOT NULL),
+b AS (SELECT family, avg(demand_growth) AS growth, count(*) AS postings FROM po GROUP BY 1)
+SELECT coalesce(a.family, b.family) AS family, a.family IS NOT NULL AND b.family IS NOT NULL AS matched,
+       {R('yes * 1.0 / answers')} AS threat_rate, {R(_GL)} AS ci_low, {R(_GH)} AS ci_high,
+       {R('growth')} AS mean_demand_growth, CAST(postings AS BIGINT) AS postings
+FROM a FULL OUTER JOIN b ON a.family = b.family""", ",\n" + S.USER_EVENTS_SQL.strip()))
+def a39_mapped_family(spark, sf_dir):
+    """Threat rate beside demand growth for every family, labels mapped to families, unmatched families kept."""
+    t = Tables(spark, sf_dir)
+    ue = S.user_events(t).withColumn("__error", F.col("event_type") == "error")
+    g = family_matches(ue, S.postings(t), "c_mktsegment", "__error", LABEL_FAMILY)
+    lo, hi = SF.wilson_interval("yes", "answers")
+    return g.select("family", "matched", r(F.col("yes") / F.col("answers")).alias("threat_rate"),
+                    r(lo).alias("ci_low"), r(hi).alias("ci_high"), r("growth").alias("mean_demand_growth"), "postings")
+
+
 _SKILL_THEME_SQL = ("CASE WHEN TRY_CAST(substr(skill, 7) AS INTEGER) <= 8 THEN 'browse' "
                     "WHEN TRY_CAST(substr(skill, 7) AS INTEGER) <= 16 THEN 'commit' ELSE 'friction' END")
 

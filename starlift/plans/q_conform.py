@@ -28,6 +28,22 @@ def c5_conform_customers(spark, sf_dir):
     return c.select("c_custkey", "country_canonical", "continent", "industry_sector", "industry")
 
 
+@register("c1_complete_country_map", "WITH " + S.COUNTRY_MAP_SQL.strip() + """,
+used AS (SELECT n_name AS country FROM customer JOIN nation ON c_nationkey = n_nationkey
+         UNION ALL SELECT n_name FROM supplier JOIN nation ON s_nationkey = n_nationkey)
+SELECT m.canonical AS country_canonical, CAST(count(*) AS BIGINT) AS row_count
+FROM used JOIN cmap m ON used.country = m.raw GROUP BY 1""")
+def c1_complete_country_map(spark, sf_dir):
+    """Rows per canonical country, after the check that the reference table resolves every country in use."""
+    t = Tables(spark, sf_dir)
+    names = t.nation.select("n_nationkey", F.col("n_name").alias("country"))
+    used = t.customer.join(names, F.col("c_nationkey") == F.col("n_nationkey")).select("country").unionByName(
+        t.supplier.join(names, F.col("s_nationkey") == F.col("n_nationkey")).select("country"))
+    cmap = CF.complete_map(S.country_map(t), used, "country")
+    return CF.conform(used, "country", cmap, "country_canonical").groupBy("country_canonical") \
+        .agg(F.count(F.lit(1)).alias("row_count"))
+
+
 @register("c8_bucket_counts", """
 SELECT CASE WHEN p_size IS NULL THEN NULL WHEN p_size <= 2 THEN 'Entry' WHEN p_size <= 5 THEN 'Mid'
             WHEN p_size <= 9 THEN 'Senior' ELSE 'Lead' END AS size_bucket, CAST(count(*) AS BIGINT) AS parts

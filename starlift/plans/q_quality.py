@@ -352,6 +352,24 @@ def p3_vocabulary_coverage(spark, sf_dir):
         .select("dataset", "raw_value", "row_count", "mapped")
 
 
+@register("p3_country_coverage", "WITH " + S.COUNTRY_MAP_SQL.strip() + """,
+listed AS (
+  SELECT 'customer' AS dataset, n_name AS raw_value FROM customer JOIN nation ON c_nationkey = n_nationkey
+  UNION ALL SELECT 'supplier', n_name FROM supplier JOIN nation ON s_nationkey = n_nationkey
+  UNION ALL SELECT 'documents', lang FROM documents)
+SELECT dataset, raw_value, CAST(count(*) AS BIGINT) AS row_count, raw_value IN (SELECT raw FROM cmap) AS mapped
+FROM listed WHERE raw_value IS NOT NULL GROUP BY dataset, raw_value""")
+def p3_country_coverage(spark, sf_dir):
+    """P3 over three datasets against one reference table; language codes stand in for spellings it doesn't know."""
+    t = Tables(spark, sf_dir)
+    names = t.nation.select("n_nationkey", F.col("n_name").alias("country"))
+    customer = t.customer.join(names, F.col("c_nationkey") == F.col("n_nationkey"))
+    supplier = t.supplier.join(names, F.col("s_nationkey") == F.col("n_nationkey"))
+    return P.vocabulary_coverage({"customer": (customer, "country"), "supplier": (supplier, "country"),
+                                  "documents": (t.documents, "lang")}, S.country_map(t), "raw") \
+        .select("dataset", "raw_value", "row_count", "mapped")
+
+
 @register("p4_functional_dependency", """
 SELECT 'p_brand' AS determinant, 'p_type' AS dependent, CAST(count(*) AS BIGINT) AS groups,
        CAST(count(*) FILTER (WHERE k > 1) AS BIGINT) AS violating_groups

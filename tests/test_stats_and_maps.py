@@ -2,8 +2,10 @@
 
 import numpy as np
 import pandas as pd
+import pytest
 
 from starlift.operators import basket as B
+from starlift.operators import conform as CF
 from starlift.operators import stats as ST
 from starlift.refdata import labour as L
 
@@ -52,3 +54,32 @@ def test_maps_are_complete_and_merge_variants():
     assert set(L.ROLE_MAP.values()) == {"Emerging", "Traditional"}
     assert set(L.EXPERIENCE_MAP.values()) == {"Entry", "Mid", "Senior", "Lead"}
     assert not set(L.EXPERIENCE_MAP.values()) & set(L.EXPERIENCE_MAP)
+
+
+def test_shades_keep_missing_cells(spark):
+    rows = [("a", 10, 4.0, None), ("b", None, 4.0, None), ("c", 30, None, None), ("d", 15, 4.0, None)]
+    got = {r.g: r for r in ST.with_shades(spark.createDataFrame(rows, "g string, x long, y double, z double"), ["x", "y", "z"]).collect()}
+    assert [got[g].shade_x for g in "abcd"] == [0.0, None, 1.0, 0.25]
+    assert [got[g].shade_y for g in "abcd"] == [1.0, 1.0, None, 1.0]
+    assert [got[g].shade_z for g in "abcd"] == [None] * 4
+
+
+def test_a_map_with_holes_stops_the_load(spark):
+    used = spark.createDataFrame([("UAE",), ("UAE",), (None,), ("Nomadic",), ("Atlantis",)], "country string")
+    with pytest.raises(ValueError, match=r"1 value\(s\) of country without a canonical one: \['Atlantis'\]"):
+        CF.complete_map(L.COUNTRY_MAP, used, "country")
+    table = spark.createDataFrame([("UAE", "Emirates"), ("Nomadic", None), ("Atlantis", "Atlantis")], "raw string, canonical string")
+    with pytest.raises(ValueError, match="Nomadic"):
+        CF.complete_map(table, used, "country")
+    known = used.where("country <> 'Atlantis'")
+    assert CF.complete_map(L.COUNTRY_MAP, known, "country") is L.COUNTRY_MAP
+
+
+def test_matched_families_keep_the_unmatched_ones(spark):
+    from starlift.plans.q_analytics import family_matches
+    answers = spark.createDataFrame([("x1", True), ("x2", False), ("x1", False), ("y", True), ("?", True), (None, True)],
+                                    "label string, worried boolean")
+    posts = spark.createDataFrame([("X", 2.0), ("X", 4.0), ("Z", 1.0)], "family string, demand_growth double")
+    got = {r.family: (r.answers, r.yes, r.growth, r.postings, r.matched) for r in
+           family_matches(answers, posts, "label", "worried", {"x1": "X", "x2": "X", "y": "Y"}).collect()}
+    assert got == {"X": (3, 1, 3.0, 2, True), "Y": (1, 1, None, None, False), "Z": (None, None, 1.0, 1, False)}
