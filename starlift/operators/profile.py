@@ -1,17 +1,16 @@
 """Profiling (§2.4 P1-P4, §2.1 S4).
 
-All column statistics come from ONE aggregate over the table (one scan,
-partial aggregation per partition), then are turned into one row per column
-with ``stack``.
+All column statistics come from one scan, combined in each task before
+anything is shuffled.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import ArrayType, BinaryType, DataType, DoubleType, FloatType, MapType, NumericType, StringType, StructType
 
 PROFILE_COLUMNS = ["column", "dtype", "missing_count", "missing_pct", "unique_count", "min", "max", "position"]
 
@@ -20,37 +19,49 @@ def _is_numeric(dt) -> bool:
     return isinstance(dt, NumericType)
 
 
+def _value_key(col: Column, dt: DataType) -> Column:
+    """A short binary key that two values of a column share exactly when they are equal; NULL for NULL.
+
+    Texts go by their SHA-256, so no long value is shuffled; nested values by the SHA-256 of their JSON form.
+    """
+    if isinstance(dt, (FloatType, DoubleType)):
+        col = col + F.lit(0.0).cast(dt)   # -0.0 equals 0.0
+    if isinstance(dt, (ArrayType, StructType, MapType)):
+        col = F.when(col.isNotNull(), F.to_json(F.struct(col.alias("v"))))
+    if isinstance(dt, (ArrayType, StructType, MapType, StringType, BinaryType)):
+        return F.unhex(F.sha2(col.cast("binary"), 256))
+    return col.cast("string").cast("binary")
+
+
 def data_dictionary(df: DataFrame, approx_distinct: bool = False, rsd: float = 0.02) -> DataFrame:
     """Per column dtype, missing count and % (1 dp, 0.0 on an empty table),
     non-NULL distinct count, min/max for numeric columns only; original column order.
 
-    ``approx_distinct`` swaps the exact distinct count (one Expand per column)
-    for HyperLogLog++, which is what a 100 TB profile should use.
+    One scan turns every row into narrow (column, value key, number) entries. They are counted per value, combined
+    in each task before the shuffle, and the values are then counted per column; the wide rows never leave the scan.
+    ``approx_distinct`` swaps the exact distinct count for HyperLogLog++, which needs one aggregate and no entries.
     """
     fields = df.schema.fields
-    aggs = [F.count(F.lit(1)).alias("__n")]
-    for i, f in enumerate(fields):
-        c = F.col(f"`{f.name}`")
-        aggs.append(F.count_if(c.isNull()).alias(f"__m{i}"))
-        aggs.append((F.approx_count_distinct(c, rsd) if approx_distinct else F.count_distinct(c)).alias(f"__u{i}"))
-        if _is_numeric(f.dataType):
-            aggs.append(F.min(c).cast("double").alias(f"__lo{i}"))
-            aggs.append(F.max(c).cast("double").alias(f"__hi{i}"))
-    one = df.agg(*aggs)
-    rows = []
-    for i, f in enumerate(fields):
-        lo = F.col(f"__lo{i}") if _is_numeric(f.dataType) else F.lit(None).cast("double")
-        hi = F.col(f"__hi{i}") if _is_numeric(f.dataType) else F.lit(None).cast("double")
-        rows.append(F.struct(
-            F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("dtype"),
-            F.col(f"__m{i}").cast("long").alias("missing_count"),
-            F.col(f"__u{i}").cast("long").alias("unique_count"),
-            lo.alias("min"), hi.alias("max"), F.lit(i).alias("position")))
-    exploded = one.select(F.col("__n"), F.explode(F.array(*rows)).alias("r")).select("__n", "r.*")
-    pct = F.when(F.col("__n") == 0, F.lit(0.0)).otherwise(
-        F.bround(F.col("missing_count") * 100.0 / F.col("__n"), 1))  # half-even like Python round (X6)
-    return exploded.select("column", "dtype", "missing_count", pct.alias("missing_pct"),
-                           "unique_count", "min", "max", "position")
+    names = df.sparkSession.createDataFrame([(i, f.name, f.dataType.simpleString()) for i, f in enumerate(fields)],
+                                            "position int, column string, dtype string")   # one row per column
+    number = [F.col(f"`{f.name}`").cast("double") if _is_numeric(f.dataType) else F.lit(None).cast("double") for f in fields]
+    if approx_distinct:
+        stats = df.agg(F.array(*[F.struct(
+            F.lit(i).alias("position"), F.count(F.lit(1)).alias("n"), F.count_if(F.col(f"`{f.name}`").isNull()).alias("missing_count"),
+            F.approx_count_distinct(f"`{f.name}`", rsd).alias("unique_count"), F.min(x).alias("min"), F.max(x).alias("max"))
+            for i, (f, x) in enumerate(zip(fields, number))]).alias("s")).select(F.explode("s").alias("s")).select("s.*")
+    else:
+        entries = df.select(F.explode(F.array(*[F.struct(
+            F.lit(i).alias("position"), _value_key(F.col(f"`{f.name}`"), f.dataType).alias("key"), x.alias("number"))
+            for i, (f, x) in enumerate(zip(fields, number))])).alias("e")).select("e.*")
+        values = entries.groupBy("position", "key").agg(F.count(F.lit(1)).alias("rows"), F.min("number").alias("number"))
+        stats = values.groupBy("position").agg(
+            F.sum("rows").alias("n"), F.sum(F.when(F.col("key").isNull(), F.col("rows"))).alias("missing_count"),
+            F.count("key").alias("unique_count"), F.min("number").alias("min"), F.max("number").alias("max"))
+    pct = F.when(F.col("n") > 0, F.bround(F.col("missing_count") * 100.0 / F.col("n"), 1))  # half-even like Python round (X6)
+    filled = names.join(stats, "position", "left").withColumn("missing_count", F.coalesce("missing_count", F.lit(0).cast("long")))
+    return filled.select("column", "dtype", "missing_count", F.coalesce(pct, F.lit(0.0)).alias("missing_pct"),
+                         F.coalesce("unique_count", F.lit(0).cast("long")).alias("unique_count"), "min", "max", "position")
 
 
 def missing_report(df: DataFrame, table: str) -> DataFrame:

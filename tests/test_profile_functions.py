@@ -85,3 +85,21 @@ def test_date_key_and_tolerant_parse(spark):
     df = spark.createDataFrame([("1/5/2024",), ("x",), (None,)], "d string")
     got = [r.k for r in df.select(SF.date_key(SF.parse_date("d")).alias("k")).collect()]
     assert got == [20240105, None, None]
+
+
+def test_dictionary_counts_like_distinct_and_needs_no_expand(spark, capsys):
+    rows = [(i % 7, float(i % 3) * (-1 if i % 2 else 1), ("x" * 5000 + str(i % 4)) if i % 5 else None, [str(i % 2), "a, b"] if i % 3 else None)
+            for i in range(200)] + [(None, float("nan"), "", ["a", "b"])] * 2
+    df = spark.createDataFrame(rows, "i int, d double, t string, a array<string>").repartition(3)
+    df = df.withColumn("when", F.to_date(F.lit("2024-01-01"))).withColumn("flag", F.col("i") > 3)
+    want = df.agg(*[F.count_distinct(c).alias(c) for c in df.columns]).first()
+    for approx in (False, True):
+        got = {r.column: r for r in P.data_dictionary(df, approx_distinct=approx).collect()}
+        assert [got[c].position for c in df.columns] == list(range(6))
+        assert {c: r.unique_count for c, r in got.items()} == want.asDict()
+        assert got["i"].missing_count == 2 and (got["i"].min, got["i"].max) == (0.0, 6.0)
+        assert got["t"].missing_pct == 19.8 and got["t"].min is None and got["a"].dtype == "array<string>"
+    P.data_dictionary(df).explain()
+    plan = capsys.readouterr().out
+    assert "Expand" not in plan and plan.count("Generate") >= 1
+    assert [(r.unique_count, r.missing_count) for r in P.data_dictionary(df.limit(0)).collect()] == [(0, 0)] * 6
