@@ -8,7 +8,8 @@ CONTAINMENT of the template's distinct words. The join runs inside the row, agai
 * prefix filter: with need = ceil(CONTAINMENT * m), a match shares one of the template's m - need + 1 rarest words, so
   only documents with such a word are cut into blocks, and only blocks whose own prefix meets the template's go on;
 * length filter: a block with fewer template words than ``need`` cannot match;
-* positional filter: after the first common word at places i and j, at most 1 + min(m - i, size - j) can be common.
+* positional filter: after the first common word at places i and j, at most 1 + min(m - i, size - j) can be common;
+* a block that is near enough must also hold the template's telling words.
 
 Nothing is shuffled but the count of a few dozen words; texts stay in their row. The base phrases are found exactly
 at their places. Defined results: null text counts as empty (no words, no labels, score 0); repeated rows give
@@ -32,17 +33,18 @@ CONTAINMENT = 0.8
 #: Phrases whose places are the base, and their labels.
 PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 
-#: License statements as licensors word them, label by label (own list).
+#: License statements as licensors word them (own list): label, statement, and the words that tell it from the
+#: statements of other licenses; a block without one of these is no match however much it holds of the rest.
 TEMPLATES = [
-    ("mit", "released under the mit license"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software"),
-    ("apache-2", "licensed under the apache license version 2 0"),
-    ("apache-2", "you may not use this file except in compliance with the license"),
-    ("cc-by-nc", "licensed under cc by nc 4 0"),
-    ("cc-by-nc", "creative commons attribution noncommercial international license"),
-    ("gpl-3", "licensed under the gnu general public license version 3"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted"),
-    ("mpl-2", "subject to the terms of the mozilla public license v 2 0"),
+    ("mit", "released under the mit license", "mit"),
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software", "permission granted charge"),
+    ("apache-2", "licensed under the apache license version 2 0", "apache 2"),
+    ("apache-2", "you may not use this file except in compliance with the license", "not file compliance"),
+    ("cc-by-nc", "licensed under cc by nc 4 0", "cc by nc"),
+    ("cc-by-nc", "creative commons attribution noncommercial international license", "creative commons noncommercial"),
+    ("gpl-3", "licensed under the gnu general public license version 3", "gnu general 3"),
+    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted", "redistribution source binary"),
+    ("mpl-2", "subject to the terms of the mozilla public license v 2 0", "mozilla 2"),
 ]
 
 _NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -64,36 +66,37 @@ def _words() -> Column:
 
 def template_order(rows: DataFrame, templates: list) -> dict[str, int]:
     """Rank of each template word by its count in all documents, rarest first; one row per word reaches the driver."""
-    vocabulary = sorted({w for _, t in templates for w in t.split()})
+    vocabulary = sorted({w for _, t, _ in templates for w in t.split()})
     counts = (rows.select(F.explode(F.split("t", " ")).alias("w")).where(F.col("w").isin(vocabulary))
               .groupBy("w").agg(F.count(F.lit(1)).alias("n")).collect())
     n = {r["w"]: r["n"] for r in counts}
     return {w: k for k, w in enumerate(sorted(vocabulary, key=lambda w: (n.get(w, 0), w)))}
 
 
-def _hit(block: Column, sets: list[int], need: int) -> Column:
-    """Share of the template's words in a block (sorted ranks), or null when a filter or the count rules it out."""
+def _hit(block: Column, sets: list[int], need: int, telling: list[int]) -> Column:
+    """Share of the template's words in a block (sorted ranks), or null when a filter, the count or a telling word rules it out."""
     m = len(sets)
     own = F.array(*[F.lit(x) for x in sets])
     prefix = F.array(*[F.lit(x) for x in sets[:m - need + 1]])
     first = F.array_min(F.array_intersect(prefix, F.slice(block, 1, F.greatest(F.size(block) - F.lit(need - 1), F.lit(0)))))
     bound = F.lit(1) + F.least(F.lit(m) - F.array_position(own, first), F.size(block) - F.array_position(block, first))
     common = F.size(F.array_intersect(own, block))
-    return F.when((F.size(block) >= need) & first.isNotNull(), F.when(bound >= need, F.when(common >= need, common / F.lit(float(m)))))
+    told = F.size(F.array_intersect(F.array(*[F.lit(x) for x in telling]), block)) == len(telling)
+    return F.when((F.size(block) >= need) & first.isNotNull(), F.when(bound >= need, F.when((common >= need) & told, common / F.lit(float(m)))))
 
 
 def scan(docs: DataFrame, containment: float = CONTAINMENT, templates: list | None = None) -> DataFrame:
     """One row per input row: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, n_blocks.
 
-    ``n_blocks`` is the number of (block, template) matches; score is 1 with a base phrase, else the best containment.
+    A template is (label, statement, telling words of the statement). ``n_blocks`` is the number of (block, template) matches; score is 1 with a base phrase, else the best containment.
     """
     templates = templates or TEMPLATES
     rows = word_text(docs)
     rank = template_order(rows, templates)
-    sets = [(label, sorted({rank[w] for w in t.split()})) for label, t in templates]
-    sets = [(label, s, math.ceil(containment * len(s) - 1e-9)) for label, s in sets]
+    sets = [(label, sorted({rank[w] for w in t.split()}), sorted({rank[w] for w in told.split()})) for label, t, told in templates]
+    sets = [(label, s, math.ceil(containment * len(s) - 1e-9), told) for label, s, told in sets]
     word_of = {k: w for w, k in rank.items()}
-    prefix_words = sorted({word_of[k] for _, s, need in sets for k in s[:len(s) - need + 1]})
+    prefix_words = sorted({word_of[k] for _, s, need, _ in sets for k in s[:len(s) - need + 1]})
     ranks = F.create_map(*[x for w, k in rank.items() for x in (F.lit(w), F.lit(k))])
 
     padded = F.concat(F.lit(" "), F.col("t"), F.lit(" "))
@@ -117,10 +120,10 @@ def scan(docs: DataFrame, containment: float = CONTAINMENT, templates: list | No
         lambda b: F.array_sort(F.transform(F.array_intersect(F.slice(F.col("words"), b * STRIDE + 1, F.lit(BLOCK)), _strings(sorted(rank))),
                                            lambda w: F.element_at(ranks, w))))
     candidate = F.arrays_overlap(F.col("words"), _strings(prefix_words))
-    blocks = F.when(candidate, F.filter(block_ranks, lambda r: F.size(r) >= min(n for _, _, n in sets))).otherwise(F.array().cast("array<array<int>>"))
+    blocks = F.when(candidate, F.filter(block_ranks, lambda r: F.size(r) >= min(n for _, _, n, _ in sets))).otherwise(F.array().cast("array<array<int>>"))
     rows = rows.withColumn("blocks", blocks)
     matches = F.flatten(F.transform("blocks", lambda r: F.filter(
-        F.array(*[F.struct(F.lit(label).alias("label"), _hit(r, s, need).alias("share")) for label, s, need in sets]),
+        F.array(*[F.struct(F.lit(label).alias("label"), _hit(r, s, need, told).alias("share")) for label, s, need, told in sets]),
         lambda x: x["share"].isNotNull())))
     rows = rows.withColumn("matches", matches).withColumn("starts", starts).withColumn("base_list", base_labels)
     labels = F.array_sort(F.array_distinct(F.concat("base_list", F.transform("matches", lambda x: x["label"]))))

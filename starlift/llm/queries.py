@@ -94,15 +94,15 @@ def _strings(words) -> str:
 
 def _license_sql() -> str:
     """Every block compared with every template, every place with every phrase."""
-    sets = [(label, sorted(set(t.split()))) for label, t in license_scan.TEMPLATES]
-    templates = ", ".join(f"('{label}', {_strings(ws)}, {math.ceil(license_scan.CONTAINMENT * len(ws) - 1e-9)})" for label, ws in sets)
+    sets = [(label, sorted(set(t.split())), told.split()) for label, t, told in license_scan.TEMPLATES]
+    templates = ", ".join(f"('{label}', {_strings(ws)}, {math.ceil(license_scan.CONTAINMENT * len(ws) - 1e-9)}, {_strings(told)})" for label, ws, told in sets)
     phrases = ", ".join(f"('{label}', {_strings(p.split())})" for p, label in license_scan.PHRASES.items())
-    vocabulary = _strings(sorted({w for _, ws in sets for w in ws}))
+    vocabulary = _strings(sorted({w for _, ws, _ in sets for w in ws}))
     block, stride = license_scan.BLOCK, license_scan.STRIDE
     return f"""
         WITH w AS MATERIALIZED (
             SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM documents),
-        templates(label, ws, need) AS (VALUES {templates}),
+        templates(label, ws, need, told) AS (VALUES {templates}),
         phrases(label, ws) AS (VALUES {phrases}),
         cut AS (
             SELECT r, unnest(list_transform(range(0, CAST(greatest(ceil((len(ws) - {block}) / {stride}.0), 0) AS BIGINT) + 1),
@@ -110,7 +110,7 @@ def _license_sql() -> str:
             FROM w),
         near AS (
             SELECT r, label, len(list_intersect(cut.ws, templates.ws)) / CAST(len(templates.ws) AS DOUBLE) AS share
-            FROM cut, templates WHERE len(list_intersect(cut.ws, templates.ws)) >= need),
+            FROM cut, templates WHERE len(list_intersect(cut.ws, templates.ws)) >= need AND list_has_all(cut.ws, told)),
         place AS (
             SELECT r, label, unnest(list_filter(range(0, len(w.ws) - len(phrases.ws) + 1), lambda i: w.ws[i + 1 : i + len(phrases.ws)] = phrases.ws)) AS word
             FROM w, phrases),
