@@ -4,7 +4,8 @@ Base kinds (assign, access, hex) are leftmost, non-overlapping matches of their
 The method looks at every value in a credential context (``password: ...``, ``pin is ...``) that no base span covers:
 a dynamic program over its places finds the cheapest segmentation into common words, dates, repeats, keyboard walks
 and brute-force spans; the cost is log10 of the guesses, the product over segments with the usual factorial of their
-number. A value of at least MIN_COST is a secret of kind "guess".
+number. A value of at least MIN_COST is a secret of kind "guess". A value that only stands for a secret (``<your-password>``,
+``$DB_TOKEN``) is none, nor is a plain lower-case word after "is" (``the password is described below``).
 
 No shuffle: each text is scanned whole in its row. Defined results: null text counts as empty; repeated rows give
 repeated results; positions are code points, ends exclusive.
@@ -40,6 +41,11 @@ _CONTEXT = re.compile(r"""(?:(?:pass(?:word|wd|phrase|code)|secret|token|credent
                       r"""|PART(?:pass(?:word|wd|phrase|code)?|pwd|pin|secret|token|credentials?|api[_-]?key|auth[_-]?key|private[_-]?key)["']?\x20is\x20)["']?([^\s"']{6,})""".replace("PART", _PART), re.I | re.A)
 _CONTEXT_HINT = re.compile(r"pass|pwd|pin|secret|token|credential|key", re.I | re.A)
 
+#: Values that only stand for a secret: <your-password>, ${DB_PASSWORD}, $(cat key), $DB_TOKEN, %TOKEN%, {{ token }}, [redacted].
+_STAND_IN = re.compile(r"<[^<>]*>|\$?\{.*\}|\$\(.*\)?|\$[A-Z_][A-Z0-9_]*|%[A-Za-z_][A-Za-z0-9_]*%|\{\{.*|\[[^\[\]]*\]", re.A)
+#: A lower-case word with the marks that end a phrase; after "... is" it continues the sentence.
+_PROSE = re.compile(r"[a-z]+(?:-[a-z]+)*[.,;:!?)]*", re.A)
+
 #: Own short list, most guessed first: its place is the number of guesses.
 WORDS = {w: k + 1 for k, w in enumerate(
     "password admin welcome login letmein qwerty dragon monkey football baseball master shadow sunshine princess secret "
@@ -135,6 +141,13 @@ def _ways(segments: int) -> float:
     return math.lgamma(segments + 1) / math.log(10)
 
 
+def is_stand_in(context: str, value: str) -> bool:
+    """Whether a value in its context (the match up to the value) names or describes a secret instead of being one."""
+    bare = value.rstrip(".,;:)")
+    return bool(_STAND_IN.fullmatch(value) or _STAND_IN.fullmatch(bare)
+                or context[-4:].lower() == " is " and _PROSE.fullmatch(value))
+
+
 def find_spans(text: str, min_cost: float = MIN_COST) -> tuple[list, list]:
     """Base spans and spans of the method, each (start, kind number, end)."""
     base = []
@@ -151,7 +164,9 @@ def find_spans(text: str, min_cost: float = MIN_COST) -> tuple[list, list]:
         for m in _CONTEXT.finditer(text):
             s, e = m.span(1)
             last = [(ends, bisect_left(starts, e) - 1) for starts, ends in taken]
-            if not any(k >= 0 and ends[k] > s for ends, k in last) and guess_cost(m.group(1), min_cost) >= min_cost:
+            if any(k >= 0 and ends[k] > s for ends, k in last) or is_stand_in(text[m.start():s], m.group(1)):
+                continue
+            if guess_cost(m.group(1), min_cost) >= min_cost:
                 more.append((s, 3, e))
     return base, more
 

@@ -199,6 +199,56 @@ def test_secret_scan_names(text, value):
     assert base == [] and [f"a {text} b"[s:e] for s, _, e in more] == ([value] if value else [])
 
 
+@pytest.mark.parametrize("text,value", [
+    ("The password is described below", None), ("the secret is understanding, really", None), ("pin is mandatory.", None), ("pin is well-protected)", None),
+    ("password: <your-password>", None), ("token=$DB_TOKEN", None), ("secret: ${VAULT_SECRET}", None), ("token: $(cat", None), ("api_key=%API_TOKEN%;", None),
+    ("password: {{password}}", None), ("passphrase: [redacted]", None), ("password: <Xk9!qz2L#vw", "<Xk9!qz2L#vw"), ("pwd is Xk9qzkLvwjq", "Xk9qzkLvwjq"),
+    ("password: $ecretXk9!qz", "$ecretXk9!qz"), ("password is zqxjkvbpwm7", "zqxjkvbpwm7"), ("pwd = zqxjkvbpwmf", "zqxjkvbpwmf")])
+def test_values_that_only_stand_for_a_secret(text, value):
+    base, more = secret_scan.find_spans(f"a {text} b")
+    assert base == [] and [f"a {text} b"[s:e] for s, _, e in more] == ([value] if value else [])
+
+
+def test_base_spans_equal_a_plain_scan():
+    """Letter by letter: the longest run of the value's letters after each place where a context can stand."""
+    import random
+    rng, names = random.Random(8), ("password", "PassWd", "secret", "TOKEN", "apikey", "api_key")
+    pieces = [*names, "AKIA", "AKIAABCDEFGHIJ2345", "deadbeefdeadbeef", "0123456789abcde", "=", ":", " ", "'", '"', "Zz9/+_.-", "abcdefghijkl", "ſ", "é", "\n", "A1", "f0"]
+
+    def plain(text):
+        out, run = [], lambda i, ok: next((j for j in range(i, len(text)) if not ok(text[j])), len(text))
+        value = lambda c: c.isascii() and (c.isalnum() or c in "+/_.=-")
+        for kind, low in ((0, 12), (1, 18), (2, 16)):
+            i = 0
+            while i < len(text):
+                ends = []
+                if kind == 0:
+                    for n in ("password", "passwd", "secret", "token", "apikey", "api_key"):
+                        if text[i:i + len(n)].isascii() and text[i:i + len(n)].lower() == n:
+                            j = i + len(n)
+                            j += text[j:j + 1] in ("'", '"') and j < len(text)
+                            j = run(j, lambda c: c == " ")
+                            if text[j:j + 1] in ("=", ":") and j < len(text):
+                                j = run(j + 1, lambda c: c == " ")
+                                j += text[j:j + 1] in ("'", '"') and j < len(text)
+                                e = run(j, value)
+                                ends += [(e, e - j)] if e > j else []
+                elif kind == 1 and text.startswith("AKIA", i):
+                    e = run(i + 4, lambda c: c.isascii() and (c.isupper() or c.isdigit()))
+                    ends += [(e, e - i)] if e > i + 4 else []
+                elif kind == 2:
+                    e = run(i, lambda c: c in "0123456789abcdef")
+                    ends += [(e, e - i)] if e > i else []
+                if ends and ends[0][1] >= low:
+                    out.append((i, kind, ends[0][0]))
+                i = max(i + 1, ends[0][0]) if ends else i + 1
+        return sorted(out)
+
+    for _ in range(3000):
+        text = "".join(rng.choice(pieces) for _ in range(rng.randint(0, 14)))
+        assert secret_scan.find_spans(text)[0] == plain(text), text
+
+
 def brute_cost(value):
     """Every segmentation, one after the other."""
     unit = np.log10(max(10, secret_scan._alphabet(value)))
