@@ -39,6 +39,14 @@ def _null_safe_join(df: DataFrame, stats: DataFrame, keys: Sequence[str]) -> Dat
     return out.drop(*[f"__k{i}" for i in range(len(keys))])
 
 
+def digest(cols: Sequence[str]) -> tuple[Column, Column]:
+    """Two 64-bit hashes with seeds of their own, equal for rows that a grouping by ``cols`` takes as equal (NULLs equal, 0.0 = -0.0).
+
+    Hashes pass over NULLs, so the places of the NULLs are hashed first."""
+    nulls = [sum((F.when(F.col(c).isNull(), F.lit(1 << i)).otherwise(F.lit(0)) for i, c in enumerate(cols[k:k + 30])), F.lit(0)) for k in range(0, len(cols), 30)]
+    return tuple(F.xxhash64(F.lit(seed), *nulls, *cols) for seed in (1, 2))
+
+
 def with_group_stats(df: DataFrame, keys: Sequence[str], aggs: Mapping[str, Column]) -> DataFrame:
     """Add per-group aggregates to each row (null-safe group keys).
 
@@ -82,35 +90,37 @@ def add_conflicting_key_flag(df: DataFrame, key: Sequence[str], all_cols: Sequen
 
 def add_row_and_key_flags(df: DataFrame, content_cols: Sequence[str], key: Sequence[str], order_col: str,
                           latest_col: str, dup_flag: str, conflict_flag: str) -> DataFrame:
-    """Q6 + Q8 together with two shuffles of the raw rows instead of six.
+    """Q6 + Q8 together; the whole rows are shuffled once.
 
-    Rows with equal content always share a key, so the key statistics can be
-    computed from the (smaller) per-content aggregate:
+    Rows with equal content always share a key, and only rows whose key comes more than once can be flagged:
 
-    1. G1 = per content group: rows, first ``order_col``, max ``latest_col``  (raw rows, combined map-side)
-    2. G2 = per key, from G1: rows, max ``latest_col``                     (small)
-    3. G1 ⋈ G2 on the key                                                 (small)
-    4. rows ⋈ G3 on the content (NULL = NULL)                             (raw rows, AQE skew join)
+    1. keys with more than one row                                        (128-bit digests, combined map-side)
+    2. (key, content, order, latest) of the rows with such a key          (digests)
+    3. per content group: rows, first ``order_col``, max ``latest_col``   (combined map-side)
+    4. per key, from 3: rows, max ``latest_col``; joined with 3           (small)
+    5. rows ⋈ 4 on key and content                                        (raw rows, AQE skew join)
 
     ``dup_flag``: not the first row of its exact-duplicate group (keep first).
     ``conflict_flag``: Q8 as in ``add_conflicting_key_flag``.
     """
-    g1 = df.groupBy(*content_cols).agg(F.count(F.lit(1)).alias("__n_full"), F.min(order_col).alias("__first"),
-                                       F.max(latest_col).alias("__mx"))
+    of_key, of_row = digest(key), digest(content_cols)
+    narrow = df.select(*[c.alias(f"__k{i}") for i, c in enumerate(of_key)], *[c.alias(f"__c{i}") for i, c in enumerate(of_row)],
+                       F.col(order_col).alias("__o"), F.col(latest_col).alias("__l"))
+    again = df.select(*[c.alias(f"__r{i}") for i, c in enumerate(of_key)]).groupBy("__r0", "__r1").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1")
+    narrow = narrow.join(again, (F.col("__k0") == F.col("__r0")) & (F.col("__k1") == F.col("__r1")), "left_semi")
+    g1 = narrow.groupBy("__k0", "__k1", "__c0", "__c1").agg(F.count(F.lit(1)).alias("__n_full"), F.min("__o").alias("__first"), F.max("__l").alias("__mx"))
+    # the struct keeps the columns of both uses of g1 alike, so that Spark makes it once
+    g2 = g1.groupBy(F.col("__k0").alias("__g0"), F.col("__k1").alias("__g1")).agg(F.sum("__n_full").alias("__n_key"), F.max(F.struct("__mx", "__first"))["__mx"].alias("__latest"))
+    g3 = g1.join(g2, (F.col("__k0") == F.col("__g0")) & (F.col("__k1") == F.col("__g1"))).select("__c0", "__c1", "__n_full", "__first", "__n_key", "__latest")
+    out = df.join(g3, (of_row[0] == F.col("__c0")) & (of_row[1] == F.col("__c1")), "left")
     key_set_ok = F.lit(True)
     for k in key:
         key_set_ok = key_set_ok & F.col(k).isNotNull()
-    g2 = g1.groupBy(*[F.col(k).alias(f"__g{i}") for i, k in enumerate(key)]).agg(
-        F.sum("__n_full").alias("__n_key"), F.max("__mx").alias("__latest"))
-    cond = [F.col(k).eqNullSafe(F.col(f"__g{i}")) for i, k in enumerate(key)]
-    g3 = g1.join(g2, cond, "left").select(*content_cols, "__n_full", "__first", "__n_key",
-                                          F.when(key_set_ok, F.col("__latest")).alias("__latest"))
-    out = _null_safe_join(df, g3, content_cols)
-    conflicting = (F.col("__n_key") > 1) & (F.col("__n_full") == 1)
-    bad = conflicting & ~F.coalesce(F.col(latest_col) == F.col("__latest"), F.lit(False))
-    return (out.withColumn(dup_flag, F.col(order_col) != F.col("__first"))
+    conflicting = (F.coalesce("__n_key", F.lit(1)) > 1) & (F.col("__n_full") == 1)
+    bad = conflicting & ~F.coalesce(F.col(latest_col) == F.when(key_set_ok, F.col("__latest")), F.lit(False))
+    return (out.withColumn(dup_flag, F.coalesce(F.col(order_col) != F.col("__first"), F.lit(False)))
             .withColumn(conflict_flag, bad)
-            .drop("__n_full", "__first", "__n_key", "__latest"))
+            .drop("__c0", "__c1", "__n_full", "__first", "__n_key", "__latest"))
 
 
 def add_vocab_flag(df: DataFrame, col: str, vocab: DataFrame | Iterable[str], flag: str,
