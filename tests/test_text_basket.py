@@ -6,7 +6,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from starlift import functions as SF
 from starlift.operators import basket as B
+from starlift.operators import nmf as NMF
 from starlift.operators import text as TX
 
 # own topics: three made-up themes and their anchors
@@ -114,3 +116,45 @@ def test_missing_report_is_sorted(spark):
     df = spark.createDataFrame([(1, None, None, "x"), (2, "a", None, None), (3, None, None, "y"), (4, "b", 1.0, "z")], "k int, b string, c double, a string")
     assert [(r["column"], r["missing_count"], r["missing_pct"]) for r in missing_report(df, "t").collect()] == [("c", 3, 75.0), ("b", 2, 50.0), ("a", 1, 25.0)]
     assert missing_report(df.limit(0), "t").count() == 0
+
+
+def test_counted_blocks_equal_the_rows_counted_one_by_one(spark):
+    texts = [(1, "red fish blue fish"), (2, "blue fish and red bird"), (2, "red bird"), (None, "one red fish"), (None, "red fish"), (5, ""), (6, None), (7, "the and of"), (8, "blue fish red fish")]
+    d = spark.createDataFrame(texts, "doc_id long, text string").repartition(3, "doc_id").sortWithinPartitions("doc_id")
+    counted = TX.counted_terms(TX.terms(spark.createDataFrame([r for r in texts if r[1] is not None], d.schema), "text", stopwords=None), "doc_id")
+    tf = TX.exploded_counts(counted, "doc_id")
+    vocab = TX.vocabulary(tf, spark.range(9).agg(F.count("*").alias("n")), 2, 1.0)
+    want = {r["doc_id"]: r for r in TX.tfidf_rows(tf, vocab, "doc_id").collect()}
+    for size in (1, 2, 100):   # blocks are cut between ids only
+        blocks = TX.counted_blocks(d, "doc_id", "text", stopwords=None, block_rows=size).persist()
+        assert {r["term"]: r["df"] for r in TX.block_vocabulary(blocks, 2, 1.0).collect()} == {r["term"]: r["df"] for r in vocab.collect()}
+        assert {r["term"]: r["c"] for r in TX.block_terms(blocks, "counts", "c").collect()} == {r["term"]: r["c"] for r in tf.groupBy("term").agg(F.sum("tf").alias("c")).collect()}
+        got = TX.block_rows(blocks, vocab, "doc_id").collect()
+        assert len(got) == len(want)
+        for r in got:
+            assert r["indices"] == want[r["doc_id"]]["indices"]
+            np.testing.assert_allclose(r["values"], want[r["doc_id"]]["values"])
+        best = {r["doc_id"]: r for r in TX.block_heaviest(blocks, vocab, "doc_id").collect()}
+        for r in TX.heaviest_term(tf, vocab, "doc_id").collect():
+            assert (best[r["doc_id"]]["nnz"], best[r["doc_id"]]["top_term"]) == (r["nnz"], r["top_term"])
+        drawn = TX.sampled_blocks(blocks, 0.5, 3).persist()
+        kept = [i for b in drawn.collect() for i in b["ids"]]
+        assert 0 < len(kept) < len(texts) and sum(b["n"] for b in drawn.collect()) == len(kept)
+        assert all(min(b["dfs"], default=1) >= 1 and len(b["terms"]) == len(b["dfs"]) for b in drawn.collect())
+        blocks.unpersist(), drawn.unpersist()
+
+
+def test_row_weights_are_the_products_with_the_factor(spark):
+    rows = spark.createDataFrame([(0, 1, [0, 2], [0.5, 1.5]), (0, 2, [3], [1.0]), (1, 3, [0, 3], [2.0, 4.0])], "block long, id long, indices array<int>, values array<double>")
+    factor = spark.createDataFrame([(0, 0, 0.25), (0, 1, 9000.5), (2, 1, 0.000001)], "term_index long, topic_id int, weight double")
+    got = {r["id"]: r["w"] for r in NMF.row_weights(rows, "id", factor, 2, 10**6).collect()}
+    assert got == {1: [0.125, 4500.25 + 1.5e-6], 3: [0.5, 18001.0]}   # document 2 has no term of the factor
+
+
+def test_spam_flag_and_word_bound_agree_with_counting(spark):
+    texts = ["spam " * 20, "spam " * 16 + "a b c d", "spam " * 17 + "a b c d", "a " * 8 + "b " * 8, "Spam spam " * 9, " ".join(map(str, range(30))), "", None, " one two\tthree\nfour ", "one two three four five", "  one two three four  five"]
+    d = spark.createDataFrame([(t,) for t in texts], "text string")
+    toks = SF.ws_tokens("text", lower=True)
+    old = F.coalesce((F.size(toks) > 15) & (SF.max_token_run(toks) / F.size(toks) > 0.8), F.lit(False))
+    for r in d.select(old.alias("a"), SF.spam_flag("text").alias("b"), (SF.word_count("text") > 4).alias("c"), SF.more_words_than("text", 4).alias("d")).collect():
+        assert (r["a"], r["c"]) == (r["b"], r["d"])
