@@ -14,7 +14,7 @@ Every stand-in reads whole tables; nothing is sampled or capped.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starlift.session import Tables
@@ -157,15 +157,31 @@ po AS (
   LEFT JOIN li_agg li ON o.o_orderkey = li.l_orderkey)"""
 
 
+def _skill() -> Column:
+    syn = F.create_map(*[F.lit(x) for kv in BRAND_SYNONYMS.items() for x in kv])
+    return F.coalesce(syn[F.trim("p_brand")], F.trim("p_brand")).alias("skill")
+
+
+#: Lines of a task of ``posting_skills``.
+TASK_LINES = 1 << 18
+
+
 def posting_skills(t: Tables) -> DataFrame:
-    """Bridge source: (posting_id, skill) with brand synonyms merged, distinct pairs."""
+    """Bridge source: (posting_id, skill) with brand synonyms merged, distinct pairs.
+
+    The pairs lie by posting, so what follows by posting shuffles them no more; tasks grow in number, not in size.
+    """
     li = t.lineitem.select("l_orderkey", "l_partkey")
     p = t.part.select("p_partkey", "p_brand")
-    syn = F.create_map(*[F.lit(x) for kv in BRAND_SYNONYMS.items() for x in kv])
-    return (li.join(p, li.l_partkey == p.p_partkey)
-            .select(F.col("l_orderkey").alias("posting_id"),
-                    F.coalesce(syn[F.trim("p_brand")], F.trim("p_brand")).alias("skill"))
-            .distinct())
+    pairs = li.join(p, li.l_partkey == p.p_partkey).select(F.col("l_orderkey").alias("posting_id"), _skill())
+    lines = t.lineitem.count()   # from the footers
+    n = max(int(t.spark.conf.get("spark.sql.shuffle.partitions")), -(-lines // TASK_LINES))
+    return pairs.repartition(n, "posting_id").distinct()
+
+
+def skills(t: Tables) -> DataFrame:
+    """The distinct skills of ``posting_skills``, without its pairs."""
+    return t.lineitem.select("l_partkey").join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(_skill()).distinct()
 
 
 POSTING_SKILLS_SQL = """

@@ -200,3 +200,20 @@ def test_feature_step_reaches_the_fact_and_a_failing_dataset_is_isolated(spark,
     topics = W.read_published(spark, root, "dim_ai_open_topic").select("ai_open_topic_key", "topic_label")
     got = {r.response_id: r.topic_label for r in fact.join(topics, "ai_open_topic_key", "left").collect()}
     assert got == {**want, 41: None}
+
+
+def test_posting_skills_lie_by_posting_in_tasks_of_a_fixed_size(spark, tmpdir_path, monkeypatch):
+    from starlift.plans import standins as S
+    from starlift.session import Tables
+    lines = [(k // 4 if k < 60 else None, k % 5) for k in range(64)]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long").write.parquet(f"{tmpdir_path}/lineitem.parquet")
+    spark.createDataFrame([(0, "Brand#1"), (1, "Brand#10"), (2, " Brand#3 "), (3, ""), (3, "x"), (4, None), (9, "unused")], "p_partkey long, p_brand string").write.parquet(f"{tmpdir_path}/part.parquet")
+    t = Tables(spark, tmpdir_path)
+    names = {0: ["Brand#10"], 1: ["Brand#10"], 2: ["Brand#3"], 3: ["", "x"], 4: [None]}
+    pairs = S.posting_skills(t)
+    assert sorted(map(str, pairs.collect())) == sorted(f"Row(posting_id={o}, skill={n!r})" for o, n in {(o, n) for o, p in lines for n in names[p]})
+    assert {r.skill for r in S.skills(t).collect()} == {"Brand#10", "Brand#3", "", "x", None} and S.skills(t).count() == 5
+    monkeypatch.setattr(S, "TASK_LINES", 8)
+    assert S.posting_skills(t).rdd.getNumPartitions() == 8   # 64 lines
+    found = S.posting_skills(t).groupBy("posting_id").count()._jdf.queryExecution().executedPlan().toString()
+    assert found.count("Exchange hashpartitioning(posting_id") == 1
