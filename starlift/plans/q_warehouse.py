@@ -130,7 +130,7 @@ def dim_skill(t: Tables) -> DataFrame:
 
 
 def _dim_skill(t: Tables) -> DataFrame:
-    d = S.posting_skills(t).select(F.col("skill").alias("skill_name")).where("skill_name != ''").distinct()
+    d = S.skills(t).select(F.col("skill").alias("skill_name")).where("skill_name != ''")
     return W.assign_keys(d, ["skill_name"], "skill_key")
 
 
@@ -169,12 +169,16 @@ def fact_survey_response(t: Tables) -> DataFrame:
 
 
 def bridge_posting_skill(t: Tables) -> DataFrame:
-    """(posting key, skill key), unknown/empty skills skipped, distinct by the pair."""
+    """(posting key, skill key), unknown/empty skills skipped, distinct by the pair.
+
+    ``posting_skills`` has each pair once, a posting key belongs to one posting and a skill key to one skill, so the
+    joined pairs are distinct as they are.
+    """
     ps = S.posting_skills(t).where("skill != ''")
     fp = fact_job_posting(t).select("job_posting_key", F.col("job_id").alias("posting_id"))
     ds = dim_skill(t)
     return (ps.join(fp, "posting_id").join(ds, ps.skill == ds.skill_name)
-            .select("job_posting_key", "skill_key").dropDuplicates())
+            .select("job_posting_key", "skill_key"))
 
 
 def mart_country_month(t: Tables) -> DataFrame:
