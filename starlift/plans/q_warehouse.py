@@ -38,6 +38,11 @@ def conformed_postings(t: Tables) -> DataFrame:
     return po.withColumn("industry_sector", SF.map_lookup("family", S.SEGMENT_SECTOR))
 
 
+def posting_label_pairs(t: Tables) -> DataFrame:
+    """Distinct (country, family) of the postings, joined once for both dimensions that need them."""
+    return t.memo("posting_label_pairs", lambda: S.posting_labels(t).select("country", "family").distinct())
+
+
 def dim_country(t: Tables) -> DataFrame:
     return t.memo("dim_country", lambda: _dim_country(t))
 
@@ -46,8 +51,8 @@ def _dim_country(t: Tables) -> DataFrame:
     """W2 over three sources, keyed in name order (bounded by the country vocabulary)."""
     cmap = S.country_map(t)
     sup = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("n_name").alias("country"))
-    srcs = [CF.conform(df.select("country"), "country", cmap, "country_canonical", extra=["continent"])
-            for df in (conformed_layoffs(t), S.posting_labels(t), sup)]
+    srcs = [CF.conform(df.select("country").distinct(), "country", cmap, "country_canonical", extra=["continent"])
+            for df in (conformed_layoffs(t), posting_label_pairs(t), sup)]
     d = W.union_distinct(srcs, ["country_canonical", "continent"])
     return W.assign_keys(d, ["country_canonical"], "country_key")
 
@@ -57,7 +62,7 @@ def dim_industry(t: Tables) -> DataFrame:
 
 
 def _dim_industry(t: Tables) -> DataFrame:
-    posting_sectors = S.posting_labels(t).withColumn("industry_sector", SF.map_lookup("family", S.SEGMENT_SECTOR))
+    posting_sectors = posting_label_pairs(t).withColumn("industry_sector", SF.map_lookup("family", S.SEGMENT_SECTOR))
     d = W.union_distinct([conformed_layoffs(t), posting_sectors], ["industry_sector"])
     return W.assign_keys(d, ["industry_sector"], "industry_key")
 
@@ -386,7 +391,8 @@ def loaded_in_arrivals(t: Tables) -> str:
     own; returns the folder of the warehouse, which lies in the shared checkpoint folder."""
     spark = t.spark
     root = os.path.join(ensure_checkpoint_dir(spark), f"warehouse-{uuid.uuid4().hex[:12]}")
-    fact, cal, countries = fact_layoff_event(t), dim_date(t), dim_country(t)
+    # only the columns loaded here are cached, not the whole fact beside them
+    fact, cal, countries = _fact_layoff_event(t), dim_date(t), dim_country(t)
     cols = ("date_key", "country_key", "total_laid_off", "percentage_laid_off")
     fact = fact.select("layoff_event_key", *cols).persist(StorageLevel.MEMORY_AND_DISK)
     version = W.append(spark, root, 0, {"dim_date": cal, "dim_country": countries, "fact_layoff_event": fact.limit(0)})

@@ -152,6 +152,29 @@ def test_mart_from_states_equals_the_rebuilt_mart_after_each_load(spark, tmpdir_
     assert {p for p in after if after[p] != before[p]} == {"2023"}
 
 
+def test_a_load_joins_and_sums_its_facts_once(spark, tmpdir_path):
+    root, read = os.path.join(tmpdir_path, "log"), spark.sparkContext.accumulator(0)
+    cal = W.calendar(spark, "2023-01-01", "2024-12-31")
+    countries = spark.createDataFrame([(1, "Chile")], "country_key long, country_canonical string")
+
+    @F.udf("double")
+    def seen(x):
+        read.add(1)
+        return x
+
+    version = 0
+    for load, n in enumerate((20, 30)):
+        rows = [(20230101 + 10000 * (i % 2), 1, float(i), 0.5) for i in range(n)]
+        new = spark.createDataFrame(rows, "date_key int, country_key long, total_laid_off double, percentage_laid_off double")
+        counted = new.repartition(3).withColumn("total_laid_off", seen("total_laid_off"))
+        before = read.value
+        replaced, whole = W.refreshed_mart(spark, root, version, "mart_country_month", counted, cal, countries, lambda c=counted: c)
+        version = W.append(spark, root, version, {"fact_layoff_event": new}, replaced, whole=whole)
+        assert read.value - before == n
+    got = sorted(map(tuple, W.read_published(spark, root, "mart_country_month").collect()))
+    assert got == [("Chile", 2023, 1, 25, 300.0, 0.5), ("Chile", 2024, 1, 25, 325.0, 0.5)]
+
+
 def _raw(tmpdir_path, name, **texts):
     raw = os.path.join(tmpdir_path, name)
     os.makedirs(raw)
