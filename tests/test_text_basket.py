@@ -3,6 +3,7 @@
 import itertools
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -144,6 +145,27 @@ def test_counted_blocks_equal_the_rows_counted_one_by_one(spark):
         blocks.unpersist(), drawn.unpersist()
 
 
+def test_blocks_go_on_over_batches_and_are_kept_a_few_at_a_time(spark, monkeypatch):
+    from starlift.operators import factor as FA
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(batch)
+    d = spark.range(40).select(F.col("id").alias("doc_id"), F.concat_ws(" ", *[F.concat(F.lit(x), F.col("id")) for x in ("red", "blue", "dark")]).alias("text")).coalesce(1)
+    spark.conf.set(batch, "3")
+    try:
+        sizes = [r["n"] for r in TX.counted_blocks(d, "doc_id", "text", block_rows=16).orderBy("block").collect()]
+    finally:
+        spark.conf.set(batch, before)
+    assert sizes == [16, 16, 8]
+    # 30 rows of 100 kB: Parquet's writer looks at its buffers after the 100th only, unless told otherwise
+    monkeypatch.setattr(FA, "LARGE_ROWS", 1 << 19)
+    large = spark.range(30, numPartitions=1).select("id", F.expr("transform(sequence(1, 6250), x -> sha1(cast(x * 31 + id as string)))").alias("x"))
+    kept = FA.stored(large, "zstd", large_rows=True)
+    files = [pq.ParquetFile(f.removeprefix("file:").replace("///", "/")) for f in kept.inputFiles()]
+    assert sum(f.num_row_groups for f in files) >= 5 and kept.count() == 30
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == str(64 << 20) + "b"
+    FA.drop(kept)
+
+
 def test_row_weights_are_the_products_with_the_factor(spark):
     rows = spark.createDataFrame([(0, 1, [0, 2], [0.5, 1.5]), (0, 2, [3], [1.0]), (1, 3, [0, 3], [2.0, 4.0])], "block long, id long, indices array<int>, values array<double>")
     factor = spark.createDataFrame([(0, 0, 0.25), (0, 1, 9000.5), (2, 1, 0.000001)], "term_index long, topic_id int, weight double")
